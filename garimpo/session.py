@@ -29,6 +29,7 @@ def build_session(app: str = "garimpo", cpus: int | None = None, memory: str = "
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
     for key, value in SETTINGS.items():
