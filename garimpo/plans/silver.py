@@ -29,8 +29,9 @@ _AMOUNT = "decimal(15,2)"
 
 
 def _client_versions(bronze: DataFrame, business: list[str], min_hot_rows: int) -> DataFrame:
-    keyed = consolidate(bronze, business).withColumn("_chave", F.upper(F.trim("id_cliente")))
-    return number_versions(keyed, ["_chave"], business, min_hot_rows=min_hot_rows)
+    key = F.upper(F.trim("id_cliente")).alias("_chave")
+    keyed = consolidate(bronze, business).select("*", key)
+    return number_versions(keyed, ["_chave"], business, sizes_from=bronze.select(key), min_hot_rows=min_hot_rows)
 
 
 def clean_leads(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
@@ -96,10 +97,11 @@ def clean_sales(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFram
 
 def clean_positions(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Monthly stock. The name follows from the code; months are parsed before rows compete for a version."""
-    keyed = consolidate(bronze, spec.POSITION_COLUMNS).withColumns(
-        {"_mes": parse_month("mes_referencia"), "_codigo": F.upper(F.trim("cod_produto"))}
+    key = [parse_month("mes_referencia").alias("_mes"), F.upper(F.trim("cod_produto")).alias("_codigo")]
+    keyed = consolidate(bronze, spec.POSITION_COLUMNS).select("*", *key)
+    rows = number_versions(
+        keyed, ["_mes", "_codigo"], spec.POSITION_COLUMNS, sizes_from=bronze.select(*key), min_hot_rows=min_hot_rows
     )
-    rows = number_versions(keyed, ["_mes", "_codigo"], spec.POSITION_COLUMNS, min_hot_rows=min_hot_rows)
     return project(
         rows,
         {

@@ -18,7 +18,12 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
+    # The cleaning projections are wide. The JVM never compiles a method beyond 8000 bytes of bytecode, so a stage
+    # that would need one runs several times faster with one generated method per operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+# Those of them that matter for speed only and may be set on a running session.
+RUNTIME = ("spark.sql.adaptive.forceOptimizeSkewedJoin", "spark.sql.codegen.hugeMethodLimit")
 
 
 def build_session(app: str = "garimpo", cpus: int | None = None, memory: str = "8g") -> SparkSession:
@@ -39,6 +44,14 @@ def build_session(app: str = "garimpo", cpus: int | None = None, memory: str = "
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the settings it may still take, unless it was started with its own."""
+    for key in RUNTIME:
+        if spark.sparkContext.getConf().get(key) is None:
+            spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

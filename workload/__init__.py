@@ -1,5 +1,6 @@
 """Queries over the driver tables and the SQL that checks them."""
 
 from workload.dealership import QUERIES as _DEALERSHIP
+from workload.generic import QUERIES as _GENERIC
 
-ALL = [*_DEALERSHIP]
+ALL = [*_GENERIC, *_DEALERSHIP]

@@ -47,13 +47,13 @@ def compare(spark_result: tuple, sql_result: tuple) -> str | None:
 
 
 def main() -> int:
-    from garimpo.session import build_session
+    from garimpo.session import build_session, tune
     from workload import ALL
 
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     wanted = set(args[1:])
-    spark, con = build_session("check"), connect(sf_dir)
+    spark, con = tune(build_session("check")), connect(sf_dir)
     bad = 0
     for q in ALL:
         if wanted and q.name not in wanted:
