@@ -52,6 +52,8 @@ from garimpo.plans import spec
 
 CLIENT_ATTRIBUTES = ("NOME", "DATA_NASCIMENTO", "GENERO", "CONTATO")
 EVIDENCE = {"NOME": "NOMES", "DATA_NASCIMENTO": "NASCIMENTOS", "GENERO": "GENEROS", "CONTATO": "CONTATOS"}
+# The held ids alone, which is all a lookup or a proof needs of the identity quarantine.
+HELD_IDS = "quarentena_cliente_ids"
 GRAIN = ("COD_PRODUTO", "MES_REFERENCIA")
 STOCK_GRAIN = ("SK_PRODUTO", "SK_DATA_REFERENCIA")
 
@@ -173,9 +175,7 @@ def key_checks(t: Tables) -> DataFrame:
 
 def sales_fact(sales: DataFrame, t: Tables) -> DataFrame:
     """One row per cleaned sale. The discount is already in the revenue and is not taken off again."""
-    f = lookup_unless_held(
-        sales, t["quarentena_cliente_identidade"], "ID_CLIENTE", "ID_CLIENTE", "SK_CLIENTE", "cliente"
-    )
+    f = lookup_unless_held(sales, t[HELD_IDS], "ID_CLIENTE", "ID_CLIENTE", "SK_CLIENTE", "cliente")
     f = lookup(f, t["dim_produto"], "PRODUTO", "NOME_PRODUTO", {"SK_PRODUTO": "SK_PRODUTO"})
     f = lookup(f, t["dim_vendedor"], "VENDEDOR", "NOME", {"SK_VENDEDOR": "SK_VENDEDOR"})
     f = lookup(f, t["dim_pagamento"], "FORMA_PAGAMENTO", "FORMA_PAGAMENTO", {"SK_PAGAMENTO": "SK_PAGAMENTO"})
@@ -244,7 +244,7 @@ def position_fact(positions: DataFrame, t: Tables) -> DataFrame:
 
 
 def fact_contracts(silver: Tables, t: Tables) -> list[DataFrame]:
-    held = t["quarentena_cliente_identidade"]
+    held = t[HELD_IDS]
     return [
         check_fact(
             t["fato_vendas"], silver["erp"], "ID_REGISTRO",
@@ -390,7 +390,7 @@ def _stock_result(t: Tables, source: DataFrame) -> DataFrame:
 
 
 def _integrity_result(t: Tables) -> DataFrame:
-    held = t["quarentena_cliente_identidade"]
+    held = t[HELD_IDS]
     customer = HeldReference("SK_CLIENTE", t["dim_cliente"], "SK_CLIENTE", "ID_CLIENTE_ORIGEM", held, "ID_CLIENTE")
     product = Reference("SK_PRODUTO", t["dim_produto"], "SK_PRODUTO")
     payment = Reference("SK_PAGAMENTO", t["dim_pagamento"], "SK_PAGAMENTO")

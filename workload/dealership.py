@@ -16,6 +16,11 @@ from workload import raw
 from workload.base import Query, plain
 from workload.lake import Lake
 
+FACTS = ("fato_vendas", "fato_oportunidade", "fato_estoque_mensal")
+MARTS = ("mart_vendas_por_vendedor", "mart_produto_performance", "mart_financeiro", "mart_funil_comercial")
+SALES_STAR = ("fato_vendas", "dim_cliente", "dim_produto", "dim_vendedor", "dim_calendario")
+LEADS_STAR = ("fato_oportunidade", "dim_produto", "dim_canal", "dim_calendario")
+
 # --- the cleaned tables in SQL, from the true values -----------------------------------------------------------------
 
 
@@ -147,7 +152,7 @@ SILVER_POSITIONS = _with(POSITIONS_CTE) + "SELECT *, cast(NULL AS varchar) AS _p
 
 def silver_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14 row contracts, key uniqueness and lineage of the three cleaned tables."""
-    lake = Lake(spark, sf_dir)
+    lake = Lake(spark, sf_dir, "crm", "erp", "estoque")
     sources = {
         "crm": (raw.raw_leads, silver.lead_contracts),
         "erp": (raw.raw_sales, silver.sale_contracts),
@@ -231,7 +236,7 @@ SELECT * EXCLUDE (_linhas_origem), '{spec.GRAIN_REASON}' AS MOTIVO_QUARENTENA FR
 
 
 def quarantine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(spark, sf_dir)
+    lake = Lake(spark, sf_dir, "quarentena_cliente_ids", "quarentena_estoque_mensal")
     return held_summary(
         lake["quarentena_cliente_ids"],
         lake["quarentena_estoque_mensal"],
@@ -254,7 +259,7 @@ CLIENT_DIMENSION = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + "SELECT * FROM
 
 def dimension_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and distinct keys of the six dimensions."""
-    return plain(gold.key_checks(Lake(spark, sf_dir)))
+    return plain(gold.key_checks(Lake(spark, sf_dir, *gold.DIM_KEYS)))
 
 
 _DAYS = (
@@ -284,7 +289,7 @@ def _resolve(fact: DataFrame, dim: DataFrame, key: str, name: str, out: str) ->
 
 
 def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Lake(spark, sf_dir)
+    t = Lake(spark, sf_dir, "dim_cliente")
     f = t.frame("fato_vendas")
     f = _resolve(f, t["dim_cliente"], "SK_CLIENTE", "NOME", "cliente")
     f = _resolve(f, t["dim_produto"], "SK_PRODUTO", "COD_PRODUTO", "produto")
@@ -337,7 +342,7 @@ FROM stock"""
 
 
 def fact_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Lake(spark, sf_dir)
+    t = Lake(spark, sf_dir, *FACTS)
     return plain(union_all(*gold.fact_contracts(t, t)))
 
 
@@ -423,7 +428,7 @@ FROM leads JOIN products ON PRODUTO_INTERESSE = NOME_PRODUTO GROUP BY 1, 2, 3, 4
 
 
 def proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Lake(spark, sf_dir)
+    t = Lake(spark, sf_dir, *FACTS, *MARTS, *gold.DIM_KEYS)
     return plain(gold.proofs(t, t))
 
 
@@ -485,7 +490,7 @@ def _proofs_sql() -> str:
 
 def product_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product names in the three sources against the mapping: offenders, none expected."""
-    t = Lake(spark, sf_dir)
+    t = Lake(spark, sf_dir, "crm", "erp", "estoque", "dim_produto")
     return gold.unmapped_products(t["crm"], t["erp"], t["estoque"], t["dim_produto"])
 
 
@@ -502,7 +507,7 @@ WHERE p.COD_PRODUTO IS NULL"""
 
 
 def sales_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(gold.sales_dataset(Lake(spark, sf_dir)))
+    return plain(gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR)))
 
 
 _SALES_DATASET = f""",
@@ -520,7 +525,7 @@ FROM dataset"""
 
 
 def leads_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(gold.leads_dataset(Lake(spark, sf_dir)))
+    return plain(gold.leads_dataset(Lake(spark, sf_dir, *LEADS_STAR)))
 
 
 _RANK = "CASE ETAPA " + " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(spec.STAGES, 1)) + " ELSE 99 END"
@@ -543,7 +548,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(measure(gold.sales_dataset(Lake(spark, sf_dir)), [], SALES_NAMES, gold.sales_measures()))
+    return _rounded(measure(gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR)), [], SALES_NAMES, gold.sales_measures()))
 
 
 DASHBOARD_KPIS = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + _SALES_DATASET + f"SELECT {_MEASURES} FROM dataset"
@@ -551,7 +556,7 @@ DASHBOARD_KPIS = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + _SALES_DATASET +
 
 def dashboard_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures by month, ascending."""
-    data = gold.sales_dataset(Lake(spark, sf_dir))
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
     month = "mes_entrega"
     return _rounded(measure(data, [month], SALES_NAMES, gold.sales_measures(), order=[(F.col(month), False)]))
 
@@ -562,7 +567,7 @@ SELECT strftime(mes_entrega, '%Y-%m-%d 00:00:00') AS mes_entrega, {_MEASURES} FR
 
 def dashboard_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue and margin per product as one row per measure."""
-    data = gold.sales_dataset(Lake(spark, sf_dir))
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
     return plain(series_long(data, ["carro"], [gold.REVENUE, gold.MARGIN], gold.sales_measures(), "serie", "valor"))
 
 
@@ -573,7 +578,7 @@ UNION ALL SELECT carro, '{gold.MARGIN}', {_money('sum(margin)')} FROM dataset GR
 
 def dashboard_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue and margin share per seller, for one year's sales of two products (a filter before the measures)."""
-    data = gold.sales_dataset(Lake(spark, sf_dir))
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
     filters = {"ano": 1998, "carro": ["Polo", "Nivus"]}
     names = [gold.REVENUE, gold.MARGIN_SHARE]
     revenue = gold.sales_measures()[gold.REVENUE]
@@ -588,7 +593,7 @@ FROM dataset WHERE ano = 1998 AND carro IN ('Polo', 'Nivus') GROUP BY 1"""
 
 def dashboard_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct clients per channel, largest first."""
-    data = gold.leads_dataset(Lake(spark, sf_dir))
+    data = gold.leads_dataset(Lake(spark, sf_dir, *LEADS_STAR))
     clients = gold.leads_measures()[gold.CLIENTS]
     return plain(measure(data, ["canal"], [gold.CLIENTS], gold.leads_measures(), order=[(clients, True)]))
 
@@ -599,7 +604,7 @@ SELECT FONTE AS canal, count(DISTINCT ID_CLIENTE) AS "{gold.CLIENTS}" FROM leads
 
 def dashboard_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct clients per stage in funnel order."""
-    data = gold.leads_dataset(Lake(spark, sf_dir))
+    data = gold.leads_dataset(Lake(spark, sf_dir, *LEADS_STAR))
     order = [(F.min("etapa_ordem"), False)]
     out = measure(data, ["etapa"], [gold.CLIENTS], gold.leads_measures(), order=order)
     return plain(out.withColumn("posicao", stage_rank("etapa", spec.STAGES)))
@@ -612,7 +617,7 @@ FROM leads GROUP BY ETAPA"""
 
 def dashboard_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The years, products and sellers the filters offer."""
-    data = gold.sales_dataset(Lake(spark, sf_dir))
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
     lists = [
         choices(data, n).select(F.lit(n).alias("filtro"), F.col(n).cast("string").alias("valor"))
         for n in ("ano", "carro", "vendedor")

@@ -10,51 +10,77 @@ from pyspark.sql import DataFrame, SparkSession
 from garimpo.functions import split_rejects
 from garimpo.plans import gold, silver
 from garimpo.session import shared_dir
-from garimpo.sources.tables import publish
+from garimpo.sources.tables import publish_all
 from workload import raw
 
+SILVER = ("crm", "erp", "estoque")
+SALE_DIMS = (gold.HELD_IDS, "dim_produto", "dim_vendedor", "dim_pagamento", "dim_calendario")
+LEAD_DIMS = ("dim_cliente", "dim_produto", "dim_pagamento", "dim_canal", "dim_calendario")
+STOCK_DIMS = ("quarentena_estoque_mensal", "dim_produto", "dim_calendario")
+
+# What each table is built from.
+NEEDS = {
+    gold.HELD_IDS: ("crm", "erp"),
+    "quarentena_cliente_evidencia": ("crm", "erp", gold.HELD_IDS),
+    "quarentena_cliente_identidade": ("quarentena_cliente_evidencia",),
+    "quarentena_estoque_mensal": ("estoque",),
+    "dim_cliente": ("crm", "erp"),
+    "dim_vendedor": ("erp",),
+    "dim_pagamento": ("crm", "erp"),
+    "dim_canal": ("crm",),
+    "dim_calendario": SILVER,
+    "fato_vendas": ("erp", *SALE_DIMS),
+    "fato_oportunidade": ("crm", *LEAD_DIMS),
+    "fato_estoque_mensal": ("estoque", *STOCK_DIMS),
+    "mart_vendas_por_vendedor": ("fato_vendas",),
+    "mart_produto_performance": ("fato_vendas", "fato_estoque_mensal"),
+    "mart_financeiro": ("fato_vendas",),
+    "mart_funil_comercial": ("fato_oportunidade",),
+}
+
 
 class Lake(Mapping):
-    """Tables by name; a table is built from the tables it needs and written to the shared folder, as a load does."""
+    """Tables by name, written to the shared folder as a load does, but only those that are asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, *wanted: str):
         self.out = f"{shared_dir(spark)}/lake-{uuid.uuid4().hex}"
         self.tables: dict[str, DataFrame] = {}
-        self.split = None
-
-        def clients():
-            if self.split is None:
-                self.split = gold.client_split(self["crm"], self["erp"])
-            return self.split
-
+        crm, erp, stock = (lambda: self["crm"]), (lambda: self["erp"]), (lambda: self["estoque"])
         self.rules: dict[str, Callable[[], DataFrame]] = {
             "crm": lambda: split_rejects(silver.clean_leads(raw.raw_leads(spark, sf_dir)))[0],
             "erp": lambda: split_rejects(silver.clean_sales(raw.raw_sales(spark, sf_dir)))[0],
             "estoque": lambda: split_rejects(silver.clean_positions(raw.raw_positions(spark, sf_dir)))[0],
-            "quarentena_cliente_ids": lambda: clients().held,
-            "quarentena_cliente_evidencia": lambda: gold.client_evidence(
-                self["crm"], self["erp"], self["quarentena_cliente_ids"]
-            ),
+            gold.HELD_IDS: lambda: gold.client_split(crm(), erp()).held,
+            "quarentena_cliente_evidencia": lambda: gold.client_evidence(crm(), erp(), self[gold.HELD_IDS]),
             "quarentena_cliente_identidade": lambda: gold.client_quarantine(self["quarentena_cliente_evidencia"]),
-            "quarentena_estoque_mensal": lambda: gold.stock_quarantine(self["estoque"]),
-            "dim_cliente": lambda: gold.client_dim(clients().accepted),
+            "quarentena_estoque_mensal": lambda: gold.stock_quarantine(stock()),
+            "dim_cliente": lambda: gold.client_dim(gold.client_split(crm(), erp()).accepted),
             "dim_produto": lambda: gold.product_dim(spark),
-            "dim_vendedor": lambda: gold.seller_dim(self["erp"]),
-            "dim_pagamento": lambda: gold.payment_dim(self["crm"], self["erp"]),
-            "dim_canal": lambda: gold.channel_dim(self["crm"]),
-            "dim_calendario": lambda: gold.calendar(self["crm"], self["erp"], self["estoque"]),
-            "fato_vendas": lambda: gold.sales_fact(self["erp"], self),
-            "fato_oportunidade": lambda: gold.lead_fact(self["crm"], self),
-            "fato_estoque_mensal": lambda: gold.position_fact(self["estoque"], self),
+            "dim_vendedor": lambda: gold.seller_dim(erp()),
+            "dim_pagamento": lambda: gold.payment_dim(crm(), erp()),
+            "dim_canal": lambda: gold.channel_dim(crm()),
+            "dim_calendario": lambda: gold.calendar(crm(), erp(), stock()),
+            "fato_vendas": lambda: gold.sales_fact(erp(), self),
+            "fato_oportunidade": lambda: gold.lead_fact(crm(), self),
+            "fato_estoque_mensal": lambda: gold.position_fact(stock(), self),
             "mart_vendas_por_vendedor": lambda: gold.seller_mart(self["fato_vendas"]),
             "mart_produto_performance": lambda: gold.product_mart(self["fato_vendas"], self["fato_estoque_mensal"]),
             "mart_financeiro": lambda: gold.finance_mart(self["fato_vendas"]),
             "mart_funil_comercial": lambda: gold.funnel_mart(self["fato_oportunidade"]),
         }
+        self.need(wanted)
+
+    def need(self, names) -> None:
+        """Write the tables, what they are built from first, tables of one level a few at a time."""
+        missing = [n for n in names if n not in self.tables]
+        if missing:
+            self.need({m for n in missing for m in NEEDS.get(n, ())})
+            left = [n for n in missing if n not in self.tables]
+            # A table of this list may be built from another of it, which is then written by now.
+            self.tables |= publish_all({n: self.rules[n] for n in left}, self.out)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self.tables:
-            self.tables[name] = publish(self.rules[name](), f"{self.out}/{name}")
+        self.need([name])
         return self.tables[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -65,4 +91,5 @@ class Lake(Mapping):
 
     def frame(self, name: str) -> DataFrame:
         """The table's plan over the written tables it needs, itself not written."""
+        self.need(NEEDS.get(name, ()))
         return self.rules[name]()
