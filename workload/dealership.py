@@ -125,15 +125,15 @@ PRODUCTS_CTE = f"\nproducts AS (SELECT * FROM ({_pairs_sql()}) AS p(COD_PRODUTO,
 
 
 def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(silver.clean_sales(raw.raw_sales(spark, sf_dir)).drop(silver.PROCESSED_AT))
+    return plain(silver.clean_sales(Lake(spark, sf_dir)["bronze_erp"]).drop(silver.PROCESSED_AT))
 
 
 def silver_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(silver.clean_leads(raw.raw_leads(spark, sf_dir)).drop(silver.PROCESSED_AT))
+    return plain(silver.clean_leads(Lake(spark, sf_dir)["bronze_crm"]).drop(silver.PROCESSED_AT))
 
 
 def silver_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(silver.clean_positions(raw.raw_positions(spark, sf_dir)).drop(silver.PROCESSED_AT))
+    return plain(silver.clean_positions(Lake(spark, sf_dir)["bronze_estoque"]).drop(silver.PROCESSED_AT))
 
 
 SILVER_SALES = _with(SALES_CTE) + f"""
@@ -153,20 +153,16 @@ SILVER_POSITIONS = _with(POSITIONS_CTE) + "SELECT *, cast(NULL AS varchar) AS _p
 def silver_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14 row contracts, key uniqueness and lineage of the three cleaned tables."""
     lake = Lake(spark, sf_dir, "crm", "erp", "estoque")
-    sources = {
-        "crm": (raw.raw_leads, silver.lead_contracts),
-        "erp": (raw.raw_sales, silver.sale_contracts),
-        "estoque": (raw.raw_positions, silver.position_contracts),
-    }
+    sources = {"crm": silver.lead_contracts, "erp": silver.sale_contracts, "estoque": silver.position_contracts}
     frames = []
-    for name, (bronze, contracts) in sources.items():
+    for name, contracts in sources.items():
         frames.append(check_rows(lake[name], contracts()))
         frames.append(
             check_unique(lake[name], "ID_REGISTRO", f"{name}_chave_unica").select(
                 "contrato", "linhas", (F.col("linhas") - F.col("chaves")).alias("violacoes"), "passou"
             )
         )
-        lineage = check_lineage(lake[name], bronze(spark, sf_dir), SOURCE_ROWS, f"{name}_origem")
+        lineage = check_lineage(lake[name], lake[f"bronze_{name}"], SOURCE_ROWS, f"{name}_origem")
         frames.append(
             lineage.select("contrato", "linhas", (F.col("linhas") - F.col("chaves")).alias("violacoes"), "passou")
         )
@@ -188,8 +184,8 @@ def _contracts_sql() -> str:
 
 
 def silver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(spark, sf_dir)
-    return plain(union_all(*[load_summary(n, lake.frame(n)) for n in ("crm", "erp", "estoque")]))
+    lake = Lake(spark, sf_dir, "crm", "erp", "estoque")
+    return plain(union_all(*[load_summary(n, lake[n]) for n in ("crm", "erp", "estoque")]))
 
 
 SILVER_SUMMARY = _with(SALES_CTE, LEADS_CTE, POSITIONS_CTE) + "\nUNION ALL ".join(

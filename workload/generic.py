@@ -73,6 +73,7 @@ from garimpo.sources.control import expected_counts, reconcile_counts, table_cou
 from garimpo.sources.raw import SourceSpec, inspect, land
 from workload import raw
 from workload.base import Query, plain
+from workload.lake import Lake
 from workload.raw import load
 
 
@@ -255,7 +256,7 @@ FROM (SELECT *, regexp_replace(trim(phone), '[^0-9]', '', 'g') AS d FROM ({raw.p
 
 def repair_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw sale with its moved columns put back, before any typing."""
-    rows = raw.raw_sales(spark, sf_dir)
+    rows = Lake(spark, sf_dir)["bronze_erp"]
     found = detect_shift(spec.SALE_SHIFT)
     fixed = realign(rows.withColumns({SPLIT: found.value, "_problema": found.problem}), spec.SALE_SHIFT)
     amounts = [lenient_cast(a, "decimal(15,2)").alias(a) for a in spec.SALE_SHIFT.amounts]
@@ -838,9 +839,9 @@ SELECT count(DISTINCT o_orderstatus || o_orderpriority) AS grupos_divergentes FR
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files written from the tables, checked, landed as text and counted against the control."""
     root = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
-    makers = {"crm": raw.raw_leads, "erp": raw.raw_sales, "estoque": raw.raw_positions}
+    lake = Lake(spark, sf_dir)
     for s in spec.SOURCES:
-        makers[s.table](spark, sf_dir).write.option("header", True).option(
+        lake[f"bronze_{s.table}"].write.option("header", True).option(
             "ignoreLeadingWhiteSpace", False
         ).option("ignoreTrailingWhiteSpace", False).csv(s.path(root))
     control = inspect(spark, root, spec.SOURCES)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from garimpo.functions import split_rejects
 from garimpo.plans import gold, silver
 from garimpo.session import shared_dir
-from garimpo.sources.tables import publish_all
+from garimpo.sources.tables import publish, publish_all, scan
 from workload import raw
 
 SILVER = ("crm", "erp", "estoque")
@@ -20,6 +20,9 @@ STOCK_DIMS = ("quarentena_estoque_mensal", "dim_produto", "dim_calendario")
 
 # What each table is built from.
 NEEDS = {
+    "crm": ("bronze_crm",),
+    "erp": ("bronze_erp",),
+    "estoque": ("bronze_estoque",),
     gold.HELD_IDS: ("crm", "erp"),
     "quarentena_cliente_evidencia": ("crm", "erp", gold.HELD_IDS),
     "quarentena_cliente_identidade": ("quarentena_cliente_evidencia",),
@@ -39,6 +42,21 @@ NEEDS = {
 }
 
 
+_RAW = {"bronze_crm": raw.raw_leads, "bronze_erp": raw.raw_sales, "bronze_estoque": raw.raw_positions}
+# Where this session's raw tables lie. They stand in for the files a dealership would be given, so they are rendered
+# once per session and folder; everything after them is worked out anew by every query.
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _landed:
+        path = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}/{name}"
+        publish(_RAW[name](spark, sf_dir), path)
+        _landed[key] = path
+    return scan(spark, _landed[key])
+
+
 class Lake(Mapping):
     """Tables by name, written to the shared folder as a load does, but only those that are asked for."""
 
@@ -47,9 +65,9 @@ class Lake(Mapping):
         self.tables: dict[str, DataFrame] = {}
         crm, erp, stock = (lambda: self["crm"]), (lambda: self["erp"]), (lambda: self["estoque"])
         self.rules: dict[str, Callable[[], DataFrame]] = {
-            "crm": lambda: split_rejects(silver.clean_leads(raw.raw_leads(spark, sf_dir)))[0],
-            "erp": lambda: split_rejects(silver.clean_sales(raw.raw_sales(spark, sf_dir)))[0],
-            "estoque": lambda: split_rejects(silver.clean_positions(raw.raw_positions(spark, sf_dir)))[0],
+            "crm": lambda: split_rejects(silver.clean_leads(self["bronze_crm"]))[0],
+            "erp": lambda: split_rejects(silver.clean_sales(self["bronze_erp"]))[0],
+            "estoque": lambda: split_rejects(silver.clean_positions(self["bronze_estoque"]))[0],
             gold.HELD_IDS: lambda: gold.client_split(crm(), erp()).held,
             "quarentena_cliente_evidencia": lambda: gold.client_evidence(crm(), erp(), self[gold.HELD_IDS]),
             "quarentena_cliente_identidade": lambda: gold.client_quarantine(self["quarentena_cliente_evidencia"]),
@@ -68,6 +86,7 @@ class Lake(Mapping):
             "mart_financeiro": lambda: gold.finance_mart(self["fato_vendas"]),
             "mart_funil_comercial": lambda: gold.funnel_mart(self["fato_oportunidade"]),
         }
+        self.spark, self.sf_dir = spark, sf_dir
         self.need(wanted)
 
     def need(self, names) -> None:
@@ -75,7 +94,9 @@ class Lake(Mapping):
         missing = [n for n in names if n not in self.tables]
         if missing:
             self.need({m for n in missing for m in NEEDS.get(n, ())})
-            left = [n for n in missing if n not in self.tables]
+            left = [n for n in missing if n not in self.tables and n not in _RAW]
+            for n in _RAW.keys() & set(missing):
+                self.tables[n] = land(self.spark, self.sf_dir, n)
             # A table of this list may be built from another of it, which is then written by now.
             self.tables |= publish_all({n: self.rules[n] for n in left}, self.out)
 
@@ -84,10 +105,10 @@ class Lake(Mapping):
         return self.tables[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self.rules)
+        return iter([*_RAW, *self.rules])
 
     def __len__(self) -> int:
-        return len(self.rules)
+        return len(_RAW) + len(self.rules)
 
     def frame(self, name: str) -> DataFrame:
         """The table's plan over the written tables it needs, itself not written."""

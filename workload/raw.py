@@ -152,12 +152,16 @@ def _sales_sql() -> str:
     true_birth_day = "1 + (o_custkey + CASE WHEN o_custkey % 23 = 0 AND l_linenumber = 2 THEN 1 ELSE 0 END) % 28"
     birth = f"({text('1950 + o_custkey % 50')} || '-' || {pad('1 + o_custkey % 12', 2)} || '-' || {pad(true_birth_day, 2)})"
     return f"""
-WITH priced AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, o_custkey, c_name, c_mktsegment, s_name,
+WITH told AS (
+  SELECT * FROM {{lineitem}}
+  UNION ALL
+  SELECT * FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_linestatus = 'F'
+), priced AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, c_name, c_mktsegment, s_name,
          cast(l_shipdate AS date) AS shipped,
          cast(round(l_extendedprice * 100) AS bigint) AS price,
          cast(round(l_discount * 100) AS bigint) AS pct
-  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
+  FROM told JOIN {{orders}} ON l_orderkey = o_orderkey
        JOIN {{customer}} ON o_custkey = c_custkey
        JOIN {{supplier}} ON l_suppkey = s_suppkey
 ), discounted AS (
@@ -170,10 +174,6 @@ WITH priced AS (
   SELECT *, CASE {split} END AS split,
          {', '.join(f'{v} AS k_{n}' for n, v in tokens.items())}
   FROM billed
-), sent AS (
-  SELECT *, 0 AS again FROM tokens
-  UNION ALL
-  SELECT *, 1 AS again FROM tokens WHERE l_returnflag = 'A' AND l_linestatus = 'F'
 )
 SELECT {client('o_custkey', 'l_linenumber')} AS id_cliente,
        CASE l_linenumber % 2 WHEN 0 THEN upper({true_name}) ELSE ' ' || lower({true_name}) || ' ' END AS nome_cliente,
@@ -193,7 +193,7 @@ SELECT {client('o_custkey', 'l_linenumber')} AS id_cliente,
        {pick('l_partkey % 8', [f'{p} Comfortline' for p in spec.PRODUCT_NAMES])} AS t_modelo,
        shipped AS t_entrega,
        CASE WHEN split IS NULL THEN CASE l_suppkey % 2 WHEN 0 THEN '0 KM' ELSE 'Semi Novo' END END AS t_condicao
-FROM sent"""
+FROM tokens"""
 
 
 SALES = _sales_sql()
