@@ -1,6 +1,7 @@
 """Time the headline queries: one warm-up, then the median of the runs; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all), BENCH_RUNS (default 3), and names as arguments.
+A query that has taken ten seconds in all is not run again.
 """
 
 from __future__ import annotations
@@ -31,6 +32,14 @@ def run(spark, sf_dir: str, query) -> float:
     return time.time() - start
 
 
+def timed(spark, sf_dir: str, query, runs: int) -> float:
+    run(spark, sf_dir, query)
+    spent: list[float] = []
+    while not spent or (len(spent) < runs and sum(spent) < 10):
+        spent.append(run(spark, sf_dir, query))
+    return round(statistics.median(spent), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
@@ -40,11 +49,10 @@ def main() -> None:
     spark = tune(build_session("bench", cpus))
     times = {}
     for name in wanted:
-        run(spark, sf_dir, by_name[name])
-        times[name] = round(statistics.median(run(spark, sf_dir, by_name[name]) for _ in range(runs)), 3)
+        times[name] = timed(spark, sf_dir, by_name[name], runs)
         print(name, times[name], file=sys.stderr, flush=True)
     line = {
-        "metric": f"sum of {len(times)} queries, warm, median of {runs}, local[{cpus}]",
+        "metric": f"sum of {len(times)} queries, warm, median of up to {runs}, local[{cpus}]",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,

@@ -30,8 +30,14 @@ def identity_profile(df: DataFrame, id: str, attributes: Sequence[str]) -> DataF
 
 
 def attribute_conflicts(df: DataFrame, id: str, attributes: Sequence[str]) -> Split:
-    """Ids whose attributes agree, with their sole values, and ids held back because one does not."""
-    profile = identity_profile(df, id, attributes)
+    """Ids whose attributes agree, with their sole values, and ids held back because one does not.
+
+    Where both sides are used, write the profile first and split that, so the sources are read once.
+    """
+    return split_profile(identity_profile(df, id, attributes), id)
+
+
+def split_profile(profile: DataFrame, id: str) -> Split:
     accepted = profile.filter(~F.col(CONFLICT) & F.col(id).isNotNull()).drop(CONFLICT)
     return Split(accepted, profile.filter(CONFLICT).select(id))
 

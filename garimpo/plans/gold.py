@@ -47,13 +47,22 @@ from garimpo.operators.dimensions import (
 from garimpo.operators.facts import lookup, lookup_unless_held
 from garimpo.operators.marts import abc_curve, funnel, money_measures, monthly_rollup, outer_position_join
 from garimpo.operators.measures import Measure, catalogue
-from garimpo.operators.quarantine import Split, attribute_conflicts, evidence, evidence_arrays, exclude, grain_conflicts
+from garimpo.operators.quarantine import (
+    Split,
+    evidence,
+    evidence_arrays,
+    exclude,
+    grain_conflicts,
+    identity_profile,
+    split_profile,
+)
 from garimpo.plans import spec
 
 CLIENT_ATTRIBUTES = ("NOME", "DATA_NASCIMENTO", "GENERO", "CONTATO")
 EVIDENCE = {"NOME": "NOMES", "DATA_NASCIMENTO": "NASCIMENTOS", "GENERO": "GENEROS", "CONTATO": "CONTATOS"}
 # The held ids alone, which is all a lookup or a proof needs of the identity quarantine.
 HELD_IDS = "quarentena_cliente_ids"
+PROFILE = "perfil_cliente"
 GRAIN = ("COD_PRODUTO", "MES_REFERENCIA")
 STOCK_GRAIN = ("SK_PRODUTO", "SK_DATA_REFERENCIA")
 
@@ -70,8 +79,13 @@ def client_attributes(leads: DataFrame, sales: DataFrame) -> DataFrame:
     )
 
 
-def client_split(leads: DataFrame, sales: DataFrame) -> Split:
-    return attribute_conflicts(client_attributes(leads, sales), "ID_CLIENTE", CLIENT_ATTRIBUTES)
+def client_profile(leads: DataFrame, sales: DataFrame) -> DataFrame:
+    """Sole values and conflict flag per client; written once and then split."""
+    return identity_profile(client_attributes(leads, sales), "ID_CLIENTE", CLIENT_ATTRIBUTES)
+
+
+def client_split(profile: DataFrame) -> Split:
+    return split_profile(profile, "ID_CLIENTE")
 
 
 def client_evidence(leads: DataFrame, sales: DataFrame, held: DataFrame) -> DataFrame:

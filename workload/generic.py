@@ -71,6 +71,7 @@ from garimpo.plans import spec
 from garimpo.session import shared_dir
 from garimpo.sources.control import expected_counts, reconcile_counts, table_counts
 from garimpo.sources.raw import SourceSpec, inspect, land
+from garimpo.sources.tables import publish
 from workload import raw
 from workload.base import Query, plain
 from workload.lake import Lake
@@ -463,7 +464,7 @@ FROM days"""
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their order's customer and date, as a sales fact."""
-    lines = load(spark, sf_dir, "lineitem")
+    lines = raw.spread(load(spark, sf_dir, "lineitem"))
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     price = _money("l_extendedprice")
     rate = F.lit(1).cast("decimal(3,0)") - F.col("l_discount").cast("decimal(4,2)")
@@ -499,7 +500,8 @@ _SHIP_MONTH = "cast(strftime(shipped, '%Y%m01') AS bigint)"
 def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line with its part, supplier and customer and the calendar in two roles."""
     f = _sales(spark, sf_dir)
-    days = _calendar(spark, sf_dir)
+    # Written first: it is used twice, and its size is then known.
+    days = publish(_calendar(spark, sf_dir), f"{shared_dir(spark)}/calendar-{uuid.uuid4().hex}")
     f = lookup(f, load(spark, sf_dir, "part"), "l_partkey", "p_partkey", {"p_brand": "brand"})
     f = lookup(f, load(spark, sf_dir, "supplier"), "l_suppkey", "s_suppkey", {"s_name": "seller"})
     f = lookup(f, load(spark, sf_dir, "customer"), "client", "c_custkey", {"c_name": "client_name"})

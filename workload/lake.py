@@ -23,11 +23,12 @@ NEEDS = {
     "crm": ("bronze_crm",),
     "erp": ("bronze_erp",),
     "estoque": ("bronze_estoque",),
-    gold.HELD_IDS: ("crm", "erp"),
+    gold.PROFILE: ("crm", "erp"),
+    gold.HELD_IDS: (gold.PROFILE,),
     "quarentena_cliente_evidencia": ("crm", "erp", gold.HELD_IDS),
     "quarentena_cliente_identidade": ("quarentena_cliente_evidencia",),
     "quarentena_estoque_mensal": ("estoque",),
-    "dim_cliente": ("crm", "erp"),
+    "dim_cliente": (gold.PROFILE,),
     "dim_vendedor": ("erp",),
     "dim_pagamento": ("crm", "erp"),
     "dim_canal": ("crm",),
@@ -68,11 +69,12 @@ class Lake(Mapping):
             "crm": lambda: split_rejects(silver.clean_leads(self["bronze_crm"]))[0],
             "erp": lambda: split_rejects(silver.clean_sales(self["bronze_erp"]))[0],
             "estoque": lambda: split_rejects(silver.clean_positions(self["bronze_estoque"]))[0],
-            gold.HELD_IDS: lambda: gold.client_split(crm(), erp()).held,
+            gold.PROFILE: lambda: gold.client_profile(crm(), erp()),
+            gold.HELD_IDS: lambda: gold.client_split(self[gold.PROFILE]).held,
             "quarentena_cliente_evidencia": lambda: gold.client_evidence(crm(), erp(), self[gold.HELD_IDS]),
             "quarentena_cliente_identidade": lambda: gold.client_quarantine(self["quarentena_cliente_evidencia"]),
             "quarentena_estoque_mensal": lambda: gold.stock_quarantine(stock()),
-            "dim_cliente": lambda: gold.client_dim(gold.client_split(crm(), erp()).accepted),
+            "dim_cliente": lambda: gold.client_dim(gold.client_split(self[gold.PROFILE]).accepted),
             "dim_produto": lambda: gold.product_dim(spark),
             "dim_vendedor": lambda: gold.seller_dim(erp()),
             "dim_pagamento": lambda: gold.payment_dim(crm(), erp()),
