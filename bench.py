@@ -1,7 +1,7 @@
 """Time the headline queries: one warm-up, then the median of the runs; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all), BENCH_RUNS (default 3), and names as arguments.
-A query that has taken ten seconds in all is not run again.
+A query is not run again once it has taken six seconds in all, and its first run counts when that took fifteen.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ HEADLINE = (
     "shared_dimension calendar star_fact fact_contract financial_mart abc_curve running_totals funnel_mart "
     "aggregate_functions row_contracts trace trace_with_held orphans reconcile_totals raw_reconcile measures_kpi "
     "measures_by_month filtered_measures product_series_long silver_sales silver_leads silver_positions "
-    "identity_quarantine dealership_sales_fact dealership_seller_mart dealership_product_mart dealership_funnel_mart "
-    "dealership_proofs dashboard_kpis"
+    "dealership_sales_fact dealership_product_mart dashboard_kpis dealership_load"
 ).split()
 
 
@@ -33,9 +32,9 @@ def run(spark, sf_dir: str, query) -> float:
 
 
 def timed(spark, sf_dir: str, query, runs: int) -> float:
-    run(spark, sf_dir, query)
-    spent: list[float] = []
-    while not spent or (len(spent) < runs and sum(spent) < 10):
+    first = run(spark, sf_dir, query)
+    spent: list[float] = [first] if first > 15 else []
+    while not spent or (len(spent) < runs and sum(spent) < 6):
         spent.append(run(spark, sf_dir, query))
     return round(statistics.median(spent), 3)
 

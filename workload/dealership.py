@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ from garimpo.operators.dimensions import union_all
 from garimpo.operators.measures import choices, measure, series_long
 from garimpo.operators.quarantine import held_summary
 from garimpo.operators.versions import SOURCE_ROWS, load_summary
-from garimpo.plans import gold, silver, spec
+from garimpo.plans import gold, pipeline, silver, spec
+from garimpo.session import shared_dir
 from workload import raw
 from workload.base import Query, plain
-from workload.lake import Lake
+from workload.lake import Lake, raw_files
 
 FACTS = ("fato_vendas", "fato_oportunidade", "fato_estoque_mensal")
 MARTS = ("mart_vendas_por_vendedor", "mart_produto_performance", "mart_financeiro", "mart_funil_comercial")
@@ -484,6 +487,12 @@ def _proofs_sql() -> str:
     )
 
 
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole load from raw CSV files, through every contract, to the nine proofs it publishes."""
+    out = f"{shared_dir(spark)}/load-{uuid.uuid4().hex}"
+    return plain(pipeline.run(spark, raw_files(spark, sf_dir), out, prefix="dealership_")["_gold_testes"])
+
+
 def product_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product names in the three sources against the mapping: offenders, none expected."""
     t = Lake(spark, sf_dir, "crm", "erp", "estoque", "dim_produto")
@@ -647,6 +656,7 @@ QUERIES = [
     Query("dealership_finance_mart", finance_mart, FINANCE_MART),
     Query("dealership_funnel_mart", funnel_mart, FUNNEL_MART),
     Query("dealership_proofs", proofs, _proofs_sql()),
+    Query("dealership_load", pipeline_run, _proofs_sql()),
     Query("dashboard_sales_dataset", sales_dataset, SALES_DATASET),
     Query("dashboard_leads_dataset", leads_dataset, LEADS_DATASET),
     Query("dashboard_kpis", dashboard_kpis, DASHBOARD_KPIS),

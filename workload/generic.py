@@ -74,7 +74,7 @@ from garimpo.sources.raw import SourceSpec, inspect, land
 from garimpo.sources.tables import publish
 from workload import raw
 from workload.base import Query, plain
-from workload.lake import Lake
+from workload.lake import Lake, raw_files
 from workload.raw import load
 
 
@@ -840,12 +840,7 @@ SELECT count(DISTINCT o_orderstatus || o_orderpriority) AS grupos_divergentes FR
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files written from the tables, checked, landed as text and counted against the control."""
-    root = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
-    lake = Lake(spark, sf_dir)
-    for s in spec.SOURCES:
-        lake[f"bronze_{s.table}"].write.option("header", True).option(
-            "ignoreLeadingWhiteSpace", False
-        ).option("ignoreTrailingWhiteSpace", False).csv(s.path(root))
+    root = raw_files(spark, sf_dir)
     control = inspect(spark, root, spec.SOURCES)
     tables = {s.table: land(spark, root, s) for s in spec.SOURCES}
     return reconcile_counts(table_counts(spark, tables), expected_counts(control, spec.SOURCES))

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from garimpo.functions import split_rejects
-from garimpo.plans import gold, silver
+from garimpo.plans import gold, silver, spec
 from garimpo.session import shared_dir
 from garimpo.sources.tables import publish, publish_all, scan
 from workload import raw
@@ -58,6 +58,15 @@ def land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan(spark, _landed[key])
 
 
+def raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw tables as headed CSV in a folder laid out like the landing area."""
+    root = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    for s in spec.SOURCES:
+        rows = land(spark, sf_dir, f"bronze_{s.table}")
+        rows.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(s.path(root))
+    return root
+
+
 class Lake(Mapping):
     """Tables by name, written to the shared folder as a load does, but only those that are asked for."""
 
