@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,10 +48,23 @@ def build_session(app: str = "garimpo", cpus: int | None = None, memory: str = "
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Give a session made elsewhere the settings it may still take, unless it was started with its own."""
+    """Give a session made elsewhere the settings it may still take, unless it was started with its own.
+
+    A local session (tests, benchmarks) without `spark.checkpoint.dir` gets a folder of its own, removed when the process
+    ends; on a cluster the folder must be named, see `shared_dir`. Python workers are told where this library is.
+    """
+    context = spark.sparkContext
     for key in RUNTIME:
-        if spark.sparkContext.getConf().get(key) is None:
+        if context.getConf().get(key) is None:
             spark.conf.set(key, SETTINGS[key])
+    if context.master.startswith("local[") and not _named(spark):
+        folder = tempfile.mkdtemp(prefix="garimpo-")
+        context.setCheckpointDir(folder)
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = context.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
     return spark
 
 
@@ -56,25 +72,28 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
+def _named(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
-    Only a local session may fall back to a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach, as `spark.checkpoint.dir` or the session's checkpoint folder names it."""
+    folder = _named(spark)
+    if not folder:
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="garimpo-")
-    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and go on from there, so a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for a table that cuts lineage."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write the frame as a table of the shared folder and go on from there.
+
+    A lost executor then costs no recomputation, and the planner knows the size and may prune columns.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
