@@ -19,7 +19,7 @@ LENGTH, ANCHOR = 200, 56
 #: hold the same ones at the same places.
 SPREAD = LENGTH - ANCHOR + 1
 #: Bytes of a symbol of the transform; `LENGTH` is a multiple of it.
-STEP = 25
+STEP = 50
 #: Bits of the filter that tells which anchors may be repeated: its size is fixed, and all it can do is let too many pass.
 FILTER_BITS = 1 << 26
 FILTER_BLOCK = 1 << 14
@@ -100,7 +100,7 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 def _grams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, around, n) of a batch of texts, counted before the shuffle."""
-    for part in parts:
+    for part in (part.slice(i, 2000) for part in parts for i in range(0, part.num_rows, 2000)):
         found = [anchors(np.frombuffer(t, np.uint8))[1:] for t in columns(part)[0] if t and len(t) >= LENGTH]
         if found:
             both = np.empty(sum(len(a) for a, _ in found), [("a", "<u8"), ("c", "<u8")])
@@ -140,7 +140,7 @@ def _filter(repeated: DataFrame) -> np.ndarray:
             bits = part["bit"].to_numpy()
             for block in np.unique(bits // FILTER_BLOCK):
                 blocks.setdefault(int(block), np.zeros(FILTER_BLOCK, bool))[bits[bits // FILTER_BLOCK == block] % FILTER_BLOCK] = True
-        rows = [pa.array(list(blocks), pa.int64()), pa.array([np.packbits(x).tobytes() for x in blocks.values()], pa.binary())]
+        rows = [pa.array(list(blocks), pa.int64()), pa.array([np.packbits(x, bitorder="little").tobytes() for x in blocks.values()], pa.binary())]
         yield pa.RecordBatch.from_arrays(rows, names=["block", "bits"])
 
     bit = F.pmod("anchor", F.lit(FILTER_BITS))
@@ -170,26 +170,29 @@ def repeated_windows(body: np.ndarray, ends: np.ndarray, shard: int = SHARD) ->
     valid = np.flatnonzero(left >= STEP)
     if not len(valid):
         return valid, valid
-    symbol = np.full(len(body), -1, np.int64)
-    _, symbol[valid] = np.unique(Hashes(body).of(valid, valid + STEP), return_inverse=True)
-    # The shards' orders, and the first interleave: stable by symbol, so shards keep their order.
-    runs = [s[np.argsort(symbol[s], kind="stable")] for s in np.split(valid, np.searchsorted(valid, ends[shard - 1 : -1 : shard]))]
-    order = np.concatenate(runs)
-    order = order[np.argsort(symbol[order], kind="stable")]
-    block = _blocks(symbol[order])
+    hashes = np.zeros(len(body), np.uint64)
+    hashes[valid] = Hashes(body).of(valid, valid + STEP)
+    # The shards' orders one after the other; merging the sorted runs by symbol is the first interleave.
+    runs = np.split(valid, np.searchsorted(valid, ends[shard - 1 : -1 : shard]))
+    order = np.concatenate([run[np.argsort(hashes[run])] for run in runs])
+    order = order[np.argsort(hashes[order], kind="stable")]
+    block = _blocks(hashes[order])
+    symbol = np.zeros(len(body), np.int64)
+    symbol[order] = block
     for _ in range(LENGTH // STEP - 1):
         order, block = _open(order, block)
         ahead = offset[order] >= STEP
         order, block = order[ahead] - STEP, block[ahead]
-        bucket = np.argsort(symbol[order], kind="stable")
-        order, block = order[bucket], block[bucket]
-        changed = np.append(True, (symbol[order[1:]] != symbol[order[:-1]]) | (block[1:] != block[:-1])) if len(order) else np.zeros(0, bool)
-        block = np.cumsum(changed)
+        # By symbol and, within a symbol, in the present order of blocks.
+        bucket = symbol[order] << 32 | block
+        sent = np.argsort(bucket)
+        order, block = order[sent], _blocks(bucket[sent])
     return _open(order, block)
 
 
 def _blocks(values: np.ndarray) -> np.ndarray:
-    return np.cumsum(np.append(True, values[1:] != values[:-1]))
+    """Numbers of the runs of equal values."""
+    return np.cumsum(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
 
 
 def _open(order: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,7 +223,7 @@ def _spans(keys: list[bytes], low: np.ndarray, high: np.ndarray) -> pa.RecordBat
 
 def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts sorted by anchor give the covered spans of those that occur once."""
-    for table in whole_keys(parts, ["anchor"], 8192):
+    for table in whole_keys(parts, ["anchor"], 3000):
         keys, bodies = table["key"].to_pylist(), table["body"].to_pylist()
         start, once = table["low"].to_numpy(), table["n"].to_numpy() == 1
         ends = np.cumsum([len(b) for b in bodies])
@@ -295,18 +298,21 @@ _CONTEXT, _OPEN, _DONE = 0, 1, 2
 def _gathered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A text with its repeated anchors: contexts to compare, and what is known of the text's spans by now."""
     previous = None
-    for part in parts:
+    for part in (part.slice(i, 200) for part in parts for i in range(0, part.num_rows, 200)):
         out: list[tuple] = []
-        for key, text, found in zip(*(part[c].to_pylist() for c in ("key", "text", "found")), strict=True):
+        lists = part["found"]
+        edges = lists.offsets.to_numpy()
+        fields = [x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten()]  # of this slice alone
+        edges = edges - edges[0]
+        for row, (key, text) in enumerate(zip(part["key"].to_pylist(), part["text"].to_pylist(), strict=True)):
             if key == previous:
                 continue  # a copy
             previous = key
-            at = np.array([x["at"] for x in found])
+            at, anchor, n, send = (x[edges[row] : edges[row + 1]] for x in fields)
             low, high = context(at, len(text))
-            known = np.array([x["n"] > 1 for x in found])
-            for i, x in enumerate(found):
-                if x["send"]:
-                    out.append((_CONTEXT, key, x["anchor"], int(low[i]), x["n"], text[low[i] : high[i]], None))
+            for i in np.flatnonzero(send):
+                out.append((_CONTEXT, key, int(anchor[i]), int(low[i]), int(n[i]), text[low[i] : high[i]], None))
+            known = n > 1
             spans = union(np.stack([low[known], high[known]], axis=1))
             whole = len(spans) == 1 and spans[0, 0] == 0 and spans[0, 1] == len(text)
             if known.all() or whole:
@@ -324,7 +330,7 @@ def _result(text: bytes, spans: np.ndarray) -> bytes:
 
 def _closed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Open texts (sorted by key, each before the spans found for it) get their result."""
-    for table in whole_keys(parts, ["key"], 2000):
+    for table in whole_keys(parts, ["key"], 1000):
         at = starts(table, ["key"])
         keys, bodies, spans = (table[c].to_pylist() for c in ("key", "body", "spans"))
         out = []
@@ -348,13 +354,14 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(_filter(repeated))
 
     def candidates(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(bitmap.value).view(bool)
-        for part in parts:
+        bits = bitmap.value
+        for part in (part.slice(i, 1000) for part in parts for i in range(0, part.num_rows, 1000)):
             texts, keys = columns(part)
             out = []
             for text, key in zip(texts, keys, strict=True):
                 at, anchor, around = anchors(np.frombuffer(text, np.uint8))
-                some = np.flatnonzero(bits[anchor & np.uint64(FILTER_BITS - 1)])
+                bit = (anchor & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                some = np.flatnonzero(bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
                 if len(some):
                     out.append((key, at[some], anchor[some], around[some]))
             if out:
