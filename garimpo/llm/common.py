@@ -133,11 +133,16 @@ def whole_keys(parts: Iterable[pa.RecordBatch], keys: Sequence[str], rows: int =
         count += part.num_rows
         if count >= rows:
             table = pa.Table.from_batches(held)
-            last = starts(table, keys)[-1]
-            if last:
-                yield table.slice(0, last)
-            rest = table.slice(last).combine_chunks()
-            held, count = rest.to_batches(), 0  # a key larger than `rows` goes on growing
+            done = 0
+            for at in starts(table, keys)[1:].tolist():
+                if at - done >= rows:
+                    yield table.slice(done, at - done)
+                    done = at
+            last = int(starts(table, keys)[-1])
+            if last > done:
+                yield table.slice(done, last - done)
+            held = table.slice(last).combine_chunks().to_batches()  # a key larger than `rows` goes on growing
+            count = table.num_rows - last
     if held:
         yield pa.Table.from_batches(held)
 
