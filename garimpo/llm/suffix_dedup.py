@@ -25,8 +25,8 @@ FILTER_BITS = 1 << 26
 FILTER_BLOCK = 1 << 14
 #: Contexts of one anchor that are merged in memory; the windows of a larger group are counted by hash, exactly as well.
 GROUP = 20_000
-#: Bytes of contexts merged at once, and contexts in a shard.
-SHARD = 512
+#: Contexts in a shard.
+SHARD = 128
 
 _BASES = (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A35)
 _powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
@@ -223,7 +223,7 @@ def _spans(keys: list[bytes], low: np.ndarray, high: np.ndarray) -> pa.RecordBat
 
 def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts sorted by anchor give the covered spans of those that occur once."""
-    for table in whole_keys(parts, ["anchor"], 3000):
+    for table in whole_keys(parts, ["anchor"], 1000):
         keys, bodies = table["key"].to_pylist(), table["body"].to_pylist()
         start, once = table["low"].to_numpy(), table["n"].to_numpy() == 1
         ends = np.cumsum([len(b) for b in bodies])
