@@ -24,7 +24,7 @@ STEP = 50
 FILTER_BITS = 1 << 26
 FILTER_BLOCK = 1 << 14
 #: Contexts of one anchor that are merged in memory; the windows of a larger group are counted by hash, exactly as well.
-GROUP = 20_000
+GROUP = 4_000
 #: Contexts in a shard.
 SHARD = 128
 
