@@ -26,7 +26,7 @@ FILTER_BLOCK = 1 << 14
 #: Contexts of one anchor that are merged in memory; the windows of a larger group are counted by hash, exactly as well.
 GROUP = 4_000
 #: Contexts in a shard.
-SHARD = 128
+SHARD = 256
 
 _BASES = (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A35)
 _powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
@@ -164,10 +164,9 @@ def repeated_windows(body: np.ndarray, ends: np.ndarray, shard: int = SHARD) ->
     are all its forerunners; only open blocks go on. What is still together after `LENGTH` bytes is a repeated string.
     """
     size = np.diff(np.append(0, ends))
-    owner = np.repeat(np.arange(len(ends)), size)
-    offset = np.arange(len(body)) - np.repeat(ends - size, size)
-    left = size[owner] - offset
-    valid = np.flatnonzero(left >= STEP)
+    place = np.arange(len(body), dtype=np.int32)
+    offset = place - np.repeat((ends - size).astype(np.int32), size)
+    valid = np.flatnonzero(np.repeat(ends.astype(np.int32), size) - place >= STEP)
     if not len(valid):
         return valid, valid
     hashes = np.zeros(len(body), np.uint64)
@@ -263,9 +262,11 @@ def _shared_spans(contexts: DataFrame) -> DataFrame:
     small = sized.where("_large is null").select("anchor", "key", "low", "n", "body")
     merged = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_merged, _FOUND)
     windows = sized.where("_large").select("key", "body", "low", "n").mapInArrow(_windows, "one long, two long, key binary, at int, n long")
-    place = F.struct("key", "at")
-    twice = windows.groupBy("one", "two").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("one", "two")
-    hot = windows.where("n = 1").join(twice, ["one", "two"]).select("key", F.col("at").alias("low"), (F.col("at") + LENGTH).alias("high"))
+    # A window repeats if its two hashes have two places.
+    same = Window.partitionBy("one", "two")
+    places = windows.withColumn("_place", F.xxhash64("key", "at"))
+    twice = places.withColumn("_other", F.min("_place").over(same) < F.max("_place").over(same)).where("n = 1 and _other")
+    hot = twice.select("key", F.col("at").alias("low"), (F.col("at") + LENGTH).alias("high"))
     return merged.unionByName(hot)
 
 
