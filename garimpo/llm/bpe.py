@@ -7,7 +7,6 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from garimpo.llm.common import map_batches
 #: lowest rank that has a bucket.
 SPAN = 256
 #: Pre-tokens whose ids a Python worker keeps; when full it starts anew. The bound is on memory and changes no result.
-KEPT = 400_000
+KEPT = 1_200_000
 
 
 def load_ranks(spark, path: str) -> dict[bytes, int]:
@@ -129,21 +128,21 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class Encoder:
+class Encoder(dict):
     """Encodes texts; remembers the ids of pre-tokens it has met."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks, self.pattern, self.known = ranks, regex.compile(pattern), {}
+        self.ranks, self.pattern = ranks, regex.compile(pattern)
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = array("I", merge(piece.encode(), self.ranks)).tobytes()
+        return ids
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known = self.known
-        if len(known) > KEPT:
-            known.clear()
-        pieces = self.pattern.findall(text)
-        for piece in set(pieces).difference(known):
-            known[piece] = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        if len(self) > KEPT:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 
 
 _encoders: dict[tuple[str, str], tuple[Encoder, list[bytes]]] = {}
