@@ -23,8 +23,9 @@ STEP = 50
 #: Bits of the filter that tells which anchors may be repeated: its size is fixed, and all it can do is let too many pass.
 FILTER_BITS = 1 << 26
 FILTER_BLOCK = 1 << 14
-#: Contexts of one anchor that are merged in memory; the windows of a larger group are counted by hash, exactly as well.
-GROUP = 4_000
+#: Contexts of one anchor that are merged. The windows of a larger group are compared by hash place by place, in memory up to the
+#: second bound and as rows dealt by hash beyond it: as exact, with less memory a context.
+GROUP, WIDE = 4_000, 150_000
 #: Contexts in a shard.
 SHARD = 256
 
@@ -221,25 +222,74 @@ def _spans(keys: list[bytes], low: np.ndarray, high: np.ndarray) -> pa.RecordBat
 
 
 def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by anchor give the covered spans of those that occur once."""
+    """Contexts sorted by anchor give the covered spans of those that occur once, one table of whole anchors at a time."""
     for table in whole_keys(parts, ["anchor"], 1000):
         keys, bodies = table["key"].to_pylist(), table["body"].to_pylist()
         start, once = table["low"].to_numpy(), table["n"].to_numpy() == 1
-        ends = np.cumsum([len(b) for b in bodies])
-        at, block = repeated_windows(np.frombuffer(b"".join(bodies), np.uint8), ends)
-        if not len(at):
-            continue
-        owner = np.searchsorted(ends, at, side="right")
-        place = start[owner] + at - (ends - [len(b) for b in bodies])[owner]
+        size = np.array([len(b) for b in bodies])
         _, document = np.unique(np.array(keys, object), return_inverse=True)
-        # A context may overlap another of its document, so a block counts if it holds two different places.
-        order = np.lexsort((place, document[owner], block))
-        same = (block[order][1:] == block[order][:-1]) & (place[order][1:] == place[order][:-1])
-        same &= document[owner[order]][1:] == document[owner[order]][:-1]
-        distinct = np.bincount(block[order][np.append(True, ~same)], minlength=block.max() + 1)
-        kept = (distinct[block] > 1) & once[owner]
-        document_of, low, high = _runs(owner[kept], place[kept]) if kept.any() else (np.zeros(0, int),) * 3
-        yield _spans([keys[i] for i in document_of], low, high)
+        if len(bodies) > GROUP:
+            spots = _aligned(bodies, size, table["off"].to_numpy(), start, document, once)
+        else:
+            spots = _together(bodies, size, start, document, once)
+        if len(spots[0]):
+            owner, low, high = _runs(*spots)
+            name = np.zeros(document.max() + 1, np.int64)
+            name[document] = np.arange(len(keys))
+            yield _spans([keys[i] for i in name[owner]], low, high)
+
+
+def _together(bodies: list[bytes], size: np.ndarray, start: np.ndarray, document: np.ndarray, once: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, place) of the repeated windows of contexts that occur once, by the merged transform."""
+    ends = np.cumsum(size)
+    at, block = repeated_windows(np.frombuffer(b"".join(bodies), np.uint8), ends)
+    owner = np.searchsorted(ends, at, side="right")
+    place = start[owner] + at - (ends - size)[owner]
+    kept = _differ(block, document[owner], place) & once[owner]
+    return document[owner[kept]], place[kept]
+
+
+def _differ(block: np.ndarray, document: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which rows are in a block that holds two different places; a context may overlap another of its document."""
+    if not len(block):
+        return np.zeros(0, bool)
+    order = np.lexsort((place, document, block))
+    block, document, place = block[order], document[order], place[order]
+    border = np.append(True, block[1:] != block[:-1])
+    new = border | np.append(True, (document[1:] != document[:-1]) | (place[1:] != place[:-1]))
+    number = np.cumsum(border) - 1
+    out = np.zeros(len(order), bool)
+    out[order] = np.bincount(number[new])[number] > 1
+    return out
+
+
+def _aligned(
+    bodies: list[bytes], size: np.ndarray, off: np.ndarray, start: np.ndarray, document: np.ndarray, once: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many contexts, by a hash of each window.
+
+    Equal strings hold their lowest gram at the same place, so only windows that start equally far before the anchor can be equal.
+    """
+    ahead = LENGTH - ANCHOR
+    hashes = np.zeros((len(bodies), SPREAD), np.uint64)
+    up, down = _power(ahead + LENGTH + 1, _BASES[0])
+    for at in range(0, len(bodies), 1000):
+        some = bodies[at : at + 1000]
+        rows = np.zeros((len(some), ahead + LENGTH), np.uint8)
+        for row, body, shift in zip(rows, some, ahead - off[at : at + 1000], strict=True):
+            row[shift : shift + len(body)] = np.frombuffer(body, np.uint8)
+        sums = np.zeros((len(some), ahead + LENGTH + 1), np.uint64)
+        np.cumsum((rows.astype(np.uint64) + np.uint64(1)) * up[:-1], axis=1, out=sums[:, 1:])
+        hashes[at : at + 1000] = _mixed((sums[:, LENGTH:] - sums[:, :SPREAD]) * down[:SPREAD])
+    documents, places = [], []
+    for column in range(SPREAD):
+        first = column - (ahead - off)  # of the window in the context
+        inside = np.flatnonzero((first >= 0) & (first + LENGTH <= size))
+        place = start[inside] + first[inside]
+        kept = _differ(hashes[inside, column], document[inside], place) & once[inside]
+        documents.append(document[inside[kept]])
+        places.append(place[kept])
+    return np.concatenate(documents), np.concatenate(places)
 
 
 def _windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,9 +307,9 @@ def _windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shared_spans(contexts: DataFrame) -> DataFrame:
     """(key, low, high): spans of contexts that occur once whose windows also start elsewhere."""
-    large = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > GROUP).select("anchor", F.lit(True).alias("_large"))
+    large = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > WIDE).select("anchor", F.lit(True).alias("_large"))
     sized = contexts.join(large, "anchor", "left")
-    small = sized.where("_large is null").select("anchor", "key", "low", "n", "body")
+    small = sized.where("_large is null").select("anchor", "key", "low", "off", "n", "body")
     merged = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_merged, _FOUND)
     windows = sized.where("_large").select("key", "body", "low", "n").mapInArrow(_windows, "one long, two long, key binary, at int, n long")
     # A window repeats if its two hashes have two places.
@@ -291,8 +341,8 @@ def cut(text: bytes, spans: np.ndarray) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-_STAGE = [("kind", pa.int32()), ("key", pa.binary()), ("anchor", pa.int64()), ("low", pa.int32()), ("n", pa.int64()), ("body", pa.binary()), ("spans", pa.binary())]
-_STAGE_SCHEMA = "kind int, key binary, anchor long, low int, n long, body binary, spans binary"
+_STAGE = [("kind", pa.int32()), ("key", pa.binary()), ("anchor", pa.int64()), ("low", pa.int32()), ("off", pa.int32()), ("n", pa.int64()), ("body", pa.binary()), ("spans", pa.binary())]
+_STAGE_SCHEMA = "kind int, key binary, anchor long, low int, off int, n long, body binary, spans binary"
 _CONTEXT, _OPEN, _DONE = 0, 1, 2
 
 
@@ -312,14 +362,14 @@ def _gathered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, anchor, n, send = (x[edges[row] : edges[row + 1]] for x in fields)
             low, high = context(at, len(text))
             for i in np.flatnonzero(send):
-                out.append((_CONTEXT, key, int(anchor[i]), int(low[i]), int(n[i]), text[low[i] : high[i]], None))
+                out.append((_CONTEXT, key, int(anchor[i]), int(low[i]), int(at[i] - low[i]), int(n[i]), text[low[i] : high[i]], None))
             known = n > 1
             spans = union(np.stack([low[known], high[known]], axis=1))
             whole = len(spans) == 1 and spans[0, 0] == 0 and spans[0, 1] == len(text)
             if known.all() or whole:
-                out.append((_DONE, key, None, None, None, None, _result(text, spans)))
+                out.append((_DONE, key, None, None, None, None, None, _result(text, spans)))
             else:
-                out.append((_OPEN, key, None, None, None, text, _packed(spans[:, 0], spans[:, 1])))
+                out.append((_OPEN, key, None, None, None, None, text, _packed(spans[:, 0], spans[:, 1])))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), _STAGE, strict=True)], names=[n for n, _ in _STAGE])
 
@@ -379,7 +429,7 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     listed = marked.groupBy("key").agg(F.collect_list(F.struct("at", "anchor", "n", "send")).alias("found"))
     stage = rows.join(listed, "key").select("key", "text", "found").mapInArrow(_gathered, _STAGE_SCHEMA)
     stage = settle(stage, "stage")
-    contexts = stage.where(F.col("kind") == _CONTEXT).select("anchor", "key", "low", "n", "body")
+    contexts = stage.where(F.col("kind") == _CONTEXT).select("anchor", "key", "low", "off", "n", "body")
     spans = _shared_spans(contexts)
 
     def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
