@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import packed, starts, usable, whole_keys
+from garimpo.llm.common import lowest, packed, starts, usable, whole_keys
 from garimpo.session import settle
 
 #: Neighbours of a node in the graph, rounds of NN-descent, nodes that a query keeps open for its search.
@@ -156,7 +156,7 @@ def forest(coded: DataFrame, vectors: DataFrame, dim: int, count: int) -> tuple[
     The upper part of a tree is drawn from a bounded sample and deals the vectors to cells; a cell is cut on into leaves where it is
     gathered, always at the median, so leaves stay even however the vectors crowd.
     """
-    sample = vectors.orderBy(F.xxhash64("node")).limit(SAMPLE).select("vector").collect()
+    sample = lowest(vectors, F.xxhash64("node"), SAMPLE).select("vector").collect()
     rows = np.frombuffer(b"".join(r["vector"] for r in sample), "<f4").reshape(len(sample), dim)
     rng = np.random.default_rng(11)
     cells = max(1, min(SAMPLE // 8, -(-count // CELL)))

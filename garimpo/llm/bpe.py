@@ -17,7 +17,7 @@ from garimpo.llm.common import map_batches
 #: lowest rank that has a bucket.
 SPAN = 256
 #: Pre-tokens whose ids a Python worker keeps; when full it starts anew. The bound is on memory and changes no result.
-KEPT = 1_200_000
+KEPT = 500_000
 
 
 def load_ranks(spark, path: str) -> dict[bytes, int]:

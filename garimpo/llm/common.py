@@ -99,13 +99,31 @@ def map_batches(df: DataFrame, run: Callable[..., Iterable[dict]], schema: str)
     out = pa_schema(df, schema)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in small(parts):
             for rows in run(*columns(part)):
                 yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in out], schema=out)
 
     return df.mapInArrow(batches, schema)
 
 
+def small(parts: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows`, so that few texts are unpacked at once."""
+    for part in parts:
+        for at in range(0, part.num_rows, rows):
+            yield part.slice(at, rows)
+
+
+def lowest(df: DataFrame, order: Column, rows: int) -> DataFrame:
+    """About `rows` rows with the lowest hash `order` (a long), `rows` at most.
+
+    Only rows below a cut that lets a little more than that many pass are ever sorted or sent, whatever the number of partitions.
+    """
+    count = df.count()
+    share = min(1.0, (rows + 6 * rows**0.5 + 50) / max(1, count))
+    cut = int(-(2.0**63) + share * 2.0**64)
+    return df.withColumn("_order", order).where(F.col("_order") <= min(cut, 2**63 - 1)).orderBy("_order").limit(rows)
+
+
 def columns(part: pa.RecordBatch) -> list[list]:
     """The columns of a batch as lists, text as UTF-8 bytes."""
     return [

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import map_batches
+from garimpo.llm.common import lowest, map_batches, small
 
 #: Bytes of a window; a text is cut into such windows and the last one is filled with zero bytes.
 WINDOW = 256
@@ -149,13 +149,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     order = F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("sample"))
     start = F.pmod(order, F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(1))) + 1
-    sample = (
-        docs.where(~held_out(doc_id) & F.col(f"`{lang_col}`").isNotNull() & text.isNotNull())
-        .select(order.alias("_order"), F.substring(text, start.cast("int"), SAMPLE_CHARS).alias("_text"), F.col(f"`{lang_col}`").alias("_lang"))
-        .orderBy("_order", "_text", "_lang")
-        .limit(rows)
-        .collect()
+    learned = docs.where(~held_out(doc_id) & F.col(f"`{lang_col}`").isNotNull() & text.isNotNull())
+    some = learned.select(
+        order.alias("_id"), F.substring(text, start.cast("int"), SAMPLE_CHARS).alias("_text"), F.col(f"`{lang_col}`").alias("_lang")
     )
+    sample = lowest(some, F.col("_id"), rows).orderBy("_id", "_text", "_lang").collect()
     known = [(r["_text"].encode(), r["_lang"]) for r in sample]
     known = [(t, lang) for t, lang in known if has_letter(t)]
     return train([t for t, _ in known], [lang for _, lang in known]) if known else None
@@ -202,7 +200,7 @@ def known_language(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id",
     def batches(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for part in parts:
+        for part in small(parts):
             texts = part.column(place).cast(pa.large_binary()).to_pylist()
             yield part.filter(pa.array(run(texts), pa.bool_()))
 

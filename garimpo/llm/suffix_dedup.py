@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import columns, starts, whole_keys
+from garimpo.llm.common import columns, small, starts, whole_keys
 from garimpo.session import settle
 
 #: Bytes of a string that counts as repeated, and of the anchors that lead to it.
@@ -25,7 +25,7 @@ FILTER_BITS = 1 << 26
 FILTER_BLOCK = 1 << 14
 #: Contexts of one anchor that are merged. The windows of a larger group are compared by hash place by place, in memory up to the
 #: second bound and as rows dealt by hash beyond it: as exact, with less memory a context.
-GROUP, WIDE = 4_000, 150_000
+GROUP, WIDE = 2_000, 150_000
 #: Contexts in a shard.
 SHARD = 256
 
@@ -101,7 +101,7 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 def _grams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, around, n) of a batch of texts, counted before the shuffle."""
-    for part in (part.slice(i, 2000) for part in parts for i in range(0, part.num_rows, 2000)):
+    for part in small(parts):
         found = [anchors(np.frombuffer(t, np.uint8))[1:] for t in columns(part)[0] if t and len(t) >= LENGTH]
         if found:
             both = np.empty(sum(len(a) for a, _ in found), [("a", "<u8"), ("c", "<u8")])
@@ -349,7 +349,7 @@ _CONTEXT, _OPEN, _DONE = 0, 1, 2
 def _gathered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A text with its repeated anchors: contexts to compare, and what is known of the text's spans by now."""
     previous = None
-    for part in (part.slice(i, 200) for part in parts for i in range(0, part.num_rows, 200)):
+    for part in small(parts, 200):
         out: list[tuple] = []
         lists = part["found"]
         edges = lists.offsets.to_numpy()
@@ -406,7 +406,7 @@ def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def candidates(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
-        for part in (part.slice(i, 1000) for part in parts for i in range(0, part.num_rows, 1000)):
+        for part in small(parts):
             texts, keys = columns(part)
             out = []
             for text, key in zip(texts, keys, strict=True):
@@ -504,7 +504,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     flat = joined.select(*[F.col("_row")[c].alias(c) for c in docs.columns], F.col("_spans").alias("_cut_spans"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in small(parts):
             texts = part.column(place).cast(pa.large_binary()).to_pylist()
             spans = part.column(part.num_columns - 1).to_pylist()
             kept = [
