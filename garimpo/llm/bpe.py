@@ -15,110 +15,105 @@ from garimpo.llm.common import map_batches
 
 #: Ranks in one word of the lower bitmap; the upper bitmap has a bit for each such word, so two find-first-sets give the
 #: lowest rank that has a bucket.
-SPAN = 256
-#: Pre-tokens whose ids a Python worker keeps; when full it starts anew. The bound is on memory and changes no result.
+SPAN, SHIFT = 256, 8
+#: Pre-tokens whose ids a task keeps; when full it starts anew. The bound is on memory and changes no result.
 KEPT = 500_000
 
 
 def load_ranks(spark, path: str) -> dict[bytes, int]:
     """The merge ranks of a vocabulary file of "base64 rank" lines. Its size is fixed, whatever the corpus."""
     with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    if sorted(ranks.values()) != list(range(len(ranks))) or len(ranks) > SPAN * len(_BIT):
+        raise ValueError(f"ranks must be 0, 1, .. and at most {SPAN * len(_BIT)} of them")
+    return ranks
 
 
-class RankQueue:
-    """Positions of mergeable pairs by merge rank, lowest rank first, leftmost position first within a rank.
-
-    A bucket per rank holds positions of the linked list of pieces; a bitmap marks the ranks that have a bucket and a second
-    one the words of the first that are not zero. A position whose pair has changed since is stale: the reader of
-    a bucket skips it, and nothing is ever deleted from the middle of a bucket.
-    """
-
-    __slots__ = ("buckets", "lower", "upper")
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.lower: dict[int, int] = {}
-        self.upper = 0
-
-    def put(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = [position]
-        word = rank // SPAN
-        self.lower[word] = self.lower.get(word, 0) | 1 << rank % SPAN
-        self.upper |= 1 << word
-
-    def lowest(self) -> int:
-        word = (self.upper & -self.upper).bit_length() - 1
-        bits = self.lower[word]
-        return word * SPAN + (bits & -bits).bit_length() - 1
-
-    def take(self, rank: int) -> list[int]:
-        word = rank // SPAN
-        self.lower[word] &= ~(1 << rank % SPAN)
-        if not self.lower[word]:
-            self.upper &= ~(1 << word)
-        return self.buckets.pop(rank)
+_BIT = [1 << i for i in range(1024)]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one pre-token: always the lowest rank in it is merged next, the leftmost such pair first.
 
-    Work is in proportion to the length, as each merge looks at two new pairs and each queued position is read once.
+    A bucket for each rank that occurs holds places in the linked list of pieces. The queue over them is a bitmap of ranks in words of
+    `SPAN` bits and one of the words that are not zero, so two find-first-sets give the lowest rank. A place whose pair has
+    changed since it was queued is stale and is skipped when its bucket is read; nothing is deleted from a bucket's middle.
+    Work is in proportion to the length: a merge looks at two new pairs, and each queued place is read once.
     """
-    whole = ranks.get(piece)
+    find = ranks.get
+    whole = find(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
-    if n == 2:
-        return [ranks[piece[:1]], ranks[piece[1:]]]
-    # Piece i starts at byte i; after[i] is where it ends, which is where the next one starts. before[i] starts the one ahead.
+    # Piece i starts at byte i and ends at after[i], where the next one starts; before[i] starts the one ahead.
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     pair = [-1] * n  # rank of the pair that starts at i, -1 if there is none or i starts no piece
-    queue, find = RankQueue(), ranks.get
+    buckets: dict[int, list[int]] = {}
+    lower = [0] * (len(ranks) // SPAN + 2)
+    upper = 0
     for i in range(n - 1):
         rank = find(piece[i : i + 2])
         if rank is not None:
             pair[i] = rank
-            queue.put(rank, i)
-    while queue.upper:
-        rank = queue.lowest()
-        waiting = queue.take(rank)
+            if rank in buckets:
+                buckets[rank].append(i)
+            else:
+                buckets[rank] = [i]
+                lower[rank >> SHIFT] |= _BIT[rank & SPAN - 1]
+                upper |= _BIT[rank >> SHIFT]
+    while upper:
+        word = (upper & -upper).bit_length() - 1
+        bits = lower[word]
+        rank = (word << SHIFT) + (bits & -bits).bit_length() - 1
+        waiting = buckets.pop(rank)
+        lower[word] = bits = bits & (bits - 1)
+        if not bits:
+            upper &= upper - 1
         if len(waiting) > 1:
             waiting.sort()
-        for k, i in enumerate(waiting):
+        for i in waiting:
             if pair[i] != rank:
                 continue  # stale
             j = after[i]
             end = after[j]
-            pair[j] = -1
+            pair[i] = pair[j] = -1
             after[i] = end
-            lower = False
+            least = rank
             if end < n:
                 before[end] = i
                 found = find(piece[i : after[end]])
-                pair[i] = -1 if found is None else found
                 if found is not None:
-                    queue.put(found, i)
-                    lower = found < rank
-            else:
-                pair[i] = -1
-            p = before[i]
-            if p >= 0:
-                found = find(piece[p:end])
+                    pair[i] = found
+                    if found < least:
+                        least = found
+                    if found in buckets:
+                        buckets[found].append(i)
+                    else:
+                        buckets[found] = [i]
+                        lower[found >> SHIFT] |= _BIT[found & SPAN - 1]
+                        upper |= _BIT[found >> SHIFT]
+            i = before[i]
+            if i >= 0:
+                found = find(piece[i:end])
                 if found is None:
-                    pair[p] = -1
-                elif pair[p] != found:
-                    pair[p] = found
-                    queue.put(found, p)
-                    lower = lower or found < rank
-            if lower and k + 1 < len(waiting):
-                # A pair of a lower rank has come up and goes first; the rest of this bucket waits again.
-                for x in waiting[k + 1 :]:
-                    queue.put(rank, x)
+                    pair[i] = -1
+                else:
+                    pair[i] = found
+                    if found < least:
+                        least = found
+                    if found in buckets:
+                        buckets[found].append(i)
+                    else:
+                        buckets[found] = [i]
+                        lower[found >> SHIFT] |= _BIT[found & SPAN - 1]
+                        upper |= _BIT[found >> SHIFT]
+            if least < rank and len(waiting) > 1:
+                # A pair of a lower rank has come up and goes first; what is left of this bucket waits again.
+                rest = [x for x in waiting if pair[x] == rank]
+                if rest:
+                    buckets[rank] = rest
+                    lower[rank >> SHIFT] |= _BIT[rank & SPAN - 1]
+                    upper |= _BIT[rank >> SHIFT]
                 break
     ids, i = [], 0
     while i < n:
@@ -145,6 +140,13 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 
 
+def encode(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        if len(self) > KEPT:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.pattern.findall(text)))
+
+
 _encoders: dict[tuple[str, str], tuple[Encoder, list[bytes]]] = {}
 
 
@@ -171,10 +173,16 @@ def encode(
     proportion to their length. An empty table gives an empty result. Other columns are ignored.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(docs.sparkSession, ranks_path))
-    name = (hashlib.sha256(ranks_path.encode()).hexdigest(), pattern)
 
-    def run(ids: list, texts: list) -> Iterator[dict]:
-        encoder, tokens = _tools(name, ranks.value)
+    def begin() -> tuple[Encoder, list[bytes]]:
+        """What a task keeps while it runs."""
+        tokens = [b""] * (max(ranks.value.values()) + 1)
+        for token, rank in ranks.value.items():
+            tokens[rank] = token
+        return Encoder(ranks.value, pattern), tokens
+
+    def run(kept: tuple[Encoder, list[bytes]], ids: list, texts: list) -> Iterator[dict]:
+        encoder, tokens = kept
         out: dict[str, list] = {c: [] for c in ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")}
         for doc_id, text in zip(ids, texts, strict=True):
             encoded = encoder.encode((text or b"").decode())
@@ -191,7 +199,7 @@ def encode(
 
     kept = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     schema = f"doc_id {kept.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(kept, run, schema + (", ids array<long>, decoded binary" if with_ids else ""))
+    return map_batches(kept, run, schema + (", ids array<long>, decoded binary" if with_ids else ""), begin)
 
 
 def decode(ids: Iterable[int], ranks: dict[bytes, int]) -> bytes:

@@ -94,13 +94,17 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def map_batches(df: DataFrame, run: Callable[..., Iterable[dict]], schema: str) -> DataFrame:
-    """`run(columns of a batch as lists) -> rows as dicts of lists`, batch by batch; text arrives as UTF-8 bytes or None."""
+def map_batches(df: DataFrame, run: Callable[..., Iterable[dict]], schema: str, begin: Callable | None = None) -> DataFrame:
+    """`run(columns of a batch as lists) -> rows as dicts of lists`, batch by batch; text arrives as UTF-8 bytes or None.
+
+    With `begin`, what it makes at the start of a task is the first argument of each `run` of that task.
+    """
     out = pa_schema(df, schema)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [begin()] if begin else []
         for part in small(parts):
-            for rows in run(*columns(part)):
+            for rows in run(*kept, *columns(part)):
                 yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in out], schema=out)
 
     return df.mapInArrow(batches, schema)
