@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from garimpo.functions import PROBLEM
 from garimpo.functions.aggregates import MONEY
 from garimpo.operators.dimensions import union_all
+from garimpo.session import scratch
 
 TOLERANCE = "0.01"
 EXAMPLES = 20
@@ -340,10 +341,12 @@ def failure_message(offenders: DataFrame, text: Column, examples: int = EXAMPLES
 
 
 def require_none(offenders: DataFrame, text: Column, title: str) -> None:
-    """Raise when there is any offender."""
+    """Raise when there is any offender. All of them are then in a table of the shared folder that the message names."""
     row = failure_message(offenders, text).first()
     if row["total"]:
-        raise ContractBroken(f"{title}: {row['mensagem']} (total {row['total']})")
+        path = scratch(offenders.sparkSession, "offenders")
+        offenders.write.parquet(path)
+        raise ContractBroken(f"{title}: {row['mensagem']} (total {row['total']}, all of them in {path})")
 
 
 def require_clean(df: DataFrame, title: str) -> DataFrame:
@@ -359,6 +362,6 @@ def report(results: DataFrame) -> DataFrame:
     return results.orderBy("ORDEM").drop("ORDEM")
 
 
-def preview(df: DataFrame, order: Sequence[str], rows: int = 20) -> DataFrame:
+def preview(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
     """The first rows in order, for a small printed report."""
     return df.orderBy(*order).limit(rows)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from garimpo.operators.running import running_total
+
 CONFLICT = "_conflito"
-ARRAY_LIMIT = 10_000
+PART, PART_VALUES = "PARTE", 1000
 
 
 class Split(NamedTuple):
@@ -52,30 +54,18 @@ def evidence(df: DataFrame, held: DataFrame, id: str, attributes: Sequence[str])
 
 
 def evidence_arrays(
-    values: DataFrame, id: str, names: Mapping[str, str], array_limit: int = ARRAY_LIMIT
+    values: DataFrame, id: str, names: Mapping[str, str], part_values: int = PART_VALUES, part: str = PART
 ) -> DataFrame:
-    """One row per id with a sorted array per attribute, from the rows of `evidence`.
+    """(id, part, one sorted array per attribute) from the rows of `evidence`, every value kept.
 
-    `names` maps attribute to array column. An array longer than `array_limit` is left NULL, because all of it would
-    sit in one row; its values are whole in `evidence`.
+    `names` maps attribute to array column. Part n holds the values n * part_values and on of each attribute in their order, so an ordinary id
+    is one row (part 1) and no row grows with the data. Positions are numbered by range slices, for ids with any number of values.
     """
-    sizes = values.groupBy(id, "atributo").agg(F.count(F.lit(1)).alias("_n"))
-    short = sizes.filter(F.col("_n") <= array_limit).select(F.col(id).alias("_id"), F.col("atributo").alias("_a"))
-    same = F.col(id).eqNullSafe(F.col("_id")) & (F.col("atributo") == F.col("_a"))
-    arrays = values.join(short, same, "left_semi").groupBy(id).agg(
-        *[F.sort_array(F.collect_list(F.when(F.col("atributo") == a, F.col("valor")))).alias(n) for a, n in names.items()]
-    )
-    long = sizes.groupBy(F.col(id).alias("_id")).agg(
-        *[F.max(F.when(F.col("atributo") == a, F.col("_n") > array_limit)).alias(f"_long_{n}") for a, n in names.items()]
-    )
-    empty = F.array().cast("array<string>")
-
-    def kept(n: str) -> Column:
-        return F.when(~F.coalesce(F.col(f"_long_{n}"), F.lit(False)), F.coalesce(F.col(n), empty)).alias(n)
-
-    return long.join(arrays, F.col(id).eqNullSafe(F.col("_id")), "left").select(
-        F.col("_id").alias(id), *[kept(n) for n in names.values()]
-    )
+    one = values.withColumn("_one", F.lit(1))
+    numbered = running_total(one, "_one", [id, "atributo"], [F.col("valor")], "_at")
+    of = (F.floor((F.col("_at") - 1) / part_values) + 1).cast("int").alias(part)
+    arrays = [F.sort_array(F.collect_list(F.when(F.col("atributo") == a, F.col("valor")))).alias(n) for a, n in names.items()]
+    return numbered.groupBy(id, of).agg(*arrays)
 
 
 def grain_conflicts(df: DataFrame, grain: Sequence[str]) -> Split:

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from garimpo.functions import content_hash
-from garimpo.session import settle, shuffle_partitions
+from garimpo.session import shuffle_partitions
 
 SOURCE_ROWS = "_linhas_origem"
-MIN_HOT_ROWS = 1_000_000
 
 
 def consolidate(df: DataFrame, business: Sequence[str], source_rows: str = SOURCE_ROWS) -> DataFrame:
@@ -40,69 +38,29 @@ def _hash_slice(digest: Column, slices: Column) -> Column:
     return F.shiftright(prefix * slices, 32).cast("int")
 
 
-def hot_keys(df: DataFrame, key: Sequence[str], min_rows: int) -> list[Row]:
-    """Keys with more rows than one shuffle partition's fair share (and than `min_rows`), with how many shares.
-
-    Runs one action that reads the key columns only. There are fewer such keys than shuffle partitions.
-    """
-    parts = shuffle_partitions(df.sparkSession)
-    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
-    share = sizes.agg(F.greatest(F.lit(min_rows), F.ceil(F.sum("_rows") / parts)).alias("_share")).scalar()
-    hot = sizes.filter(F.col("_rows") > share)
-    for name in key:
-        hot = hot.filter(F.col(name).isNotNull())
-    return hot.select(*key, F.ceil(F.col("_rows") / share).cast("bigint").alias("_slices")).collect()
-
-
-def number_versions(
-    df: DataFrame,
-    key: Sequence[str],
-    content: Sequence[str],
-    version: str = "_versao",
-    sizes_from: DataFrame | None = None,
-    min_hot_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
+def number_versions(df: DataFrame, key: Sequence[str], content: Sequence[str], version: str = "_versao") -> DataFrame:
     """Number the rows of each key 1, 2, .. in the order of the hash of their content.
 
     The numbers are the same whatever order the rows arrive in. A row with a NULL in its key gets a NULL number (its
-    record key is NULL anyway) and is spread over all partitions.
+    record key is NULL anyway).
 
-    A key with more rows than one shuffle partition's fair share is cut into ranges of the hash, which is uniform, so
-    the ranges are even; each range is numbered on its own and moved up by the rows in the ranges before it. There
-    are fewer than two ranges per shuffle partition, so the helper frames are small by construction and are broadcast.
-
-    Runs the action of `hot_keys` on `sizes_from`, a cheaper frame with at least the rows of `df` per key (the rows
-    before duplicates were folded, say); without hot keys the result is one plain window.
+    Every key is cut into as many even ranges of the (uniform) hash as there are shuffle partitions. The rows are dealt once, by
+    key and range; that one exchange serves the numbering within a range, the count of each range, and the join that moves
+    a range up by the ranges before it. So a key of any size is spread, and no action and no broadcast is needed.
     """
-    parts = shuffle_partitions(df.sparkSession)
     broken = F.lit(False)
     for name in key:
         broken = broken | F.col(name).isNull()
-    spread = F.when(broken, F.pmod(F.xxhash64("_hash"), F.lit(parts)).cast("int"))
-
     hashed = df.withColumn("_hash", content_hash(content))
-    hot = hot_keys(sizes_from if sizes_from is not None else df, key, min_hot_rows)
-    if hot:
-        schema = T.StructType([*[df.schema[k] for k in key], T.StructField("_slices", T.LongType())])
-        slices = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
-        cut = spread.when(F.col("_slices").isNotNull(), _hash_slice(F.col("_hash"), F.col("_slices"))).otherwise(0)
-        sliced = settle(hashed.join(slices, list(key), "left").withColumn("_slice", cut))
-    else:
-        sliced = hashed.withColumn("_slice", spread.otherwise(0))
+    ranges = F.lit(shuffle_partitions(df.sparkSession)).cast("bigint")
+    dealt = hashed.withColumn("_slice", _hash_slice(F.col("_hash"), ranges)).repartition(*key, "_slice")
 
     # Equal hashes of different rows would be a SHA-256 collision; the content itself then decides, without shipping
     # the JSON through the shuffle.
     within = Window.partitionBy(*key, "_slice").orderBy("_hash", *content)
-    numbered = sliced.withColumn("_local", F.row_number().over(within))
-    number = F.col("_local")
-    if hot:
-        before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        moved = (
-            sliced.filter(F.col("_slices").isNotNull())
-            .groupBy(*key, "_slice")
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .select(*key, "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-        )
-        numbered = numbered.join(F.broadcast(moved), [*key, "_slice"], "left")
-        number = number + F.coalesce("_before", F.lit(0))
-    return numbered.withColumn(version, F.when(~broken, number).cast("bigint")).select(*df.columns, version)
+    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.where(~broken).groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    moved = counts.select(*key, "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    numbered = dealt.withColumn("_local", F.row_number().over(within)).join(moved, [*key, "_slice"], "left")
+    number = F.when(~broken, F.col("_local") + F.col("_before")).cast("bigint")
+    return numbered.withColumn(version, number).select(*df.columns, version)

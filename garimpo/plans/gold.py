@@ -94,7 +94,7 @@ def client_evidence(leads: DataFrame, sales: DataFrame, held: DataFrame) -> Data
 
 
 def client_quarantine(values: DataFrame) -> DataFrame:
-    """One row per held id with its values as sorted arrays."""
+    """The held ids with their values as sorted arrays: one row each, or more parts where an id has very many."""
     arrays = evidence_arrays(values, "ID_CLIENTE", EVIDENCE)
     return arrays.withColumn("MOTIVO_QUARENTENA", F.lit(spec.IDENTITY_REASON))
 

@@ -20,7 +20,7 @@ from garimpo.functions import (
 )
 from garimpo.operators.contracts import Contract
 from garimpo.operators.shift import repair_shift
-from garimpo.operators.versions import MIN_HOT_ROWS, SOURCE_ROWS, consolidate, number_versions
+from garimpo.operators.versions import SOURCE_ROWS, consolidate, number_versions
 from garimpo.plans import spec
 
 PROCESSED_AT = "_processado_em"
@@ -28,15 +28,15 @@ RECORD = "ID_REGISTRO"
 _AMOUNT = "decimal(15,2)"
 
 
-def _client_versions(bronze: DataFrame, business: list[str], min_hot_rows: int) -> DataFrame:
+def _client_versions(bronze: DataFrame, business: list[str]) -> DataFrame:
     key = F.upper(F.trim("id_cliente")).alias("_chave")
     keyed = consolidate(bronze, business).select("*", key)
-    return number_versions(keyed, ["_chave"], business, sizes_from=bronze.select(key), min_hot_rows=min_hot_rows)
+    return number_versions(keyed, ["_chave"], business)
 
 
-def clean_leads(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def clean_leads(bronze: DataFrame) -> DataFrame:
     """Opportunities of the CRM; refused rows carry `_problema`."""
-    rows = _client_versions(bronze, spec.LEAD_COLUMNS, min_hot_rows)
+    rows = _client_versions(bronze, spec.LEAD_COLUMNS)
     return project(
         rows,
         {
@@ -64,9 +64,9 @@ def clean_leads(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFram
     )
 
 
-def clean_sales(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def clean_sales(bronze: DataFrame) -> DataFrame:
     """Sales of the ERP, moved rows repaired. Amounts are kept as told: negative, zero and never recomputed."""
-    rows = _client_versions(bronze, spec.SALE_COLUMNS, min_hot_rows)
+    rows = _client_versions(bronze, spec.SALE_COLUMNS)
     rows = repair_shift(rows, spec.SALE_SHIFT, "_deslocamento")
     return project(
         rows,
@@ -95,13 +95,11 @@ def clean_sales(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFram
     )
 
 
-def clean_positions(bronze: DataFrame, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def clean_positions(bronze: DataFrame) -> DataFrame:
     """Monthly stock. The name follows from the code; months are parsed before rows compete for a version."""
     key = [parse_month("mes_referencia").alias("_mes"), F.upper(F.trim("cod_produto")).alias("_codigo")]
     keyed = consolidate(bronze, spec.POSITION_COLUMNS).select("*", *key)
-    rows = number_versions(
-        keyed, ["_mes", "_codigo"], spec.POSITION_COLUMNS, sizes_from=bronze.select(*key), min_hot_rows=min_hot_rows
-    )
+    rows = number_versions(keyed, ["_mes", "_codigo"], spec.POSITION_COLUMNS)
     return project(
         rows,
         {

@@ -17,11 +17,9 @@ def test_versions_of_a_hot_key(spark):
     rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(40)}", str(i), rng.choice("abc")) for i in range(4000)]
     rows += [(None, str(i), "z") for i in range(500)]
     df = spark.createDataFrame(rows, "k string, a string, b string").repartition(5)
-    plain = versions.number_versions(df, ["k"], ["a", "b"])
-    cut = versions.number_versions(df, ["k"], ["a", "b"], min_hot_rows=50)
-    assert [r["k"] for r in versions.hot_keys(df, ["k"], 50)] == ["hot"]
-    got = {tuple(r) for r in cut.collect()}
-    assert got == {tuple(r) for r in plain.collect()} and len(got) == len(rows)
+    got = {tuple(r) for r in versions.number_versions(df, ["k"], ["a", "b"]).collect()}
+    again = versions.number_versions(df.orderBy(F.rand(3)), ["k"], ["a", "b"])
+    assert got == {tuple(r) for r in again.collect()} and len(got) == len(rows)
     per_key = defaultdict(list)
     for k, _, _, v in got:
         per_key[k].append(v)
@@ -78,12 +76,14 @@ def test_identity_conflicts_split_exactly(spark):
     assert Counter(tuple(r) for r in long.collect()) == Counter(
         (i, a, v) for i in bad for a in ("n", "g") for v in values[i][a]
     )
-    arrays = {r["id"]: r for r in quarantine.evidence_arrays(long, "id", {"n": "ns", "g": "gs"}, array_limit=10).collect()}
-    assert arrays.keys() == bad
-    for i in bad - {"hot"}:
-        assert arrays[i]["ns"] == sorted(values[i]["n"]) and arrays[i]["gs"] == sorted(values[i]["g"])
-    # Too long for one row: the array is left out, the rows above are whole.
-    assert arrays["hot"]["ns"] is None and arrays["hot"]["gs"] == []
+    parts = quarantine.evidence_arrays(long, "id", {"n": "ns", "g": "gs"}, 10).orderBy("id", "PARTE").collect()
+    assert {r["id"] for r in parts} == bad and max(r["PARTE"] for r in parts) > 1
+    for i in bad:
+        mine = [r for r in parts if r["id"] == i]
+        assert [r["PARTE"] for r in mine] == list(range(1, len(mine) + 1))
+        for attribute, name in (("n", "ns"), ("g", "gs")):
+            assert [v for r in mine for v in r[name]] == sorted(values[i][attribute])
+            assert all(len(r[name]) <= 10 for r in mine)
 
 
 def test_grains_are_held_whole_and_null_grains_are_not_equal(spark):

@@ -1,4 +1,7 @@
-"""Cleaning of leads, sales and positions: values, version keys, refusals and contracts."""
+"""The cleaning rules one by one, each on small rows made for it, and the invariants on random rows."""
+
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,175 +10,144 @@ from garimpo.functions import PROBLEM
 from garimpo.operators.contracts import ContractBroken, check_rows, fail_on_contracts, require_clean
 from garimpo.plans import silver, spec
 
-LEAD = [
-    "CLI700001", "  ANA lIMA ", "Feminno", "-1", "21988887777", " whatsapp ", "t-cross", "financiamento", "-5", "S",
-    "04/25/2024", "negociacao", None, "quente", "2024-04-28",
-]
-LEADS = [
-    LEAD,
-    list(LEAD),
-    ["CLI700001", "ANA LIMA", *LEAD[2:]],
-    ["cli700002 ", "Rui Souza", "M", None, "(21) 98A77-6655", "OLX", "Polo", "À Vista", None, "Não", "05/04/2024",
-     "Insucesso", "Crédito Negado", "Frio", "06/04/2024"],
-    ["CLI700003", "Eva Reis", None, "41", "22223333", "Google Ads", "Nivus", "À Vista", " ", "", "2024-04-27", "Sucesso",
-     None, "Morno", "04/29/2024"],
-]
-SALE = [
-    "CLI700010", "RUI SOUZA", "1961-05-06", "BIA NUNES", "98000.00", "-250.00", "98250.00", "Financiamento", "BV",
-    "91000.75", "T-Cross", "Pratta", "2024", "t-cross highline", "04/25/2024", "Semi Novo",
-]
-
-
-def moved(client, at, thousands, cents):
-    """The sale as read when the amount at position `at` was written with a decimal comma."""
-    tokens = [client, *SALE[1:at], thousands, cents, *SALE[at + 1 :]]
-    return tokens[:16]
-
-
-SALES = [
-    SALE,
-    list(SALE),
-    moved("CLI700011", 4, "98.000", "00"),
-    moved("CLI700012", 5, "-1.250", "00"),
-    moved("CLI700013", 6, "98.250", "00"),
-    moved("CLI700014", 9, "1.091.000", "75"),
-    ["CLI700010", "Rui Souza", *SALE[2:]],
-]
-POSITIONS = [
-    ["2024-05", "VW-NIV", "nivuss", "-12", " IPI REDUZIDO "],
-    ["2024-05", "VW-NIV", "nivuss", "-12", " IPI REDUZIDO "],
-    ["2024/05", "vw-niv ", "Polo", "5", "Nenhuma"],
-    ["05/2024", "VW-NIV", "Nivus", None, "Nenhuma"],
-]
-CASES = {
-    "leads": (silver.clean_leads, spec.LEAD_COLUMNS, LEADS),
-    "sales": (silver.clean_sales, spec.SALE_COLUMNS, SALES),
-    "positions": (silver.clean_positions, spec.POSITION_COLUMNS, POSITIONS),
-}
-
-
-def clean(frame, case, rows=None, **kw):
-    cleaner, columns, default = CASES[case]
-    out = cleaner(frame(columns, default if rows is None else rows), **kw).drop(silver.PROCESSED_AT)
-    return sorted((r.asDict() for r in out.collect()), key=lambda r: str(r["ID_REGISTRO"]))
-
-
-@pytest.mark.parametrize("case", CASES)
-def test_one_duplicate_is_folded_and_input_order_does_not_matter(frame, case):
-    rows = CASES[case][2]
-    got = clean(frame, case)
-    assert len(got) == len(rows) - 1 == len({r["ID_REGISTRO"] for r in got})
-    assert sum(r["_linhas_origem"] for r in got) == len(rows)
-    assert all(r[PROBLEM] is None for r in got)
-    assert got == clean(frame, case, list(reversed(rows)))
-    # Cutting every key into slices of the hash gives the same numbers.
-    assert got == clean(frame, case, min_hot_rows=1)
+_LEAD = dict(
+    id_cliente="CLI500001", cliente="Davi Prado", genero="M", idade="52", contato="4733221100", fonte="Site", produto_interesse="Polo",
+    forma_pagamento="À Vista", entrada_pct="10", fez_test_drive="Sim", data_interesse="2023-11-30", etapa="Sucesso",
+    motivo_insucesso=None, temperatura="Morno", data_ultimo_contato="2023-12-01",
+)
+_SALE = dict(
+    id_cliente="CLI500009", nome_cliente="Iris Melo", data_nascimento="1979-12-31", vendedor="Caio Reis", valor_padrao="75400.10",
+    desconto="1200.00", valor_faturamento="74200.10", forma_pagamento="À Vista", banco="BV", custo="70011.99", produto="Nivus",
+    cor_produto="Prata", ano="2023", modelo="nivus highline", data_entrega="2023-12-15", zero_km_ou_seminovo="Semi Novo",
+)
+_POSITION = dict(mes_referencia="2023-12", cod_produto="VW-TCR", produto="T-Cross", estoque_atual="3", campanha_atual="Nenhuma")
 
 
-def test_lead_values(frame):
-    got = {r["ID_CLIENTE"]: r for r in clean(frame, "leads")}
-    first, second, third = got["CLI700001"], got["CLI700002"], got["CLI700003"]
-    expected = {
-        "CLIENTE": "Ana Lima", "GENERO": "Feminino", "IDADE": "-1", "CONTATO": "(21) 98888-7777", "ENTRADA_PCT": "-5.00",
-        "FONTE": "WhatsApp", "PRODUTO_INTERESSE": "T-Cross", "FEZ_TEST_DRIVE": "True", "DATA_INTERESSE": "2024-04-25",
-        "ETAPA": "Negociação",
-    }
-    assert {k: str(first[k]) for k in expected} == expected
-    assert second["CONTATO"] is None and second["FEZ_TEST_DRIVE"] is False and str(second["DATA_INTERESSE"]) == "2024-04-05"
-    assert second["ENTRADA_PCT"] is None and second["IDADE"] is None
-    assert third["CONTATO"] == "2222-3333" and third["FEZ_TEST_DRIVE"] is None and third["ENTRADA_PCT"] is None
+def lead(**changes):
+    return [(_LEAD | changes)[c] for c in spec.LEAD_COLUMNS]
 
 
-@pytest.mark.parametrize(
-    "client,changed",
-    [
-        ("CLI700010", {"ZERO_KM_OU_SEMINOVO": "Semi Novo"}),
-        ("CLI700011", {}),
-        ("CLI700012", {"DESCONTO": "-1250.00"}),
-        ("CLI700013", {}),
-        ("CLI700014", {"CUSTO": "1091000.75"}),
-    ],
-)
-def test_moved_sales_are_put_back(frame, client, changed):
-    expected = {
-        "VALOR_PADRAO": "98000.00", "DESCONTO": "-250.00", "VALOR_FATURAMENTO": "98250.00", "CUSTO": "91000.75",
-        "FORMA_PAGAMENTO": "Financiamento", "BANCO": "BV", "PRODUTO": "T-Cross", "COR_PRODUTO": "Prata", "ANO": "2024",
-        "MODELO": "T-Cross Highline", "DATA_ENTREGA": "2024-04-25", "ZERO_KM_OU_SEMINOVO": "None",
-    } | changed
-    rows = [r for r in clean(frame, "sales") if r["ID_CLIENTE"] == client]
-    assert rows
-    for row in rows:
-        assert {k: str(row[k]) for k in expected} == expected
+def sale(**changes):
+    return [(_SALE | changes)[c] for c in spec.SALE_COLUMNS]
 
 
-@pytest.mark.parametrize(
-    "row,reason",
-    [
-        # Below a thousand the split amount has no dot, so it cannot be told from a whole one.
-        (moved("CLI1", 4, "500", "00"), "ERP: deslocamento monetario ambiguo em CLI1"),
-        (moved("CLI2", 9, "500", "00"), "ERP: deslocamento nao reconhecido em CLI2"),
-        # The label next to the payment column decides even when the cost looks split too.
-        (["CLI3", *SALE[1:4], "1", "2", "3", "4", "à vista", "1.000", "00", "Polo", "azul", "2024", "2024-01-01", "01/02/2024"],
-         "ERP: deslocamento monetario ambiguo em CLI3"),
-    ],
-)
-def test_moved_rows_that_cannot_be_told_are_refused(frame, row, reason):
-    (got,) = clean(frame, "sales", [row])
-    assert got[PROBLEM] == reason
+def position(**changes):
+    return [(_POSITION | changes)[c] for c in spec.POSITION_COLUMNS]
 
 
-def test_ambiguous_side_is_refused_not_guessed(frame):
-    row = ["CLI4", *SALE[1:4], "1", "2", "3", "à vista", "financiamento", "1.000", "00", "Polo", "2024", "2024", "x", "01/02/2024"]
-    (got,) = clean(frame, "sales", [row])
-    assert got[PROBLEM] == "ERP: deslocamento monetario ambiguo em CLI4"
+KINDS = {
+    "leads": (silver.clean_leads, spec.LEAD_COLUMNS, lead, silver.lead_contracts),
+    "sales": (silver.clean_sales, spec.SALE_COLUMNS, sale, silver.sale_contracts),
+    "positions": (silver.clean_positions, spec.POSITION_COLUMNS, position, silver.position_contracts),
+}
 
 
-def test_positions_compete_per_month_and_code(frame):
-    got = clean(frame, "positions")
-    assert {r["ID_REGISTRO"] for r in got} == {f"2024-05-VW-NIV-{i}" for i in (1, 2, 3)}
-    assert {r["PRODUTO"] for r in got} == {"Nivus"} and {str(r["MES_REFERENCIA"]) for r in got} == {"2024-05-01"}
-    assert sorted(str(r["ESTOQUE_ATUAL"]) for r in got) == ["-12", "5", "None"]
+def clean(frame, kind, rows):
+    cleaner, columns, *_ = KINDS[kind]
+    out = cleaner(frame(columns, rows)).drop(silver.PROCESSED_AT).collect()
+    return [r.asDict() for r in out]
+
+
+def split_amount(row, name, whole, cents):
+    """The row as it is read when `name` was written with a decimal comma: everything after it moves one column on."""
+    at = spec.SALE_COLUMNS.index(name)
+    return [*row[:at], whole, cents, *row[at + 1 : -1]]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_ids_and_counts_on_random_rows(frame, kind):
+    """Against a plain count: as many rows as distinct inputs, copies counted, ids 1..n per key, any input order."""
+    _, _, make, contracts = KINDS[kind]
+    rng = random.Random(kind)
+    if kind == "positions":
+        rows = [position(mes_referencia=rng.choice(["2023-12", "12/2023", "2024/01"]), estoque_atual=str(rng.randrange(4))) for _ in range(60)]
+    else:
+        key = "id_cliente"
+        other = "idade" if kind == "leads" else "ano"
+        rows = [make(**{key: rng.choice(["cli500001", "CLI500001 ", "CLI500002", "CLI500003"]), other: str(rng.randrange(20, 26))}) for _ in range(60)]
+    got = clean(frame, kind, rows)
+    distinct = Counter(map(tuple, rows))
+    assert len(got) == len(distinct)
+    assert sorted(r["_linhas_origem"] for r in got) == sorted(distinct.values())
+    groups = Counter(r["ID_REGISTRO"].rsplit("-", 1)[0] for r in got)
+    assert {r["ID_REGISTRO"] for r in got} == {f"{k}-{i}" for k, n in groups.items() for i in range(1, n + 1)}
+    rng.shuffle(rows)
+    assert sorted(map(str, got)) == sorted(map(str, clean(frame, kind, rows)))
+    cleaner, columns, *_ = KINDS[kind]
+    assert check_rows(cleaner(frame(columns, rows)), contracts()).filter("NOT passou").count() == 0
 
 
 @pytest.mark.parametrize(
-    "case,column,contracts,name",
+    "column,out,told",
     [
-        ("leads", "data_interesse", silver.lead_contracts, "crm_obrigatorios"),
-        ("sales", "data_entrega", silver.sale_contracts, "erp_obrigatorios"),
-        ("positions", "mes_referencia", silver.position_contracts, "estoque_mes"),
+        ("contato", "CONTATO", {"4733221100": "(47) 3322-1100", "47933221100": "(47) 93322-1100", "33221100": "3322-1100",
+                                "933221100": "93322-1100", "33x21100": None, "123": None}),
+        ("fez_test_drive", "FEZ_TEST_DRIVE", {"sim": "True", "Não": "False", "  ": "None"}),
+        ("data_interesse", "DATA_INTERESSE", {"2024-02-29": "2024-02-29", "29/02/2024": "2024-02-29", "12/31/2023": "2023-12-31", "31/31/2023": "None"}),
+        ("entrada_pct", "ENTRADA_PCT", {"0": "0.00", "-2.5": "-2.50", "": "None"}),
+        ("cliente", "CLIENTE", {"ZOE DA luz ": "Zoe Da Luz"}),
+        ("fonte", "FONTE", {" SITE": "Site"}),
     ],
-)
-def test_malformed_date_is_null_and_breaks_its_contract(frame, case, column, contracts, name):
-    cleaner, columns, rows = CASES[case]
-    row = list(rows[0])
-    row[columns.index(column)] = "data-invalida"
-    out = cleaner(frame(columns, [row]))
-    assert out.filter(F.col(column.upper()).isNull()).count() == 1
-    checks = check_rows(out, contracts())
-    assert [r["violacoes"] for r in checks.filter(F.col("contrato") == name).collect()] == [1]
-    with pytest.raises(ContractBroken, match=name):
-        fail_on_contracts(checks, "silver")
-
-
-@pytest.mark.parametrize("case,contracts", [("leads", silver.lead_contracts), ("sales", silver.sale_contracts), ("positions", silver.position_contracts)])
-def test_contracts_hold_on_good_rows(frame, case, contracts):
-    cleaner, columns, rows = CASES[case]
-    assert check_rows(cleaner(frame(columns, rows)), contracts()).filter("NOT passou").count() == 0
+)
+def test_lead_rules(frame, column, out, told):
+    rows = [lead(id_cliente=f"CLI50010{i}", **{column: raw}) for i, raw in enumerate(told)]
+    got = {r["ID_CLIENTE"]: r[out] for r in clean(frame, "leads", rows)}
+    assert {raw: str(got[f"CLI50010{i}"]) for i, raw in enumerate(told)} == {k: str(v) for k, v in told.items()}
+
+
+@pytest.mark.parametrize("name", ["valor_padrao", "desconto", "valor_faturamento", "custo"])
+def test_a_split_amount_reads_like_the_whole_one(frame, name):
+    """Any amount of a thousand or more: the repaired row equals the row that was never split, but for the lost last column."""
+    rng = random.Random(name)
+    amounts = [(rng.choice(["", "-"]), rng.randrange(1, 900), rng.randrange(1000), rng.randrange(100)) for _ in range(12)]
+    whole = [sale(id_cliente=f"CLI5002{i:02d}", **{name: f"{s}{t}{h:03d}.{c:02d}"}) for i, (s, t, h, c) in enumerate(amounts)]
+    moved = [split_amount(row, name, f"{s}{t}.{h:03d}", f"{c:02d}") for row, (s, t, h, c) in zip(whole, amounts, strict=True)]
+    last = "ZERO_KM_OU_SEMINOVO"
+    expected = {r["ID_CLIENTE"]: r | {last: None} for r in clean(frame, "sales", whole)}
+    got = {r["ID_CLIENTE"]: r for r in clean(frame, "sales", moved)}
+    assert got == expected and all(r[PROBLEM] is None for r in got.values())
+
+
+def test_a_split_that_cannot_be_placed_is_refused(frame):
+    small = split_amount(sale(id_cliente="A"), "valor_padrao", "640", "15")  # no dot before the comma
+    both = split_amount(sale(id_cliente="B", forma_pagamento="qualquer"), "custo", "640", "15")
+    got = {r["ID_CLIENTE"]: r[PROBLEM] for r in clean(frame, "sales", [small, both, sale(id_cliente="C")])}
+    assert got["A"] and got["A"].endswith("A") and got["C"] is None
+    with pytest.raises(ContractBroken, match="A"):
+        cleaner, columns, *_ = KINDS["sales"]
+        require_clean(cleaner(frame(columns, [small])), "vendas")
+
+
+def test_positions_of_one_month_and_code_share_a_key(frame):
+    rows = [position(mes_referencia=m, cod_produto=c, estoque_atual=n) for m, c, n in
+            [("2023-12", "VW-TCR", "3"), ("2023/12", " vw-tcr", "-1"), ("12/2023", "VW-TCR", None), ("2024-01", "VW-TCR", "3")]]
+    got = clean(frame, "positions", rows)
+    assert Counter(str(r["MES_REFERENCIA"]) for r in got) == {"2023-12-01": 3, "2024-01-01": 1}
+    assert {r["PRODUTO"] for r in got} == {"T-Cross"} and {r["ESTOQUE_ATUAL"] for r in got} == {3, -1, None}
 
 
 @pytest.mark.parametrize(
-    "case,column,value,message",
+    "kind,column,value,word",
     [
-        ("leads", "idade", "abc", "IDADE invalido"),
-        ("leads", "entrada_pct", "abc", "ENTRADA_PCT invalido"),
-        ("leads", "fez_test_drive", "talvez", "FEZ_TEST_DRIVE desconhecido"),
-        ("positions", "estoque_atual", "abc", "ESTOQUE_ATUAL invalido"),
-        ("positions", "cod_produto", "VW-XXX", "codigo de produto desconhecido: VW-XXX"),
+        ("leads", "idade", "4x", "IDADE"),
+        ("leads", "entrada_pct", "dez", "ENTRADA_PCT"),
+        ("leads", "fez_test_drive", "?", "FEZ_TEST_DRIVE"),
+        ("positions", "estoque_atual", "1.5.2", "ESTOQUE_ATUAL"),
+        ("positions", "cod_produto", "VW-000", "VW-000"),
     ],
 )
-def test_refused_values_stop_the_load(frame, case, column, value, message):
-    cleaner, columns, rows = CASES[case]
-    row = list(rows[0])
-    row[columns.index(column)] = value
-    with pytest.raises(ContractBroken, match=message):
-        require_clean(cleaner(frame(columns, [row])), "recusadas")
+def test_refused_values_name_their_column(frame, kind, column, value, word):
+    cleaner, columns, make, _ = KINDS[kind]
+    with pytest.raises(ContractBroken, match=word):
+        require_clean(cleaner(frame(columns, [make(), make(**{column: value})])), kind)
+
+
+@pytest.mark.parametrize("kind,column", [("leads", "data_interesse"), ("sales", "data_entrega"), ("positions", "mes_referencia")])
+def test_unreadable_dates_break_a_contract(frame, kind, column):
+    cleaner, columns, make, contracts = KINDS[kind]
+    out = cleaner(frame(columns, [make(), make(**{column: "32.13.9"})]))
+    assert out.filter(F.col(column.upper()).isNull()).count() == 1
+    broken = check_rows(out, contracts()).filter("NOT passou")
+    assert {r["violacoes"] for r in broken.collect()} == {1}
+    with pytest.raises(ContractBroken):
+        fail_on_contracts(broken, kind)

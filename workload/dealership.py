@@ -205,7 +205,7 @@ def identity_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 IDENTITY_QUARANTINE = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + f"""
-SELECT ID_CLIENTE,
+SELECT ID_CLIENTE, 1::bigint AS PARTE,
        coalesce(array_to_string(list_sort(list(DISTINCT NOME) FILTER (NOME IS NOT NULL)), '|'), '') AS NOMES,
        coalesce(array_to_string(list_sort(list(DISTINCT DATA_NASCIMENTO) FILTER (DATA_NASCIMENTO IS NOT NULL)), '|'), '')
          AS NASCIMENTOS,

@@ -320,7 +320,47 @@ SELECT DISTINCT party, 'segment', segment FROM parties SEMI JOIN held USING (par
 
 def conflict_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = conflict_evidence(spark, sf_dir)
-    return plain(evidence_arrays(values, "party", {"nation": "nations", "segment": "segments"}))
+    return plain(evidence_arrays(values, "party", {"nation": "nations", "segment": "segments"}).drop("PARTE"))
+
+
+def conflict_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suppliers and parts of each return flag, in parts of 500 values: far more than one part holds."""
+    lines = load(spark, sf_dir, "lineitem").select("l_returnflag", "l_suppkey", "l_partkey")
+    held = lines.select("l_returnflag").distinct()
+    values = evidence(lines, held, "l_returnflag", ["l_suppkey", "l_partkey"])
+    parts = evidence_arrays(values, "l_returnflag", {"l_suppkey": "suppliers", "l_partkey": "parts"}, 500)
+    return plain(parts.withColumnRenamed("PARTE", "part"))
+
+
+CONFLICT_PARTS = """
+WITH v AS (
+  SELECT DISTINCT l_returnflag, 's' AS a, cast(l_suppkey AS varchar) AS x FROM lineitem WHERE l_suppkey IS NOT NULL
+  UNION ALL SELECT DISTINCT l_returnflag, 'p', cast(l_partkey AS varchar) FROM lineitem WHERE l_partkey IS NOT NULL
+), n AS (
+  SELECT *, (row_number() OVER (PARTITION BY l_returnflag, a ORDER BY x) - 1) // 500 + 1 AS part FROM v
+)
+SELECT l_returnflag, cast(part AS bigint) AS part,
+       coalesce(string_agg(x, '|' ORDER BY x) FILTER (a = 's'), '') AS suppliers,
+       coalesce(string_agg(x, '|' ORDER BY x) FILTER (a = 'p'), '') AS parts
+FROM n GROUP BY l_returnflag, part"""
+
+
+def version_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions where one key holds most of the rows."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    flag = F.when(F.col("l_orderkey") % 20 == 0, F.col("l_returnflag")).otherwise("*")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    numbered = number_versions(lines.withColumn("flag", flag), ["flag"], columns)
+    totals = numbered.groupBy("flag").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("_versao").alias("versions"), F.min("_versao").alias("first"), F.max("_versao").alias("last")
+    )
+    return plain(totals)
+
+
+VERSION_ONE_KEY = """
+SELECT CASE WHEN l_orderkey % 20 = 0 THEN l_returnflag ELSE '*' END AS flag, count(*) AS records, count(*) AS versions,
+       1::bigint AS first, count(*) AS last
+FROM lineitem GROUP BY 1"""
 
 
 CONFLICT_ARRAYS = _PARTIES + """
@@ -965,6 +1005,8 @@ QUERIES = [
     Query("repair_shifted", repair_shifted, REPAIR_SHIFTED),
     Query("conflict_evidence", conflict_evidence, CONFLICT_EVIDENCE),
     Query("conflict_arrays", conflict_arrays, CONFLICT_ARRAYS),
+    Query("conflict_parts", conflict_parts, CONFLICT_PARTS),
+    Query("version_one_key", version_one_key, VERSION_ONE_KEY),
     Query("conformed_dimension", conformed_dimension, CONFORMED),
     Query("conformed_lookup", conformed_lookup, CONFORMED_LOOKUP),
     Query("grain_conflicts", grain_held, GRAIN_HELD),

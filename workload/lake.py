@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from garimpo.functions import split_rejects
+from garimpo.operators.contracts import require_clean
 from garimpo.plans import gold, silver, spec
-from garimpo.session import shared_dir
+from garimpo.session import settle, shared_dir
 from garimpo.sources.tables import publish, publish_all, scan
 from workload import raw
 
@@ -75,9 +75,9 @@ class Lake(Mapping):
         self.tables: dict[str, DataFrame] = {}
         crm, erp, stock = (lambda: self["crm"]), (lambda: self["erp"]), (lambda: self["estoque"])
         self.rules: dict[str, Callable[[], DataFrame]] = {
-            "crm": lambda: split_rejects(silver.clean_leads(self["bronze_crm"]))[0],
-            "erp": lambda: split_rejects(silver.clean_sales(self["bronze_erp"]))[0],
-            "estoque": lambda: split_rejects(silver.clean_positions(self["bronze_estoque"]))[0],
+            "crm": lambda: self.accepted("crm", silver.clean_leads),
+            "erp": lambda: self.accepted("erp", silver.clean_sales),
+            "estoque": lambda: self.accepted("estoque", silver.clean_positions),
             gold.PROFILE: lambda: gold.client_profile(crm(), erp()),
             gold.HELD_IDS: lambda: gold.client_split(self[gold.PROFILE]).held,
             "quarentena_cliente_evidencia": lambda: gold.client_evidence(crm(), erp(), self[gold.HELD_IDS]),
@@ -100,6 +100,10 @@ class Lake(Mapping):
         self.spark, self.sf_dir = spark, sf_dir
         self.need(wanted)
 
+    def accepted(self, name: str, clean: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The cleaned rows, none of which may have been refused."""
+        return require_clean(settle(clean(self[f"bronze_{name}"]), name), name)
+
     def need(self, names) -> None:
         """Write the tables, what they are built from first, tables of one level a few at a time."""
         missing = [n for n in names if n not in self.tables]
