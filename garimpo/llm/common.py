@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from garimpo.session import settle, shuffle_partitions
@@ -117,6 +118,18 @@ def small(parts: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Reco
             yield part.slice(at, rows)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside pass at most `rows` rows at once to Python, which bounds what long rows hold in memory on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def lowest(df: DataFrame, order: Column, rows: int) -> DataFrame:
     """About `rows` rows with the lowest hash `order` (a long), `rows` at most.
 

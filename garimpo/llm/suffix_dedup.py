@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import columns, small, starts, whole_keys
+from garimpo.llm.common import batches_of, columns, small, starts, whole_keys
 from garimpo.session import settle
 
 #: Bytes of a string that counts as repeated, and of the anchors that lead to it.
@@ -393,6 +393,12 @@ def _closed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """See `_repeats`; all its jobs run here, with texts passed to Python a thousand at a time."""
+    with batches_of(docs.sparkSession, 1000):
+        return _repeats(docs, text_col)
+
+
+def _repeats(docs: DataFrame, text_col: str) -> DataFrame:
     """(key, result) for every text with a repeated string: the MD5 of the text, and in one binary value the SHA-256 of what stays,
     followed by the maximal removed runs as pairs of 32-bit integers.
 
