@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -18,13 +18,16 @@ def catalogue(measures: Sequence[Measure]) -> dict[str, Column]:
     return {m.name: m.expression for m in measures}
 
 
-def apply_filters(df: DataFrame, filters: Mapping[str, object] | None) -> DataFrame:
+def apply_filters(df: DataFrame, filters: Mapping[str, object] | None, exempt: Collection[str] = ()) -> DataFrame:
     """Keep rows equal to the chosen value, or to one of the chosen values, of each column.
 
-    A filter on a column the dataset does not have does not reach it.
+    `exempt` names the filters that do not reach this dataset; any other filter must be on one of its columns.
     """
+    unknown = sorted(set(filters or {}) - set(df.columns) - set(exempt))
+    if unknown:
+        raise ValueError(f"no such column to filter by: {', '.join(unknown)}")
     for name, wanted in (filters or {}).items():
-        if name in df.columns:
+        if name not in exempt:
             values = wanted if isinstance(wanted, (list, tuple, set)) else [wanted]
             df = df.filter(F.col(name).isin(*values))
     return df
@@ -37,10 +40,11 @@ def measure(
     measures: Mapping[str, Column],
     filters: Mapping[str, object] | None = None,
     order: Sequence[tuple[Column, bool]] = (),
+    exempt: Collection[str] = (),
 ) -> DataFrame:
     """Measures per group; filters come first. `order` lists (aggregate or group column, descending)
     and may use aggregates of columns that are not in the result."""
-    grouped = apply_filters(df, filters).groupBy(*by)
+    grouped = apply_filters(df, filters, exempt).groupBy(*by)
     sorts = [o.alias(f"_o{i}") for i, (o, _) in enumerate(order)]
     out = grouped.agg(*[measures[n].alias(n) for n in names], *sorts)
     if order:

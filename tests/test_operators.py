@@ -221,8 +221,10 @@ def test_failed_proofs_are_listed_together(spark):
 def test_measures_filter_first_and_order_by_what_is_not_shown(spark):
     df = spark.createDataFrame([("b", 2, 5), ("a", 1, 7), ("b", 2, 1), ("c", 0, 9)], "stage string, rank int, v int")
     m = measures.catalogue([measures.Measure("total", F.sum("v")), measures.Measure("n", F.count("v"))])
-    got = measures.measure(df, ["stage"], ["total"], m, {"stage": ["a", "b"], "absent": 1}, [(F.min("rank"), False)])
+    got = measures.measure(df, ["stage"], ["total"], m, {"stage": ["a", "b"], "absent": 1}, [(F.min("rank"), False)], ["absent"])
     assert [tuple(r) for r in got.collect()] == [("a", 7), ("b", 6)] and got.columns == ["stage", "total"]
+    with pytest.raises(ValueError, match="stge"):
+        measures.measure(df, ["stage"], ["total"], m, {"stge": "a"})
     down = measures.measure(df, ["stage"], ["total"], m, order=[(F.sum("v"), True)])
     assert [r["total"] for r in down.collect()] == [9, 7, 6]
     long = measures.series_long(df, ["stage"], ["total", "n"], m, "s", "v").collect()
