@@ -140,26 +140,6 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 
 
-def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if len(self) > KEPT:
-            self.clear()
-        return b"".join(map(self.__getitem__, self.pattern.findall(text)))
-
-
-_encoders: dict[tuple[str, str], tuple[Encoder, list[bytes]]] = {}
-
-
-def _tools(name: tuple[str, str], ranks: dict[bytes, int]) -> tuple[Encoder, list[bytes]]:
-    """One encoder per Python worker, kept between tasks."""
-    if name not in _encoders:
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        _encoders[name] = Encoder(ranks, name[1]), tokens
-    return _encoders[name]
-
-
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
