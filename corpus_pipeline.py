@@ -17,9 +17,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by their fingerprints the one with the smallest id stays."""
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """Of each group of documents linked by their fingerprints exactly one stays, the one with the smallest id.
+
+    Rows with a null id come last in their group, and of rows with one id the first in the table stays. Rows are told apart by
+    their place in `docs`, a written table, so that repeated rows and ids don't matter.
+    """
+    placed = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    doc_id = F.col("_doc")["doc_id"]
+    order = F.struct(doc_id.isNull().alias("unknown"), doc_id.alias("id"), F.col("_row").alias("row"))
+    groups = simhash.near_duplicates(placed.select(order.alias("_order"), F.col("_doc")["text"].alias("text")), "_order")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id.row").alias("_row"))
+    return placed.join(kept, "_row", "left_semi").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,19 +168,25 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_fingerprints_and_groups(table):
-    rows, docs = table
-    got = simhash.near_duplicates(docs).collect()
-    prints = [plain_fingerprint(t) for _, t, *_ in rows]
-    top = list(range(len(rows)))
-    for i in range(len(rows)):
+def plain_groups(ids, prints):
+    """A group for each row, and the lowest known id of each group."""
+    top = list(range(len(prints)))
+    for i in range(len(prints)):
         for j in range(i):
             if (prints[i] ^ prints[j]).bit_count() <= 4:
                 old, new = top[i], top[j]
                 top = [new if x == old else x for x in top]
     lowest = {}
-    for (d, *_), g in zip(rows, top, strict=True):
+    for d, g in zip(ids, top, strict=True):
         lowest[g] = min((x for x in (lowest.get(g), d) if x is not None), default=None)
+    return top, lowest
+
+
+def test_fingerprints_and_groups(table):
+    rows, docs = table
+    got = simhash.near_duplicates(docs).collect()
+    prints = [plain_fingerprint(t) for _, t, *_ in rows]
+    top, lowest = plain_groups([r[0] for r in rows], prints)
     expected = [(r[0], f"{p:016x}", lowest[g]) for r, p, g in zip(rows, prints, top, strict=True)]
     assert ordered(map(tuple, got)) == ordered(expected)
 
@@ -324,6 +330,18 @@ def test_exchange_separates_what_alternates():
     assert of[0] == of[1] == of[2] != of[3] == of[4] == of[5]
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, tmp_path):
+    """Rows that share an id, equal rows, and rows without an id, in groups of their own and beside others."""
+    first, second, third = "one river of stone and light", "le lac et la forêt du nord", "der wald und die straße am see"
+    rows = [(7, first), (7, first), (7, second), (None, second), (None, third), (None, third), (3, first.upper()), (9, None), (None, "")]
+    spark.createDataFrame([(d, t, 1, None) for d, t in rows], "doc_id long, text string, _row int, _doc string").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert kept.dtypes == docs.dtypes
+    got = ordered((r["doc_id"], (r["text"] or "").lower()) for r in kept.collect())
+    assert got == ordered([(3, first), (7, second), (None, third), (9, "")])
+
+
 def test_pipeline_stages(table, spark, tmp_path):
     rows, docs = table
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
@@ -336,7 +354,8 @@ def test_pipeline_stages(table, spark, tmp_path):
         assert frames[-1].dtypes == docs.dtypes
     known, single, unique, mixed = (f.collect() for f in frames[1:])
     assert all(any(c.isalpha() for c in r["text"]) for r in known)
-    groups = {r["component_id"] for r in simhash.near_duplicates(frames[1]).collect()} - {None}
-    assert {r["doc_id"] for r in single} == groups
+    _, lowest = plain_groups([r["doc_id"] for r in known], [plain_fingerprint(r["text"]) for r in known])
+    assert ordered(r["doc_id"] for r in single) == ordered(lowest.values())  # one row of each group, null ids and equal rows included
+    assert {tuple(r) for r in single} <= {tuple(r) for r in known}
     assert all(r["n_chars"] == len(r["text"]) for r in (*unique, *mixed))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(mixed)
