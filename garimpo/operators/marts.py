@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from garimpo.functions import count_where, distinct_count, month_of_key, money_sum
 from garimpo.functions.aggregates import MONEY
-from garimpo.operators.running import partition_total, running_total
+from garimpo.operators.running import running_total
 
 # Upper bounds of the classes, and the labels.
 ABC_CUTS = (("A", "0.80"), ("B", "0.95"))
@@ -61,8 +61,7 @@ def abc_curve(
     """Margin percentage and monthly ABC class of product-month rows (runs the action of `running_total`)."""
     total, accumulated = f"_{revenue}_mes", f"_{revenue}_acumulado"
     order = [F.col(revenue).desc(), F.col(product).asc()]
-    ranked = running_total(rows, revenue, [month], order, accumulated, slices)
-    ranked = partition_total(ranked, revenue, [month], total)
+    ranked = running_total(rows, revenue, [month], order, accumulated, slices, total)
     percent = F.col(margin) / F.nullif(F.col(revenue), F.lit(0)) * 100
     return ranked.select(
         *rows.columns,

@@ -25,14 +25,20 @@ def partition_total(df: DataFrame, value: str, by: Sequence[str], name: str) ->
 
 
 def running_total(
-    df: DataFrame, value: str, by: Sequence[str], order: Sequence[Column], name: str, slices: int | None = None
+    df: DataFrame,
+    value: str,
+    by: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    slices: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add the running sum of `value` within each group, in `order`, the row itself included.
+    """Add the running sum of `value` within each group, in `order`, the row itself included; with `total` the group's sum too.
 
     `order` must be total within a group. The rows are cut by range over (group, order), so one group may span many
     slices and no task holds more than a slice, whatever the size of a group. Each slice is summed on its own and
-    moved up by the slices of its group before it. Only a group that crosses a slice border needs that, which makes
-    at most two rows per slice: small by construction, so it is broadcast.
+    moved up by the slices of its group before it; the group's sum is that of its slices. One shuffle of the rows by
+    (group, slice) serves the window and the join with the slices' sums, and no row is dealt by its group alone.
 
     Runs one action: the ranges are sampled, so the sliced rows are written to the shared folder before they are read
     twice.
@@ -41,25 +47,18 @@ def running_total(
     sliced = settle(
         df.repartitionByRange(count, *[F.col(k) for k in by], *order).withColumn("_slice", F.spark_partition_id())
     )
+    # A struct is never NULL and equals another with NULLs at the same places, so it can be a plain join key.
+    sliced = sliced.withColumn("_group", F.struct(F.lit(0).alias("_"), *by))
 
-    every = Window.partitionBy(*by)
+    every = Window.partitionBy("_group")
     before = every.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sliced.groupBy(*by, "_slice").agg(F.sum(value).alias("_sum"))
-    moved = (
-        sums.withColumn("_spans", F.count(F.lit(1)).over(every))
-        .withColumn("_before", F.sum("_sum").over(before))
-        .filter("_spans > 1 AND _before IS NOT NULL")
-        .select(*[F.col(k).alias(f"_{k}") for k in by], F.col("_slice").alias("_at"), "_before")
+    sums = sliced.groupBy("_group", "_slice").agg(F.sum(value).alias("_sum"))
+    kind = sums.schema["_sum"].dataType
+    moved = sums.select(
+        "_group", "_slice", F.sum("_sum").over(before).alias("_before"), F.sum("_sum").over(every).cast(kind).alias("_total")
     )
 
-    within = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    total = sums.schema["_sum"].dataType
-    same = F.col("_slice") == F.col("_at")
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return (
-        sliced.withColumn("_local", F.sum(value).over(within))
-        .join(F.broadcast(moved), same, "left")
-        .withColumn(name, (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).cast(total))
-        .select(*df.columns, name)
-    )
+    within = Window.partitionBy("_group", "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.coalesce(F.col("_local") + F.col("_before"), "_local", "_before").cast(kind)
+    joined = sliced.withColumn("_local", F.sum(value).over(within)).join(moved, ["_group", "_slice"])
+    return joined.select(*df.columns, reached.alias(name), *([F.col("_total").alias(total)] if total else []))

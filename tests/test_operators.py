@@ -44,9 +44,13 @@ def test_running_total_of_a_hot_group_with_many_ties(spark, slices):
         rows.append((month, i, Decimal(rng.choice([0, 0, 0, 5, -2, rng.randrange(1000)]))))
     rows += [(None, 9000 + i, Decimal(i)) for i in range(20)]
     df = spark.createDataFrame(rows, "m int, k int, v decimal(18,2)")
-    out = running.running_total(df, "v", ["m"], [F.col("v").desc(), F.col("k").asc()], "acc", slices)
-    out = running.partition_total(out, "v", ["m"], "total")
+    out = running.running_total(df, "v", ["m"], [F.col("v").desc(), F.col("k").asc()], "acc", slices, "total")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "hashpartitioning(m#" not in plan
+    again = running.partition_total(df, "v", ["m"], "alone")
+    alone = {(r["m"], r["k"]): r["alone"] for r in again.collect()}
     got = {(r["m"], r["k"]): (r["acc"], r["total"]) for r in out.collect()}
+    assert alone == {k: v[1] for k, v in got.items()}
     assert len(got) == len(rows)
     for m in {r[0] for r in rows}:
         group = sorted((r for r in rows if r[0] == m), key=lambda r: (-r[2], r[1]))
@@ -56,6 +60,18 @@ def test_running_total_of_a_hot_group_with_many_ties(spark, slices):
             assert got[(m, k)] == (acc, total)
 
 
+def test_running_total_passes_over_nulls_as_a_window_does(spark):
+    rows = [("a", i, None if i % 4 else i) for i in range(40)] + [(None, 1, 5), (None, 2, None), ("b", 1, None)]
+    df = spark.createDataFrame(rows, "m string, k int, v long")
+    got = {(r["m"], r["k"]): (r["acc"], r["total"]) for r in running.running_total(df, "v", ["m"], [F.col("k")], "acc", 8, "total").collect()}
+    for m in ("a", "b", None):
+        group = sorted((k, v) for g, k, v in rows if g == m)
+        for k, _ in group:
+            so_far = [v for at, v in group if at <= k and v is not None]
+            known = [v for _, v in group if v is not None]
+            assert got[m, k] == (sum(so_far) if so_far else None, sum(known) if known else None)
+
+
 def test_identity_conflicts_split_exactly(spark):
     rng = random.Random(5)
     rows = [(f"c{rng.randrange(60)}", rng.choice(["n1", "n1", "n1", "n2", None]), rng.choice(["g", None])) for _ in range(300)]

@@ -64,7 +64,7 @@ from garimpo.operators.facts import lookup, lookup_unless_held
 from garimpo.operators.marts import abc_curve, funnel, monthly_rollup, outer_position_join
 from garimpo.operators.measures import Measure, catalogue, measure, series_long
 from garimpo.operators.quarantine import attribute_conflicts, evidence, evidence_arrays, exclude, grain_conflicts
-from garimpo.operators.running import partition_total, running_total
+from garimpo.operators.running import running_total
 from garimpo.operators.shift import SPLIT, detect_shift, realign
 from garimpo.operators.versions import consolidate, load_summary, number_versions
 from garimpo.plans import spec
@@ -676,8 +676,7 @@ def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The month's total and the running total behind the curve."""
     rows = _part_months(spark, sf_dir).select("l_partkey", "month", "revenue")
     order = [F.col("revenue").desc(), F.col("l_partkey").asc()]
-    ranked = running_total(rows, "revenue", ["month"], order, "accumulated")
-    return plain(partition_total(ranked, "revenue", ["month"], "month_total"))
+    return plain(running_total(rows, "revenue", ["month"], order, "accumulated", total="month_total"))
 
 
 RUNNING = _PART_MONTHS + """
