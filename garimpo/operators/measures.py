@@ -63,3 +63,9 @@ def series_long(
 def choices(df: DataFrame, name: str) -> DataFrame:
     """The values a filter offers."""
     return df.select(name).distinct().orderBy(name)
+
+
+def all_choices(df: DataFrame, names: Sequence[str], filter_name: str, value: str) -> DataFrame:
+    """(filter, value as text): what each of several filters offers, from one pass over the rows."""
+    met = df.select(*[F.col(n).cast("string").alias(n) for n in names]).distinct()
+    return met.unpivot([], list(names), filter_name, value).distinct()

@@ -535,20 +535,24 @@ def proofs(silver: Tables, t: Tables) -> DataFrame:
 # --- dashboard datasets and measures ---------------------------------------------------------------------------------
 
 
-def sales_dataset(t: Tables) -> DataFrame:
+def sales_dataset(t: Tables, clients: bool = True) -> DataFrame:
+    """One row per sale. The column `cliente` needs a join with the one dimension that grows with the data, which Spark cannot
+    leave out by itself; figures that do not show it ask for none."""
     f, d, p = t["fato_vendas"], t["dim_calendario"], t["dim_produto"]
-    v, c = t["dim_vendedor"], t["dim_cliente"].select("SK_CLIENTE", "NOME")
     joined = (
         f.join(d, f["SK_DATA_ENTREGA"] == d["SK_DATA"])
         .join(p, "SK_PRODUTO")
-        .join(v.withColumnRenamed("NOME", "vendedor"), "SK_VENDEDOR")
-        .join(c, "SK_CLIENTE", "left")
+        .join(t["dim_vendedor"].withColumnRenamed("NOME", "vendedor"), "SK_VENDEDOR")
     )
-    held = F.concat(F.lit(spec.HELD_LABEL), F.col("ID_CLIENTE_ORIGEM"))
+    client = []
+    if clients:
+        joined = joined.join(t["dim_cliente"].select("SK_CLIENTE", "NOME"), "SK_CLIENTE", "left")
+        held = F.concat(F.lit(spec.HELD_LABEL), F.col("ID_CLIENTE_ORIGEM"))
+        client = [F.coalesce(F.col("NOME"), held).alias("cliente")]
     return joined.select(
         F.col("ID_REGISTRO").alias("id_registro"),
         F.col("ID_CLIENTE_ORIGEM").alias("id_cliente_origem"),
-        F.coalesce(F.col("NOME"), held).alias("cliente"),
+        *client,
         F.col("DATA").alias("data_entrega"),
         F.col("ANO").alias("ano"),
         F.date_trunc("MONTH", F.col("DATA")).alias("mes_entrega"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from garimpo.functions import stage_rank
 from garimpo.operators.contracts import check_lineage, check_rows, check_unique
 from garimpo.operators.dimensions import union_all
-from garimpo.operators.measures import choices, measure, series_long
+from garimpo.operators.measures import all_choices, measure, series_long
 from garimpo.operators.quarantine import held_summary
 from garimpo.operators.versions import SOURCE_ROWS, load_summary
 from garimpo.plans import gold, pipeline, silver, spec
@@ -553,7 +553,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(measure(gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR)), [], SALES_NAMES, gold.sales_measures()))
+    return _rounded(measure(gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False), [], SALES_NAMES, gold.sales_measures()))
 
 
 DASHBOARD_KPIS = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + _SALES_DATASET + f"SELECT {_MEASURES} FROM dataset"
@@ -561,7 +561,7 @@ DASHBOARD_KPIS = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + _SALES_DATASET +
 
 def dashboard_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures by month, ascending."""
-    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False)
     month = "mes_entrega"
     return _rounded(measure(data, [month], SALES_NAMES, gold.sales_measures(), order=[(F.col(month), False)]))
 
@@ -572,7 +572,7 @@ SELECT strftime(mes_entrega, '%Y-%m-%d 00:00:00') AS mes_entrega, {_MEASURES} FR
 
 def dashboard_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue and margin per product as one row per measure."""
-    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False)
     return plain(series_long(data, ["carro"], [gold.REVENUE, gold.MARGIN], gold.sales_measures(), "serie", "valor"))
 
 
@@ -583,7 +583,7 @@ UNION ALL SELECT carro, '{gold.MARGIN}', {_money('sum(margin)')} FROM dataset GR
 
 def dashboard_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue and margin share per seller, for one year's sales of two products (a filter before the measures)."""
-    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False)
     filters = {"ano": 1998, "carro": ["Polo", "Nivus"]}
     names = [gold.REVENUE, gold.MARGIN_SHARE]
     revenue = gold.sales_measures()[gold.REVENUE]
@@ -622,12 +622,8 @@ FROM leads GROUP BY ETAPA"""
 
 def dashboard_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The years, products and sellers the filters offer."""
-    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR))
-    lists = [
-        choices(data, n).select(F.lit(n).alias("filtro"), F.col(n).cast("string").alias("valor"))
-        for n in ("ano", "carro", "vendedor")
-    ]
-    return union_all(*lists)
+    data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False)
+    return all_choices(data, ["ano", "carro", "vendedor"], "filtro", "valor")
 
 
 DASHBOARD_CHOICES = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + _SALES_DATASET + "\nUNION ALL ".join(
