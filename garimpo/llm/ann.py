@@ -21,6 +21,8 @@ TREES, LEAF, CELL = 6, 6000, 50_000
 SAMPLE = 8192
 #: Nodes of a cell that a query may start from.
 ENTRIES = 4
+#: The longest vector of a band is at most so many times as long as its shortest.
+BAND = 4.0
 
 
 class Tree(NamedTuple):
@@ -97,15 +99,20 @@ def nearest_in_leaf(rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def to_code(rows: np.ndarray) -> list[bytes]:
-    """A scale and one signed byte per component: enough to steer the search, the results are scored anew."""
-    scale = np.abs(rows).max(axis=1, keepdims=True) / 127 + 1e-30
-    coded = np.concatenate([scale.astype("<f4").view(np.int8), np.rint(rows / scale).astype(np.int8)], axis=1)
+    """The added last component and a scale as floats, one signed byte for each other component: enough to steer the search.
+
+    The scale is that of the vector's own components, which the added one may exceed by far. The results are scored anew.
+    """
+    own, added = rows[:, :-1], np.ascontiguousarray(rows[:, -1:], "<f4")
+    scale = np.abs(own).max(axis=1, keepdims=True) / 127 + 1e-30
+    coded = np.concatenate([added.view(np.int8), scale.astype("<f4").view(np.int8), np.rint(own / scale).astype(np.int8)], axis=1)
     return [x.tobytes() for x in coded]
 
 
 def from_code(codes: list[bytes]) -> np.ndarray:
     rows = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1)
-    return rows[:, 4:].astype(np.float32) * np.ascontiguousarray(rows[:, :4]).view("<f4")
+    added, scale = np.ascontiguousarray(rows[:, :8]).view("<f4").T
+    return np.concatenate([rows[:, 8:].astype(np.float32) * scale[:, None], added[:, None]], axis=1)
 
 
 def best_lists(owner: np.ndarray, other: np.ndarray, score: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -150,25 +157,39 @@ def _merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _lists(best_lists(*_unpack(table), NEIGHBOURS))
 
 
-def forest(coded: DataFrame, vectors: DataFrame, dim: int, count: int) -> tuple[DataFrame, list[Tree]]:
-    """The first graph: in every leaf of a few random trees each vector meets all others.
+class Forest(NamedTuple):
+    trees: list[Tree]
+    first: int  # cells of the bands before
+
+    def cells(self, rows: np.ndarray) -> Iterator[np.ndarray]:
+        """The cells of the rows, tree by tree."""
+        for t, tree in enumerate(self.trees):
+            yield (self.first + cell_of(tree, rows)) * TREES + t
+
+
+def forest(vectors: DataFrame, dim: int, counts: list[int]) -> tuple[DataFrame, DataFrame, list[Forest]]:
+    """The first graph: in every leaf of a few random trees of its band each vector meets all others.
 
     The upper part of a tree is drawn from a bounded sample and deals the vectors to cells; a cell is cut on into leaves where it is
-    gathered, always at the median, so leaves stay even however the vectors crowd.
+    gathered, always at the median, so leaves stay even however the vectors crowd. A band of one cell needs no sample.
     """
-    sample = lowest(vectors, F.xxhash64("node"), SAMPLE).select("vector").collect()
-    rows = np.frombuffer(b"".join(r["vector"] for r in sample), "<f4").reshape(len(sample), dim)
     rng = np.random.default_rng(11)
-    cells = max(1, min(SAMPLE // 8, -(-count // CELL)))
-    trees = [grow(rows, cells, rng) for _ in range(TREES)]
+    forests, made = [], 0
+    for band, count in enumerate(counts):
+        cells = max(1, min(SAMPLE // 8, -(-count // CELL)))
+        sample = lowest(vectors.where(F.col("band") == band), F.xxhash64("node"), SAMPLE).select("vector").collect() if cells > 1 else []
+        rows = np.frombuffer(b"".join(r["vector"] for r in sample), "<f4").reshape(len(sample), dim)
+        forests.append(Forest([grow(rows, cells, rng) for _ in range(TREES)], made))
+        made += cells
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            if part.num_rows:
-                here = np.frombuffer(b"".join(part["vector"].to_pylist()), "<f4").reshape(-1, dim)
-                for t, tree in enumerate(trees):
-                    cell = pa.array(cell_of(tree, here) * TREES + t)
-                    yield pa.RecordBatch.from_arrays([cell, part["node"], part["vector"]], names=["cell", "node", "vector"])
+            bands = part["band"].to_numpy()
+            for band in np.unique(bands):
+                some = part.filter(pa.array(bands == band))
+                here = np.frombuffer(b"".join(some["vector"].to_pylist()), "<f4").reshape(-1, dim)
+                for cell in forests[band].cells(here):
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), some["node"], some["vector"]], names=["cell", "node", "vector"])
 
     def meet(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_keys(parts, ["cell"], 1):
@@ -186,7 +207,7 @@ def forest(coded: DataFrame, vectors: DataFrame, dim: int, count: int) -> tuple[
     graph = settle(met.repartition("node").sortWithinPartitions("node").mapInArrow(_merge, _LIST_SCHEMA), "graph")
     first = Window.partitionBy("cell").orderBy(F.xxhash64("node", "cell"))
     entries = dealt.select("cell", "node", F.row_number().over(first).alias("n")).where(F.col("n") <= ENTRIES)
-    return settle(entries.select("cell", "node"), "entries"), graph, trees
+    return settle(entries.select("cell", "node"), "entries"), graph, forests
 
 
 def descend(graph: DataFrame, coded: DataFrame) -> DataFrame:
@@ -324,8 +345,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id
 
     Nearness is the inner product, in double precision on the original vectors; ties go to the smaller id. A query's own row,
     the one with its id, is no candidate. All vectors are in the index; equal vectors are one node of it and each of
-    them is a candidate. For the graph, vectors are scaled by the longest one and given one more component that makes all lengths
-    equal, so that the largest inner product is the smallest distance.
+    them is a candidate. For the graph, vectors fall into bands of similar length; in a band they are scaled by its longest one and
+    given one more component that makes all lengths equal, so that the largest inner product is the smallest distance. Every
+    query searches every band on its own, and all that its searches end on is scored exactly, so a long vector hides no other.
 
     Null vectors, zero vectors and those with a null or non-finite component take no part, nor do those of another dimension
     than the most common one. With fewer than `k` candidates all are returned as far as the graph connects them. Rows with a null id are
@@ -343,22 +365,26 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id
     d = common["d"]
     rows = rows.where(F.size("e") == d)
     nodes = settle(rows.groupBy("e").agg(norm.alias("norm")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    longest, count = nodes.agg(F.max("norm"), F.count(F.lit(1))).first()
+    longest = nodes.agg(F.max("norm")).first()[0]
+    step = F.floor(F.log(F.lit(longest) / F.col("norm")) / float(np.log(BAND)))
+    # Floats differ by less than 2^280 in length, so there are at most some 140 bands.
+    bands = nodes.groupBy(step.alias("step")).agg(F.max("norm").alias("norm"), F.count(F.lit(1)).alias("n")).orderBy("step").collect()
+    band_of = {b["step"]: n for n, b in enumerate(bands)}
+    tops = np.array([b["norm"] for b in bands])
     dim = d + 1
 
-    def scaled(e: list) -> np.ndarray:
-        unit = np.array(e, np.float64).reshape(-1, d) / longest
-        return np.concatenate([unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(1, keepdims=True)))], axis=1).astype("<f4")
-
     def prepare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            unit = scaled(part["e"].to_pylist())
-            columns = [part["node"], pa.array([x.tobytes() for x in unit], pa.binary()), pa.array(to_code(unit) if len(unit) else [], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "vector", "code"])
-
-    ready = settle(nodes.select("node", "e").mapInArrow(prepare, "node long, vector binary, code binary"), "vectors")
+            band = np.array([band_of[x] for x in part["step"].to_pylist()], np.int64)
+            unit = np.array(part["e"].to_pylist(), np.float64).reshape(-1, d) / tops[band][:, None]
+            unit = np.concatenate([unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(1, keepdims=True)))], axis=1).astype("<f4")
+            made = [pa.array([x.tobytes() for x in unit], pa.binary()), pa.array(to_code(unit) if len(unit) else [], pa.binary())]
+            yield pa.RecordBatch.from_arrays([part["node"], pa.array(band), *made], names=["node", "band", "vector", "code"])
+
+    ready = nodes.select("node", "e", step.alias("step")).mapInArrow(prepare, "node long, band long, vector binary, code binary")
+    ready = settle(ready, "vectors")
     coded = ready.select("node", "code")
-    entries, graph, trees = forest(coded, ready.select("node", "vector"), dim, count)
+    entries, graph, forests = forest(ready.select("node", "band", "vector"), dim, [b["n"] for b in bands])
     for _ in range(ROUNDS):
         graph = descend(graph, coded)
 
@@ -366,34 +392,39 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id
     asking = settle(asking.withColumn("q", F.monotonically_increasing_id()), "queries")
     none = np.zeros(0).tobytes()
 
+    # A query's search of a band is a search of its own.
+    searches = len(bands)
+
+    def units(part: pa.RecordBatch) -> np.ndarray:
+        unit = np.array(part["e"].to_pylist(), np.float64).reshape(-1, d)
+        return np.concatenate([unit / np.linalg.norm(unit, axis=1, keepdims=True), np.zeros((len(unit), 1))], axis=1).astype("<f4")
+
     def begin(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            unit = np.array(part["e"].to_pylist(), np.float64).reshape(-1, d)
-            unit = np.concatenate([unit / np.linalg.norm(unit, axis=1, keepdims=True), np.zeros((len(unit), 1))], axis=1).astype("<f4")
-            codes = to_code(unit) if len(unit) else []
-            out = [(q, c, none, none, none, none, 0) for q, c in zip(part["q"].to_pylist(), codes, strict=True)]
-            yield _batch(_STATE, list(zip(*out, strict=True)) if out else [[] for _ in _STATE])
+            codes = to_code(units(part)) if part.num_rows else []
+            for band in range(searches):
+                out = [(q * searches + band, c, none, none, none, none, 0) for q, c in zip(part["q"].to_pylist(), codes, strict=True)]
+                yield _batch(_STATE, list(zip(*out, strict=True)) if out else [[] for _ in _STATE])
 
     def enter(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            unit = scaled(part["e"].to_pylist())
-            for t, tree in enumerate(trees if len(unit) else []):
-                yield pa.RecordBatch.from_arrays([part["q"], pa.array(cell_of(tree, unit) * TREES + t)], names=["q", "cell"])
+            unit, q = units(part), part["q"].to_numpy()
+            for band, trees in enumerate(forests if len(unit) else []):
+                for cell in trees.cells(unit):
+                    yield pa.RecordBatch.from_arrays([pa.array(q * searches + band), pa.array(cell)], names=["q", "cell"])
 
     state = asking.select("q", "e").mapInArrow(begin, _STATE_SCHEMA)
     state = state.withColumns({"member": F.lit(None).cast("long"), "member_code": F.lit(None).cast("binary")})
     into = asking.select("q", "e").mapInArrow(enter, "q long, cell long").join(entries, "cell").select("q", F.col("node").alias("member"))
-    own = _meet(asking, nodes).select("q", F.col("node").alias("member"))
+    own = _meet(asking, nodes).join(ready.select("node", "band"), "node")
+    own = own.select((F.col("q") * searches + F.col("band")).alias("q"), F.col("node").alias("member"))
     ended = walk(state, graph, coded, into.unionByName(own).distinct())
 
-    # What the search ended on is scored exactly; codes misplace nothing by more than a few places.
-    keep = 2 * k + 8
-
     def best(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What the searches ended on, all of it: codes only say where to look."""
         for part in parts:
-            found = [np.frombuffer(x, "<i8")[:keep] for x in part["ids"].to_pylist()]
-            q = np.repeat(part["q"].to_numpy(), [len(x) for x in found])
-            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))], names=["q", "node"])
+            ids, n = packed(part["ids"].to_pylist(), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part["q"].to_numpy() // searches, n)), pa.array(ids)], names=["q", "node"])
 
     product = F.aggregate(
         F.zip_with("e", "qe", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x

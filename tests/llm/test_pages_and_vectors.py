@@ -135,6 +135,28 @@ def test_small_leaves_and_rounds_reach_the_recall(spark, monkeypatch):
     assert hits >= 0.9 * 450
 
 
+@pytest.mark.parametrize("spread", ["one long", "powers of ten"])
+def test_recall_with_lengths_far_apart(spark, spread, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF", 60)
+    monkeypatch.setattr(ann, "CELL", 300)
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(1200, 16))
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    if spread == "one long":
+        data[7] *= 1e4
+    else:
+        data *= 10 ** rng.uniform(-5, 1, (1200, 1))
+    data = data.astype("f4")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    got = ann.search(df, df.where("vec_id % 40 = 0"), 10).collect()
+    hits = 0
+    for q in range(0, 1200, 40):
+        near = data.astype(float) @ data[q].astype(float)
+        near[q] = -np.inf
+        hits += len(set(np.argsort(-near)[:10].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert hits >= 0.9 * 300
+
+
 def test_places_within_the_radius_meet():
     """Two places within the radius meet: one of them probes the home cell of the other."""
     rng = np.random.default_rng(1)
