@@ -20,9 +20,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of documents linked by their fingerprints exactly one stays, the one with the smallest id.
 
     Rows with a null id come last in their group, and of rows with one id the first in the table stays. Rows are told apart by
-    their place in `docs`, a written table, so that repeated rows and ids don't matter.
+    their file and place in `docs`, a written table, so that repeated rows and ids don't matter, nor how a job deals the files.
     """
-    placed = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    row = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    placed = docs.select(F.struct("*").alias("_doc"), row.alias("_row"))
     doc_id = F.col("_doc")["doc_id"]
     order = F.struct(doc_id.isNull().alias("unknown"), doc_id.alias("id"), F.col("_row").alias("row"))
     groups = simhash.near_duplicates(placed.select(order.alias("_order"), F.col("_doc")["text"].alias("text")), "_order")

@@ -342,6 +342,24 @@ def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, tmp_path):
     assert got == ordered([(3, first), (7, second), (None, third), (9, "")])
 
 
+def test_near_duplicate_stage_knows_its_rows_in_any_deal(spark, tmp_path):
+    """The files are dealt to tasks in another way once the fingerprints are written."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(30)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts * 2)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id").write.parquet(f"{tmp_path}/d")
+    kept = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/d"), str(tmp_path))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "2k")
+        spark.conf.set(names[1], "1")
+        assert sorted(map(tuple, kept.collect())) == sorted(rows[:40])
+    finally:
+        for n, value in zip(names, before, strict=True):
+            spark.conf.set(n, value)
+
+
 def test_pipeline_stages(table, spark, tmp_path):
     rows, docs = table
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
