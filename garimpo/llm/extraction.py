@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from garimpo.llm.common import map_batches
 
-#: Lines under a sliding window, and the share of the highest window sum that counts as a surge where the page does not mark
-#: its article.
+#: Lines under a sliding window, and the share of a full window of middling text lines that counts as a surge where the page does
+#: not mark its article. From TEXT_LINE characters on a line is taken for text and not for a label.
 BLOCK = 3
 SURGE = 0.2
+TEXT_LINE = 40
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.S
@@ -35,6 +36,8 @@ _ASIDE_NAME = re.compile(
     r"(?:$|[-_\s\d])",
     re.I,
 )
+# Those of them that can hold most of a page's text without being its article.
+_RESPONSE = re.compile(r"(?:^|[-_\s])(?:comment|comments|reply|replies|respond|disqus)(?:$|[-_\s\d])", re.I)
 _ARTICLE = {"article", "main"}
 _BLOCK_TAG = {
     *("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -52,40 +55,66 @@ class Line(NamedTuple):
     linked: int  # characters inside links
 
 
-def _set_apart(name: str, rest: str) -> bool:
+class Named(NamedTuple):
+    within: int  # the set-apart element by name around it, -1 if none
+    response: bool  # named like readers' responses
+
+
+def _set_apart(name: str, rest: str) -> str | None:
+    """What sets an element apart: "kind" for its tag or role, else the class or id that does, None if nothing does."""
     if name in _ASIDE:
-        return True
+        return "kind"
+    by_name = None
     for key, *values in _ATTRIBUTE.findall(rest):
         value = "".join(values)
         if key.lower() == "role":
             if value.lower() in _ASIDE_ROLE:
-                return True
+                return "kind"
         elif name not in {"html", "body", "article", "main"} and _ASIDE_NAME.search(value):
-            return True
-    return False
+            by_name = f"{by_name or ''} {value}"
+    return by_name
+
+
+def _wrappers(named: list[Named], own: list[int], free: int) -> list[bool]:
+    """Which elements set apart by name hold most of the page's text, and so wrap it: `own` is the text in each of them, in none
+    of those inside it, and `free` that in none at all. Responses wrap it only if there is no text beside them."""
+    held, total = list(own), free + sum(own)
+    for i in range(len(named) - 1, -1, -1):
+        if named[i].within >= 0:
+            held[named[i].within] += held[i]
+    return [2 * n > total and (n == total or not x.response) for n, x in zip(held, named, strict=True)]
 
 
 def lines(page: str) -> list[Line]:
-    """The page without markup, one line for each run of text between block tags."""
-    out: list[Line] = []
+    """The page without markup, one line for each run of text between block tags.
+
+    A name sets an element apart unless the element holds most of the page's text: then the name tells of the layout.
+    """
+    out: list[tuple[Line, int]] = []  # set apart by kind, and by which innermost element by name
     text: list[str] = []
     linked = at = 0
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is set apart
-    aside = article = links = 0
+    stack: list[tuple[str, bool, int]] = []  # open elements, whether each is set apart, and its number if by name, else -1
+    named: list[Named] = []
+    aside = kinds = article = links = 0
+    inner = -1
 
     def end_line() -> None:
         nonlocal linked
         joined = " ".join("".join(text).split())
         if joined:
-            out.append(Line(joined, aside > 0, article > 0, linked))
+            out.append((Line(joined, kinds > 0, article > 0, linked), inner))
         text.clear()
         linked = 0
 
     def close(upto: int) -> None:
-        nonlocal aside, article, links
+        nonlocal aside, kinds, inner, article, links
         while len(stack) > upto:
-            name, apart = stack.pop()
+            name, apart, number = stack.pop()
             aside -= apart
+            if number >= 0:
+                inner = named[number].within
+            else:
+                kinds -= apart
             article -= name in _ARTICLE
             links -= name == "a"
 
@@ -124,16 +153,39 @@ def lines(page: str) -> list[Line]:
             continue
         if name in _ARTICLE and aside and not article:
             # An article that starts inside an element nobody closed is not part of it.
-            close(next(i for i, (_, apart) in enumerate(stack) if apart))
-        if stack and (stack[-1][0] in _CLOSED_BY.get(name, ()) or (name in _BLOCK_TAG and stack[-1][0] == "p")):
-            close(len(stack) - 1)
-        apart = _set_apart(name, found["rest"])
-        stack.append((name, apart))
+            close(next(i for i, (_, apart, _) in enumerate(stack) if apart))
+        if name in _BLOCK_TAG:
+            # Inline elements that nobody closed go with the element around them.
+            i = len(stack) - 1
+            while i > 0 and stack[i][0] not in _BLOCK_TAG and stack[i][0] not in _ASIDE:
+                i -= 1
+            if i >= 0 and (stack[i][0] == "p" or stack[i][0] in _CLOSED_BY.get(name, ())):
+                close(i)
+        what = _set_apart(name, found["rest"])
+        apart, number = what is not None, -1
+        if what == "kind":
+            kinds += 1
+        elif what is not None:
+            number = len(named)
+            named.append(Named(inner, bool(_RESPONSE.search(what))))
+            inner = number
+        stack.append((name, apart, number))
         aside += apart
         article += name in _ARTICLE
         links += name == "a"
     end_line()
-    return out
+    own, free = [0] * len(named), 0
+    for line, number in out:
+        if not line.aside:
+            weight = max(0, len(line.text) - line.linked)
+            if number >= 0:
+                own[number] += weight
+            else:
+                free += weight
+    shut: list[bool] = []
+    for x, wraps in zip(named, _wrappers(named, own, free), strict=True):
+        shut.append(not wraps or (x.within >= 0 and shut[x.within]))
+    return [line._replace(aside=line.aside or (number >= 0 and shut[number])) for line, number in out]
 
 
 def main_text(page: str | None) -> str:
@@ -141,7 +193,8 @@ def main_text(page: str | None) -> str:
 
     Every line counts with its length, lines that are set apart or mostly links with none. Where the page marks its article,
     only the lines inside it count. The sums over windows of three lines rise at a surge and fall to nothing at a dive; the lines
-    with text between them are the main text. Without a marked article a stretch must reach a share of the highest sum.
+    with text between them are the main text. Without a marked article a stretch must reach a share of a window of median text
+    lines, or of the highest sum if that is less, so one very long line outweighs no other.
     """
     found = lines(page or "")
     marked = any(x.article and not x.aside for x in found)
@@ -153,7 +206,10 @@ def main_text(page: str | None) -> str:
         return ""
     total = np.cumsum(np.concatenate([[0], length, np.zeros(BLOCK - 1, np.int64)]))
     sums = total[BLOCK:] - total[:-BLOCK]  # of the window that starts at each line
-    surge = 1 if marked else SURGE * sums.max()
+    surge = 1
+    if not marked:
+        text = np.sort(length[length >= TEXT_LINE])
+        surge = SURGE * min(sums.max(), BLOCK * text[(len(text) - 1) // 2] if len(text) else np.inf)
     kept, i = [], 0
     while i < len(found):
         if not sums[i]:

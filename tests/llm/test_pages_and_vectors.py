@@ -43,6 +43,27 @@ def test_pages_as_a_frame(spark):
     assert extraction.extract(pages.limit(0)).count() == 0
 
 
+BODY = "Long text of the page. " * 8
+WHOLE = {
+    "wrapper": (
+        f'<div class="page has-sidebar"><div class="menu">Home</div><div class="elementor-widget"><p>{BODY}</p><p>Its end.</p></div></div>',
+        BODY + "Its end.",
+    ),
+    "long line": (
+        f'<div><p>{BODY * 40}</p></div><nav>a<br>b<br>c<br>d</nav><div><p>{BODY}</p></div><nav>a<br>b<br>c<br>d</nav><p>Foot</p>',
+        BODY * 41,
+    ),
+    "open inline": (f'<div><p class="notice"><b>Note<p>{BODY}<p>Its end.</div>', BODY + "Its end."),
+    "responses": (f'<main><p>Short text.</p><div id="comments"><p>{BODY}</p></div></main>', "Short text."),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_whole_text_of_unlike_pages(name):
+    page, expected = WHOLE[name]
+    assert extraction.main_text(page) == expected.strip()
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, node long, score double, e string"
 
 
