@@ -19,6 +19,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by their fingerprints exactly one stays, the one with the smallest id.
 
+    Links are those of four-word fingerprints within 4 bits: most pairs of a five-word similarity of 0.9 or less are not linked,
+    see the README for the share by similarity.
+
     Rows with a null id come last in their group, and of rows with one id the first in the table stays. Rows are told apart by
     their file and place in `docs`, a written table, so that repeated rows and ids don't matter, nor how a job deals the files.
     """
