@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from garimpo.llm import ann, bpe, class_lm, extraction, language, mixing, sharding, simhash, suffix_dedup, vector_dedup
+from garimpo.llm import (
+    ann,
+    bpe,
+    class_lm,
+    extraction,
+    language,
+    mixing,
+    prefix_trie,
+    sharding,
+    simhash,
+    suffix_dedup,
+    tandem_runs,
+    vector_dedup,
+    winnowing,
+)
 from workload.base import Query
 
 
@@ -61,6 +75,60 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def repeating(docs: DataFrame) -> DataFrame:
+    """Every tenth document or so gets a periodic end: its words from a on become those of a stretch of p words again and again."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def changed(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        places = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n == 0, "").otherwise(F.array_join(F.transform(places, lambda i: F.get(w, i)), " "))
+
+    # The words are bound to a variable, so a text is split once and not for each of its words.
+    periodic = F.transform(F.array(words), changed)[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op11_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tandem_runs.tandem_runs(repeating(read(spark, sf_dir, "documents")))
+
+    def before(x: Column, y: Column) -> Column:
+        """Greater exponent first, compared exactly; then the smaller start and the smaller period."""
+        longer, shorter = x["length"] * y["period"], y["length"] * x["period"]
+        order = F.when(longer > shorter, -1).when(longer < shorter, 1)
+        return order.when(x["start"] != y["start"], F.signum(x["start"] - y["start"]).cast("int")).otherwise(
+            F.signum(x["period"] - y["period"]).cast("int")
+        )
+
+    best = F.get(F.array_sort("runs", before), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.successors(read(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(read(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    root = F.col("conv_id") - F.col("conv_id") % 100
+    return prefix_trie.prefix_trie(*prefix_trie.grafted(turns, head, 5, root))
+
+
 QUERIES = [
     Query("op1_lpt_shards", op1_lpt_shards, None),
     Query("op2_nn_descent", op2_nn_descent, None),
@@ -72,5 +140,8 @@ QUERIES = [
     Query("op8_suffix_dedup", op8_suffix_dedup, None),
     Query("op9_simhash", op9_simhash, None),
     Query("op10_byte_cnn", op10_byte_cnn, None),
+    Query("op11_tandem_runs", op11_tandem_runs, None),
+    Query("op12_winnowing", op12_winnowing, None),
+    Query("op13_prefix_trie", op13_prefix_trie, prefix_trie.SQL),
     Query("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 ]
