@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions import PROBLEM
 from garimpo.functions.aggregates import MONEY
 from garimpo.operators.dimensions import union_all
-from garimpo.session import scratch
+from garimpo.operators.positions import with_position
+from garimpo.session import scratch, settle
 
 TOLERANCE = "0.01"
 EXAMPLES = 20
@@ -34,6 +35,27 @@ def check_rows(df: DataFrame, contracts: Sequence[Contract]) -> DataFrame:
     return long.select("contrato", "linhas", "violacoes", (F.col("violacoes") == 0).alias("passou"))
 
 
+ROWS = "linhas"
+
+
+def row_counts(contracts: Sequence[Contract]) -> dict[str, Column]:
+    """The aggregates behind `check_rows`, to be taken while the rows are written."""
+    return {ROWS: F.count(F.lit(1))} | {c.name: F.count_if(~F.coalesce(c.holds, F.lit(False))) for c in contracts}
+
+
+def checked_rows(spark: SparkSession, counts: Mapping[str, int], contracts: Sequence[Contract]) -> DataFrame:
+    """What `check_rows` gives, from counts that were taken before."""
+    rows = [(c.name, counts[ROWS], counts[c.name], counts[c.name] == 0) for c in contracts]
+    return spark.createDataFrame(rows, "contrato string, linhas bigint, violacoes bigint, passou boolean")
+
+
+def checked_lineage(spark: SparkSession, name: str, behind: int | None, landed: int) -> DataFrame:
+    """What `check_lineage` gives, from the input rows behind the silver rows and the rows landed, counted before."""
+    behind = behind or 0
+    rows = [(name, behind, landed, behind == landed)]
+    return spark.createDataFrame(rows, "contrato string, linhas bigint, chaves bigint, passou boolean")
+
+
 def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("linhas")).filter("linhas > 1")
@@ -89,10 +111,11 @@ def close(a: Column, b: Column) -> Column:
 
 
 def presence(id: str, **frames: DataFrame) -> DataFrame:
-    """Per id the number of rows each frame has for it.
+    """Per id the number of rows each frame has for it: (_id, one column per frame).
 
     One aggregate answers absence both ways, uniqueness and overlap at once; it is partly done before the shuffle, so
-    neither many copies of an id nor many NULL ids land in one task, as they would in anti joins.
+    neither many copies of an id nor many NULL ids land in one task, as they would in anti joins. Written once, it serves every
+    check on these ids: `unique_in`, `traced`, `traced_with_held`.
     """
     tagged = union_all(*[f.select(F.col(id).alias("_id"), F.lit(n).alias("_in")) for n, f in frames.items()])
     return tagged.groupBy("_id").agg(*[F.count_if(F.col("_in") == n).alias(n) for n in frames])
@@ -108,31 +131,53 @@ def _rows_outside(name: str, other: Column) -> Column:
     return F.coalesce(F.sum(F.when(outside, F.col(name)).otherwise(0)), F.lit(0))
 
 
-def trace(fact: DataFrame, source: DataFrame, id: str) -> DataFrame:
-    """One row: rows, distinct ids, rows of the source absent from the fact, rows of the fact not in the source."""
-    return presence(id, fact=fact, source=source).agg(
+def _ids(name: str) -> Column:
+    return F.count_if((F.col(name) > 0) & F.col("_id").isNotNull())
+
+
+def unique_in(ids: DataFrame, frame: str, name: str) -> DataFrame:
+    """What `check_unique` gives for the frame `frame` of a `presence`."""
+    counted = ids.agg(_rows(frame).alias("linhas"), _ids(frame).alias("chaves"))
+    return counted.select(
+        F.lit(name).alias("contrato"), "linhas", "chaves", (F.col("linhas") == F.col("chaves")).alias("passou")
+    )
+
+
+def traced(ids: DataFrame) -> DataFrame:
+    """What `trace` gives, from the presence of `fact` and `source`."""
+    return ids.agg(
         _rows("fact").alias("linhas"),
-        F.count_if((F.col("fact") > 0) & F.col("_id").isNotNull()).alias("ids"),
+        _ids("fact").alias("ids"),
         _rows("source").alias("linhas_origem"),
         _rows_outside("source", F.col("fact")).alias("ausentes"),
         _rows_outside("fact", F.col("source")).alias("extras"),
     )
 
 
-def trace_with_held(fact: DataFrame, held: DataFrame, source: DataFrame, id: str) -> DataFrame:
-    """As `trace`, with rows held back; `sobreposicoes` counts pairs of accepted and held rows of one id."""
+def trace(fact: DataFrame, source: DataFrame, id: str) -> DataFrame:
+    """One row: rows, distinct ids, rows of the source absent from the fact, rows of the fact not in the source."""
+    return traced(presence(id, fact=fact, source=source))
+
+
+def traced_with_held(ids: DataFrame) -> DataFrame:
+    """What `trace_with_held` gives, from the presence of `fact`, `held` and `source`."""
     pairs = F.when(F.col("_id").isNotNull(), F.col("fact") * F.col("held")).otherwise(0)
-    return presence(id, fact=fact, held=held, source=source).agg(
+    return ids.agg(
         _rows("fact").alias("aceitas"),
         _rows("held").alias("quarentena"),
         _rows("source").alias("total_silver"),
-        F.count_if((F.col("fact") > 0) & F.col("_id").isNotNull()).alias("ids"),
+        _ids("fact").alias("ids"),
         _rows_outside("source", F.col("fact") + F.col("held")).alias("ausentes"),
         (_rows_outside("fact", F.col("source")) + _rows_outside("held", F.col("source"))).alias("extras"),
         F.coalesce(F.sum(pairs), F.lit(0)).alias("sobreposicoes"),
     )
 
 
+def trace_with_held(fact: DataFrame, held: DataFrame, source: DataFrame, id: str) -> DataFrame:
+    """As `trace`, with rows held back; `sobreposicoes` counts pairs of accepted and held rows of one id."""
+    return traced_with_held(presence(id, fact=fact, held=held, source=source))
+
+
 def absent(a: DataFrame, b: DataFrame, id: str) -> DataFrame:
     """Rows of `a` whose id is not in `b`."""
     return a.join(b.select(id).distinct(), id, "left_anti")
@@ -162,34 +207,56 @@ class HeldReference(NamedTuple):
     held_id: str
 
 
-def orphans(fact: DataFrame, references: Sequence[Reference], customer: HeldReference | None = None) -> DataFrame:
-    """Fact rows with a key no dimension has, or whose customer key and quarantine disagree.
+def orphan_marks(fact: DataFrame, references: Sequence[Reference], customer: HeldReference | None = None) -> DataFrame:
+    """The fact's rows with a key no dimension has, or whose customer key and quarantine disagree.
 
-    The fact is counted by its keys before it is joined, so a hot combination costs one row per map task;
-    `linhas` is the number of fact rows behind each result row.
+    Each key is looked at on its own: its distinct values, found partly before the shuffle, are joined with its dimension, and so
+    are the pairs of customer key and source id. The values that fail, few or none, are one small written table; the rows are then
+    marked by joins with it. So no row of the fact goes through a shuffle, and none that is held by all its keys at once.
     """
-    keys = [r.column for r in references]
-    if customer:
-        keys += [customer.column, customer.source_id]
-    counted = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas"))
-    bad = F.lit(False)
+    missing = F.lit(False)
+    kept = fact
+    broken = []
     for i, r in enumerate(references):
-        side = r.dim.select(F.col(r.key).alias(f"_k{i}"))
-        counted = counted.join(side, F.col(r.column) == F.col(f"_k{i}"), "left")
-        bad = bad | F.col(f"_k{i}").isNull()
+        missing = missing | F.col(r.column).isNull()
+        side = r.dim.select(F.col(r.key).alias("_k"))
+        values = fact.select(F.col(r.column).alias("_v")).where(F.col("_v").isNotNull()).distinct()
+        lost = values.join(side, F.col("_v") == F.col("_k"), "left_anti")
+        broken.append(lost.select(F.lit(i).alias("_i"), F.col("_v").cast("string").alias("_v")))
     if customer:
-        side = customer.dim.select(F.col(customer.key).alias("_kc"))
+        dim = customer.dim.select(F.col(customer.key).alias("_kc"))
         held = customer.held.select(F.col(customer.held_id).alias("_kq"))
-        counted = counted.join(side, F.col(customer.column) == F.col("_kc"), "left").join(
-            held, F.col(customer.source_id) == F.col("_kq"), "left"
+        pairs = fact.select(F.col(customer.column).alias("_v"), F.col(customer.source_id).alias("_w")).distinct()
+        pairs = pairs.join(dim, F.col("_v") == F.col("_kc"), "left").join(held, F.col("_w") == F.col("_kq"), "left")
+        key, is_held = F.col("_v").isNotNull(), F.col("_kq").isNotNull()
+        lost = pairs.where((key == is_held) | (key & F.col("_kc").isNull()))
+        broken.append(
+            lost.select(F.lit(len(references)).alias("_i"), F.col("_v").cast("string").alias("_v"), F.col("_w").cast("string").alias("_w"))
         )
-        key, is_held = F.col(customer.column).isNotNull(), F.col("_kq").isNotNull()
-        bad = bad | (key == is_held) | (key & F.col("_kc").isNull())
-    return counted.filter(bad).select(*keys, "linhas")
+    table = settle(union_all(*broken), "orphans") if broken else None
+    bad = missing
+    for i, r in enumerate(references):
+        side = table.where(F.col("_i") == i).select(F.col("_v").alias(f"_b{i}"))
+        kept = kept.join(side, F.col(r.column).cast("string") == F.col(f"_b{i}"), "left")
+        bad = bad | F.col(f"_b{i}").isNotNull()
+    if customer:
+        side = table.where(F.col("_i") == len(references)).select(F.col("_v").alias("_bv"), F.col("_w").alias("_bw"), F.lit(True).alias("_bad"))
+        same = F.col(customer.column).cast("string").eqNullSafe(F.col("_bv")) & F.col(customer.source_id).cast("string").eqNullSafe(F.col("_bw"))
+        kept = kept.join(side, same, "left")
+        bad = bad | F.coalesce("_bad", F.lit(False))
+    return kept.where(bad).select(fact.columns)
+
+
+def orphans(fact: DataFrame, references: Sequence[Reference], customer: HeldReference | None = None) -> DataFrame:
+    """The rows that `orphan_marks` finds, by their keys; `linhas` is the number of fact rows behind each result row."""
+    keys = [r.column for r in references]
+    if customer:
+        keys += [customer.column, customer.source_id]
+    return orphan_marks(fact, references, customer).groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas"))
 
 
 def orphan_rows(*args, **kwargs) -> DataFrame:
-    return orphans(*args, **kwargs).agg(F.coalesce(F.sum("linhas"), F.lit(0)).alias("linhas"))
+    return orphan_marks(*args, **kwargs).agg(F.count(F.lit(1)).alias("linhas"))
 
 
 def coverage(fact: DataFrame, held: DataFrame, key: str, id: str, held_id: str) -> DataFrame:
@@ -214,14 +281,15 @@ def check_fact(
     key: str | None = None,
     source_id: str | None = None,
     held_id: str | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """One row: no source row was lost or multiplied, ids are unique, required keys are present, and the customer key
-    is NULL exactly for the held ids."""
+    is NULL exactly for the held ids. `ids`: the presence of `fact` and `source`, if it is there already."""
     missing = F.lit(False)
     for c in required:
         missing = missing | F.col(c).isNull()
     parts = {
-        "t": trace(fact, source, id),
+        "t": trace(fact, source, id) if ids is None else traced(ids),
         "m": fact.agg(F.count_if(missing).alias("chaves_ausentes")),
     }
     if held is not None:
@@ -249,14 +317,15 @@ def check_fact(
 
 
 def check_position_fact(
-    fact: DataFrame, held: DataFrame, source: DataFrame, id: str, grain: Sequence[str], name: str
+    fact: DataFrame, held: DataFrame, source: DataFrame, id: str, grain: Sequence[str], name: str, ids: DataFrame | None = None
 ) -> DataFrame:
-    """One row: accepted and held rows make up the source, ids and grains are unique, the grain is never NULL."""
+    """One row: accepted and held rows make up the source, ids and grains are unique, the grain is never NULL. `ids`: the
+    presence of `fact`, `held` and `source`, if it is there already."""
     missing = F.lit(False)
     for c in grain:
         missing = missing | F.col(c).isNull()
     both = beside(
-        t=trace_with_held(fact, held, source, id),
+        t=trace_with_held(fact, held, source, id) if ids is None else traced_with_held(ids),
         g=fact.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n")).agg(
             F.count(F.lit(1)).alias("graos"), F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("ausentes")
         ),
@@ -357,8 +426,10 @@ def require_clean(df: DataFrame, title: str) -> DataFrame:
     return df.drop(PROBLEM)
 
 
-def report(results: DataFrame) -> DataFrame:
-    """The results in their fixed order."""
+def report(results: DataFrame, position: str | None = None) -> DataFrame:
+    """The results in their fixed order, which `position` names as a column if given."""
+    if position:
+        return with_position(results, [(F.col("ORDEM"), False)], position).drop("ORDEM")
     return results.orderBy("ORDEM").drop("ORDEM")
 
 

@@ -70,10 +70,21 @@ def date_bounds(columns: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame
     return union_all(*per_frame).agg(F.min("first").alias("first"), F.max("last").alias("last"))
 
 
+def check_span(bounds: DataFrame, first: str, last: str, name: str) -> DataFrame:
+    """One row: the bounds are there and lie between two dates, so that a calendar over them has a known size."""
+    within = (F.col("first") >= F.lit(first).cast("date")) & (F.col("last") <= F.lit(last).cast("date"))
+    return bounds.select(
+        F.lit(name).alias("contrato"),
+        F.col("first").cast("string").alias("primeira"),
+        F.col("last").cast("string").alias("ultima"),
+        F.coalesce(within, F.lit(False)).alias("passou"),
+    )
+
+
 def calendar_dim(bounds: DataFrame, months: Sequence[str], weekdays: Sequence[str]) -> DataFrame:
     """One row per day between the bounds, with month and weekday names (the week starts on Sunday).
 
-    Never more than the days a date can hold, so its size does not grow with the data.
+    `check_span` on the bounds comes first: without it one outlying date gives millions of days.
     """
     day = F.col("DATA")
     days = bounds.filter("first IS NOT NULL").select(

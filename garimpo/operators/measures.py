@@ -8,6 +8,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from garimpo.operators.dimensions import distinct_values
+from garimpo.operators.positions import with_position
+
 
 class Measure(NamedTuple):
     name: str
@@ -41,12 +44,17 @@ def measure(
     filters: Mapping[str, object] | None = None,
     order: Sequence[tuple[Column, bool]] = (),
     exempt: Collection[str] = (),
+    position: str | None = None,
 ) -> DataFrame:
     """Measures per group; filters come first. `order` lists (aggregate or group column, descending)
-    and may use aggregates of columns that are not in the result."""
+    and may use aggregates of columns that are not in the result. With `position` the order is given out as a column of that
+    name instead of as the order of the rows; groups that tie in it go by the group columns."""
     grouped = apply_filters(df, filters, exempt).groupBy(*by)
     sorts = [o.alias(f"_o{i}") for i, (o, _) in enumerate(order)]
     out = grouped.agg(*[measures[n].alias(n) for n in names], *sorts)
+    if position:
+        sorted_by = [(F.col(f"_o{i}"), down) for i, (_, down) in enumerate(order)]
+        return with_position(out, [*sorted_by, *[(F.col(b), False) for b in by]], position).select(*by, *names, position)
     if order:
         out = out.orderBy(*[F.col(f"_o{i}").desc() if down else F.col(f"_o{i}").asc() for i, (_, down) in enumerate(order)])
     return out.select(*by, *names)
@@ -62,7 +70,7 @@ def series_long(
 
 def choices(df: DataFrame, name: str) -> DataFrame:
     """The values a filter offers."""
-    return df.select(name).distinct().orderBy(name)
+    return distinct_values(df, [name]).orderBy(name)
 
 
 def all_choices(df: DataFrame, names: Sequence[str], filter_name: str, value: str) -> DataFrame:

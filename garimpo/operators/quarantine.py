@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from garimpo.functions import sole_value
 from garimpo.operators.running import running_total
 
 CONFLICT = "_conflito"
@@ -28,7 +29,7 @@ def identity_profile(df: DataFrame, id: str, attributes: Sequence[str]) -> DataF
     many = F.lit(False)
     for a in attributes:
         many = many | F.coalesce(F.min(a) < F.max(a), F.lit(False))
-    return df.groupBy(id).agg(*[F.max(a).alias(a) for a in attributes], many.alias(CONFLICT))
+    return df.groupBy(id).agg(*[sole_value(a).alias(a) for a in attributes], many.alias(CONFLICT))
 
 
 def attribute_conflicts(df: DataFrame, id: str, attributes: Sequence[str]) -> Split:

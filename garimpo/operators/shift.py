@@ -76,10 +76,9 @@ def detect_shift(spec: ShiftSpec) -> Checked:
     position = F.when(moved, F.coalesce(*candidates))
 
     who = F.coalesce(F.col(spec.identity), F.lit("<NULL>"))
-    reason = F.when(split_before, F.lit("deslocamento monetario ambiguo em ")).otherwise(
-        F.lit("deslocamento nao reconhecido em ")
-    )
-    refused = F.when(moved & position.isNull(), F.concat(F.lit(f"{spec.system}: "), reason, who))
+    side = F.when(split_before, "antes").when(split_after, "depois").otherwise("fora")
+    told = F.format_string(f"{spec.system}: linha de %s deslocada, sem valor partido %s do pagamento", who, side)
+    refused = F.when(moved & position.isNull(), told)
     return Checked(position, refused)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.functions import content_hash
-from garimpo.session import shuffle_partitions
+from garimpo.session import settle
 
 SOURCE_ROWS = "_linhas_origem"
 
@@ -32,35 +32,50 @@ def load_summary(table: str, silver: DataFrame, source_rows: str = SOURCE_ROWS)
     )
 
 
+#: Rows of a key that are numbered as one piece; a key of more is cut into as many pieces as hold about so many.
+PIECE_ROWS = 100_000
+SPREAD = 4096
+
+
 def _hash_slice(digest: Column, slices: Column) -> Column:
     """Which of `slices` equal ranges of the hash space a digest falls in; keeps the order of the digests."""
     prefix = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return F.shiftright(prefix * slices, 32).cast("int")
 
 
-def number_versions(df: DataFrame, key: Sequence[str], content: Sequence[str], version: str = "_versao") -> DataFrame:
+def number_versions(
+    df: DataFrame, key: Sequence[str], content: Sequence[str], version: str = "_versao", rows: DataFrame | None = None
+) -> DataFrame:
     """Number the rows of each key 1, 2, .. in the order of the hash of their content.
 
     The numbers are the same whatever order the rows arrive in. A row with a NULL in its key gets a NULL number (its
     record key is NULL anyway).
 
-    Every key is cut into as many even ranges of the (uniform) hash as there are shuffle partitions. The rows are dealt once, by
-    key and range; that one exchange serves the numbering within a range, the count of each range, and the join that moves
-    a range up by the ranges before it. So a key of any size is spread, and no action and no broadcast is needed.
+    A key is cut into even ranges of the (uniform) hash in proportion to its counted rows, so a key of any size is spread and one
+    of a few rows is a single range. Keys of more than `PIECE_ROWS` rows are written as a small table first (`rows`: a
+    frame with the key columns to count them on, one with no fewer rows of a key; the frame itself if there is none). The rows are
+    then dealt once, by key and range; that one exchange serves the numbering within a range and the join that moves the
+    ranges of a large key up by the ranges before them, which alone are counted.
     """
     broken = F.lit(False)
     for name in key:
         broken = broken | F.col(name).isNull()
-    hashed = df.withColumn("_hash", content_hash(content))
-    ranges = F.lit(shuffle_partitions(df.sparkSession)).cast("bigint")
-    dealt = hashed.withColumn("_slice", _hash_slice(F.col("_hash"), ranges)).repartition(*key, "_slice")
+    pieces = F.ceil(F.col("_all") / PIECE_ROWS).cast("bigint").alias("_pieces")
+    counted = (df if rows is None else rows).where(~broken).groupBy(*key).agg(F.count(F.lit(1)).alias("_all"))
+    large = settle(counted.where(F.col("_all") > PIECE_ROWS).select(*key, pieces), "large-keys")
+
+    hashed = df.withColumn("_hash", content_hash(content)).join(large, list(key), "left")
+    # Rows without a key are not numbered and may lie anywhere.
+    pieces = F.when(broken, SPREAD).otherwise(F.coalesce("_pieces", F.lit(1)))
+    slice_ = _hash_slice(F.col("_hash"), pieces.cast("bigint"))
+    dealt = hashed.withColumn("_slice", slice_).repartition(*key, "_slice")
 
     # Equal hashes of different rows would be a SHA-256 collision; the content itself then decides, without shipping
     # the JSON through the shuffle.
     within = Window.partitionBy(*key, "_slice").orderBy("_hash", *content)
     before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.where(~broken).groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    moved = counts.select(*key, "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    counts = dealt.where(F.col("_pieces").isNotNull()).groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    moved = counts.select(*key, "_slice", F.sum("_rows").over(before).alias("_before"))
     numbered = dealt.withColumn("_local", F.row_number().over(within)).join(moved, [*key, "_slice"], "left")
-    number = F.when(~broken, F.col("_local") + F.col("_before")).cast("bigint")
+    number = F.when(~broken, F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint")
     return numbered.withColumn(version, number).select(*df.columns, version)

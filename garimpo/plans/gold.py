@@ -27,15 +27,18 @@ from garimpo.operators.contracts import (
     close,
     compare_groups,
     orphan_rows,
+    presence,
     reconcile_totals,
     require_none,
     result,
     totals,
-    trace,
-    trace_with_held,
+    traced,
+    traced_with_held,
+    unique_in,
 )
 from garimpo.operators.dimensions import (
     calendar_dim,
+    check_span,
     conformed_dim,
     date_bounds,
     mapped_dim,
@@ -159,14 +162,21 @@ def channel_dim(leads: DataFrame) -> DataFrame:
     return value_dim(leads, "FONTE", "SK_CANAL", "canal")
 
 
-def calendar(leads: DataFrame, sales: DataFrame, positions: DataFrame) -> DataFrame:
-    bounds = date_bounds(
+def calendar_bounds(leads: DataFrame, sales: DataFrame, positions: DataFrame) -> DataFrame:
+    return date_bounds(
         [
             (leads, ["DATA_INTERESSE", "DATA_ULTIMO_CONTATO"]),
             (sales, ["DATA_NASCIMENTO", "DATA_ENTREGA"]),
             (positions, ["MES_REFERENCIA"]),
         ]
     )
+
+
+def span_contract(bounds: DataFrame) -> DataFrame:
+    return check_span(bounds, *spec.CALENDAR_SPAN, "dim_calendario: datas fora do intervalo")
+
+
+def calendar(bounds: DataFrame) -> DataFrame:
     return calendar_dim(bounds, spec.MONTHS, spec.WEEKDAYS)
 
 
@@ -257,22 +267,43 @@ def position_fact(positions: DataFrame, t: Tables) -> DataFrame:
     )
 
 
-def fact_contracts(silver: Tables, t: Tables) -> list[DataFrame]:
+def fact_ids(silver: Tables, t: Tables) -> dict[str, DataFrame]:
+    """Per fact how often each record id is in the fact, in what is held back and in the cleaned rows it is made from.
+
+    Written once, these tables answer the uniqueness of the cleaned keys, the facts' contracts and the proofs, so an id goes
+    through one shuffle.
+    """
+    held = t["quarentena_estoque_mensal"]
+    return {
+        "fato_vendas": presence("ID_REGISTRO", fact=t["fato_vendas"], source=silver["erp"]),
+        "fato_oportunidade": presence("ID_REGISTRO", fact=t["fato_oportunidade"], source=silver["crm"]),
+        "fato_estoque_mensal": presence("ID_REGISTRO", fact=t["fato_estoque_mensal"], held=held, source=silver["estoque"]),
+    }
+
+
+def record_keys(ids: Tables) -> DataFrame:
+    """Uniqueness of the cleaned tables' record ids."""
+    sources = {"fato_vendas": "erp", "fato_oportunidade": "crm", "fato_estoque_mensal": "estoque"}
+    return union_all(*[unique_in(ids[fact], "source", f"{name}: ID_REGISTRO duplicado") for fact, name in sources.items()])
+
+
+def fact_contracts(silver: Tables, t: Tables, ids: Tables | None = None) -> list[DataFrame]:
     held = t[HELD_IDS]
+    ids = ids or {}
     return [
         check_fact(
             t["fato_vendas"], silver["erp"], "ID_REGISTRO",
             ["SK_PRODUTO", "SK_VENDEDOR", "SK_PAGAMENTO", "SK_DATA_ENTREGA"],
-            "fato_vendas", held, "SK_CLIENTE", "ID_CLIENTE_ORIGEM", "ID_CLIENTE",
+            "fato_vendas", held, "SK_CLIENTE", "ID_CLIENTE_ORIGEM", "ID_CLIENTE", ids.get("fato_vendas"),
         ),
         check_fact(
             t["fato_oportunidade"], silver["crm"], "ID_REGISTRO",
             ["SK_PRODUTO", "SK_PAGAMENTO", "SK_CANAL", "SK_DATA_INTERESSE", "SK_DATA_ULTIMO_CONTATO"],
-            "fato_oportunidade", held, "SK_CLIENTE", "ID_CLIENTE_ORIGEM", "ID_CLIENTE",
+            "fato_oportunidade", held, "SK_CLIENTE", "ID_CLIENTE_ORIGEM", "ID_CLIENTE", ids.get("fato_oportunidade"),
         ),
         check_position_fact(
             t["fato_estoque_mensal"], t["quarentena_estoque_mensal"], silver["estoque"], "ID_REGISTRO",
-            STOCK_GRAIN, "fato_estoque_mensal",
+            STOCK_GRAIN, "fato_estoque_mensal", ids.get("fato_estoque_mensal"),
         ),
     ]
 
@@ -361,8 +392,8 @@ SALE_TOTALS = {
 }
 
 
-def _trace_result(order: int, test: str, fact: DataFrame, source: DataFrame) -> DataFrame:
-    t = trace(fact, source, "ID_REGISTRO")
+def _trace_result(order: int, test: str, ids: DataFrame) -> DataFrame:
+    t = traced(ids)
     found = F.to_json(F.struct("linhas", "ids", "ausentes", "extras"))
     zero = F.lit(0)
     expected = F.to_json(
@@ -382,10 +413,9 @@ def _trace_result(order: int, test: str, fact: DataFrame, source: DataFrame) ->
     return t.select(*result(order, test, found, expected, passed))
 
 
-def _stock_result(t: Tables, source: DataFrame) -> DataFrame:
-    traced = trace_with_held(t["fato_estoque_mensal"], t["quarentena_estoque_mensal"], source, "ID_REGISTRO")
+def _stock_result(t: Tables, ids: DataFrame) -> DataFrame:
     grains = t["fato_estoque_mensal"].groupBy(*STOCK_GRAIN).agg(F.count(F.lit(1)).alias("_n"))
-    both = beside(t=traced, g=grains.agg(F.count_if(F.col("_n") > 1).alias("n")))
+    both = beside(t=traced_with_held(ids), g=grains.agg(F.count_if(F.col("_n") > 1).alias("n")))
     zero = F.lit(0)
     flat = both.select("t.*", F.col("g.n").alias("graos_duplicados"))
     found = F.to_json(
@@ -493,11 +523,12 @@ def _funnel_result(t: Tables) -> DataFrame:
     return found.select(*result(9, "mart_funil_comercial_vs_fato", calculated, F.to_json(expected), passed))
 
 
-def proofs(silver: Tables, t: Tables) -> DataFrame:
+def proofs(silver: Tables, t: Tables, ids: Tables | None = None) -> DataFrame:
     """Nine reconciliations as rows (ORDEM, TESTE, VALOR_CALCULADO, VALOR_ESPERADO, PASSOU).
 
-    A total that is NULL because a table is empty does not pass.
+    A total that is NULL because a table is empty does not pass. `ids`: what `fact_ids` gives, if it is written already.
     """
+    ids = ids or fact_ids(silver, t)
     margin = F.col("VALOR_FATURAMENTO") - F.col("CUSTO")
     source = totals(silver["erp"], **(SALE_TOTALS | {"margem": margin}))
     fact = totals(t["fato_vendas"], **SALE_TOTALS)
@@ -521,9 +552,9 @@ def proofs(silver: Tables, t: Tables) -> DataFrame:
     pair, triple = ["faturamento", "margem"], ["faturamento", "margem", "registros"]
     return union_all(
         reconcile_totals(1, "financeiro_fato_vs_erp", fact.select(*pair), source.select(*pair)),
-        _trace_result(2, "rastreabilidade_fato_vendas", t["fato_vendas"], silver["erp"]),
-        _trace_result(3, "rastreabilidade_fato_oportunidade", t["fato_oportunidade"], silver["crm"]),
-        _stock_result(t, silver["estoque"]),
+        _trace_result(2, "rastreabilidade_fato_vendas", ids["fato_vendas"]),
+        _trace_result(3, "rastreabilidade_fato_oportunidade", ids["fato_oportunidade"]),
+        _stock_result(t, ids["fato_estoque_mensal"]),
         _integrity_result(t),
         reconcile_totals(6, "mart_vendas_por_vendedor_vs_fato", seller, fact.select(*triple), exact=["registros"]),
         _product_result(t, fact),

@@ -31,7 +31,7 @@ _AMOUNT = "decimal(15,2)"
 def _client_versions(bronze: DataFrame, business: list[str]) -> DataFrame:
     key = F.upper(F.trim("id_cliente")).alias("_chave")
     keyed = consolidate(bronze, business).select("*", key)
-    return number_versions(keyed, ["_chave"], business)
+    return number_versions(keyed, ["_chave"], business, rows=bronze.select(key))
 
 
 def clean_leads(bronze: DataFrame) -> DataFrame:
@@ -99,7 +99,7 @@ def clean_positions(bronze: DataFrame) -> DataFrame:
     """Monthly stock. The name follows from the code; months are parsed before rows compete for a version."""
     key = [parse_month("mes_referencia").alias("_mes"), F.upper(F.trim("cod_produto")).alias("_codigo")]
     keyed = consolidate(bronze, spec.POSITION_COLUMNS).select("*", *key)
-    rows = number_versions(keyed, ["_mes", "_codigo"], spec.POSITION_COLUMNS)
+    rows = number_versions(keyed, ["_mes", "_codigo"], spec.POSITION_COLUMNS, rows=bronze.select(*key))
     return project(
         rows,
         {

@@ -11,15 +11,48 @@ SOURCES = (
 )
 
 # --- Fixed values: business columns, in file order -------------------------------------------------------------------
-LEAD_COLUMNS = (
-    "id_cliente cliente genero idade contato fonte produto_interesse forma_pagamento entrada_pct fez_test_drive "
-    "data_interesse etapa motivo_insucesso temperatura data_ultimo_contato"
-).split()
-SALE_COLUMNS = (
-    "id_cliente nome_cliente data_nascimento vendedor valor_padrao desconto valor_faturamento forma_pagamento banco "
-    "custo produto cor_produto ano modelo data_entrega zero_km_ou_seminovo"
-).split()
-POSITION_COLUMNS = "mes_referencia cod_produto produto estoque_atual campanha_atual".split()
+LEAD_COLUMNS = [
+    "id_cliente",
+    "cliente",
+    "genero",
+    "idade",
+    "contato",
+    "fonte",
+    "produto_interesse",
+    "forma_pagamento",
+    "entrada_pct",
+    "fez_test_drive",
+    "data_interesse",
+    "etapa",
+    "motivo_insucesso",
+    "temperatura",
+    "data_ultimo_contato",
+]
+SALE_COLUMNS = [
+    "id_cliente",
+    "nome_cliente",
+    "data_nascimento",
+    "vendedor",
+    "valor_padrao",
+    "desconto",
+    "valor_faturamento",
+    "forma_pagamento",
+    "banco",
+    "custo",
+    "produto",
+    "cor_produto",
+    "ano",
+    "modelo",
+    "data_entrega",
+    "zero_km_ou_seminovo",
+]
+POSITION_COLUMNS = [
+    "mes_referencia",
+    "cod_produto",
+    "produto",
+    "estoque_atual",
+    "campanha_atual",
+]
 
 # --- Fixed values: domains and the spellings that lead to them -------------------------------------------------------
 PRODUCTS = (
@@ -72,10 +105,32 @@ POSITION_RECORD_PATTERN = "^[0-9]{4}-[0-9]{2}-VW-[A-Z]{3}-[1-9][0-9]*$"
 PHONE_PATTERN = "^([(][0-9]{2}[)] )?[0-9]{4,5}-[0-9]{4}$"
 
 # --- Fixed values: calendar names ------------------------------------------------------------------------------------
-MONTHS = (
-    "Janeiro Fevereiro Março Abril Maio Junho Julho Agosto Setembro Outubro Novembro Dezembro"
-).split()
-WEEKDAYS = "Domingo Segunda-feira Terça-feira Quarta-feira Quinta-feira Sexta-feira Sábado".split()
+MONTHS = [
+    "Janeiro",
+    "Fevereiro",
+    "Março",
+    "Abril",
+    "Maio",
+    "Junho",
+    "Julho",
+    "Agosto",
+    "Setembro",
+    "Outubro",
+    "Novembro",
+    "Dezembro",
+]
+WEEKDAYS = [
+    "Domingo",
+    "Segunda-feira",
+    "Terça-feira",
+    "Quarta-feira",
+    "Quinta-feira",
+    "Sexta-feira",
+    "Sábado",
+]
+
+# Own choice: dates outside it are taken for errors, and the calendar would otherwise span them.
+CALENDAR_SPAN = ("1900-01-01", "2100-12-31")
 
 # --- Fixed values: texts of the quarantine tables and of the quarantine label ----------------------------------------
 IDENTITY_REASON = "Atributos incompatíveis para o mesmo ID_CLIENTE; nenhuma identidade foi escolhida."

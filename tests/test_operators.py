@@ -12,7 +12,9 @@ from garimpo.operators import contracts, dimensions, facts, marts, measures, qua
 from garimpo.plans import spec
 
 
-def test_versions_of_a_hot_key(spark):
+@pytest.mark.parametrize("piece", [50, 100_000])
+def test_versions_of_a_hot_key(spark, monkeypatch, piece):
+    monkeypatch.setattr(versions, "PIECE_ROWS", piece)
     rng = random.Random(7)
     rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(40)}", str(i), rng.choice("abc")) for i in range(4000)]
     rows += [(None, str(i), "z") for i in range(500)]

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from garimpo.operators import contracts, versions
 from garimpo.operators.contracts import ContractBroken
 from garimpo.plans import gold, pipeline, spec
 from garimpo.sources import control, raw, tables
@@ -42,7 +43,7 @@ def loaded(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("raw")
     # One sale shares its client with two leads and another name, so that client is held.
     sales = [*SALES, sale(id_cliente="CLI500001", nome_cliente="Outra Pessoa")]
-    return pipeline.run(spark, write(root, sales=sales), str(tmp_path_factory.mktemp("lake")), prefix="t_")
+    return pipeline.run(spark, write(root, sales=sales), str(tmp_path_factory.mktemp("lake")), "t", prefix="t_")
 
 
 def test_all_tables_are_there_and_named(spark, loaded):
@@ -114,8 +115,14 @@ def test_manifest_counts_lines_but_the_header(spark, tmp_path):
 def test_unreadable_values_stop_before_anything_is_exposed(spark, tmp_path):
     bad = [LEADS[0][:3] + ["abc"] + LEADS[0][4:]]
     with pytest.raises(ContractBroken, match="IDADE"):
-        pipeline.run(spark, write(tmp_path / "raw", leads=bad), str(tmp_path / "lake"), prefix="bad_")
+        pipeline.run(spark, write(tmp_path / "raw", leads=bad), str(tmp_path / "lake"), "bad", prefix="bad_")
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("bad_")]
+    assert tables.current_schema(spark, "bad") is None
+    # The refused row and its reason are in the failed load's own schema, until that is dropped.
+    (failed,) = [d.name for d in spark.catalog.listDatabases("bad_*")]
+    refused = spark.table(f"{failed}.recusadas_crm").collect()
+    assert len(refused) == 1 and "IDADE" in refused[0]["_problema"] and spark.table(f"{failed}.silver_crm").count() == 0
+    assert tables.retire(spark, "bad") == [failed]
 
 
 def test_reserved_and_typed_columns_are_refused(spark):
@@ -132,7 +139,8 @@ def test_control_must_hold_each_source_once(spark):
     df = spark.createDataFrame(rows, "sistema string, arquivo string, linhas bigint")
     with pytest.raises(control.ControlInvalid) as e:
         control.require_counts(control.expected_counts(df, spec.SOURCES))
-    assert "registro ausente para sistema=estoque" in str(e.value) and "registros duplicados para sistema=erp" in str(e.value)
+    told = str(e.value)
+    assert f"o controle nao traz estoque/{spec.SOURCES[2].file}" in told and f"o controle traz erp/{spec.SOURCES[1].file} 2 vezes" in told
 
 
 def test_counts_are_compared_for_all_tables_before_failing(spark):
@@ -140,17 +148,102 @@ def test_counts_are_compared_for_all_tables_before_failing(spark):
     expected = spark.createDataFrame([("crm", 9), ("erp", 4)], "tabela string, linhas_esperadas bigint")
     reconciled = control.reconcile_counts(actual, expected)
     assert {r["tabela"]: r["status"] for r in reconciled.collect()} == {"crm": "OK", "erp": "DIVERGENTE"}
-    with pytest.raises(control.CountsDiffer, match="erp: tabela=3, esperado=4"):
+    with pytest.raises(control.CountsDiffer, match="erp tem 3 linhas e o controle diz 4"):
         control.require_equal(reconciled)
 
 
-def test_sinks_replace_rows_schema_and_comments(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_a_failure_between_two_tables_leaves_the_last_load_readable(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "lake")
+    first = pipeline.run(spark, write(tmp_path / "raw"), folder, "lasting")
+    before = {n: sorted(map(repr, df.collect())) for n, df in first.items()}
+    schema = tables.current_schema(spark, "lasting")
+
+    def broken(fact):
+        raise RuntimeError("planted")
+
+    more = [*SALES, sale(id_cliente="CLI500077")]
+    with monkeypatch.context() as planted:
+        planted.setattr(gold, "finance_mart", broken)
+        with pytest.raises(RuntimeError, match="planted"):
+            pipeline.run(spark, write(tmp_path / "more", sales=more), folder, "lasting")
+    assert tables.current_schema(spark, "lasting") == schema
+    assert {n: sorted(map(repr, df.collect())) for n, df in tables.current(spark, "lasting").items()} == before
+
+    second = pipeline.run(spark, write(tmp_path / "again", sales=more), folder, "lasting")
+    assert second["fato_vendas"].count() == first["fato_vendas"].count() + 1
+    # Who opened the first load goes on reading it until it is retired; the current one stays.
+    tables.use_current(spark, "lasting")
+    try:
+        assert spark.sql("SELECT * FROM fato_vendas").count() == second["fato_vendas"].count()
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+    gone = tables.retire(spark, "lasting")
+    assert schema in gone and len(gone) == 2 and not os.path.exists(os.path.join(folder, schema))
+    assert tables.current(spark, "lasting")["fato_vendas"].count() == second["fato_vendas"].count()
+
+
+def test_counts_come_from_the_writes(spark, tmp_path, monkeypatch):
+    """Row contracts, lineage and the summary agree with separate passes over the written tables."""
+    loads = []
+    plain_load = pipeline.load_silver
+
+    def spy(release, bronze):
+        loads.append((release, bronze))
+        return plain_load(release, bronze)
+
+    monkeypatch.setattr(pipeline, "load_silver", spy)
+    t = pipeline.run(spark, write(tmp_path / "raw"), str(tmp_path / "lake"), "counts")
+    (release, bronze) = loads[0]
+    assert {n: w.counts["linhas"] for n, w in bronze.items()} == {"crm": len(LEADS), "erp": len(SALES), "estoque": 4}
+    for name, (_, contract_list) in pipeline.CLEANERS.items():
+        df = t[f"silver_{name}"]
+        counts = df.agg(*[c.alias(n) for n, c in contracts.row_counts(contract_list()).items()]).first().asDict()
+        assert sorted(contracts.checked_rows(spark, counts, contract_list()).collect()) == sorted(contracts.check_rows(df, contract_list()).collect())
+    summary = versions.load_summary("erp", t["silver_erp"]).first()
+    assert summary in t["resumo_silver"].collect()
+
+
+def test_counts_of_an_empty_write(spark, tmp_path):
+    empty = spark.createDataFrame([], "a int").where("a > 1")
+    written = tables.publish(empty, str(tmp_path / "e"), {"n": F.count(F.lit(1)), "s": F.sum("a")})
+    assert written.counts == {"n": 0, "s": None} and written.table.count() == 0
+
+
+def test_an_outlying_date_stops_the_load_with_its_reason(spark, tmp_path):
+    far = [lead(id_cliente="CLI500001", data_interesse="31/12/9999")]
+    with pytest.raises(ContractBroken, match="dim_calendario: datas fora do intervalo.*9999-12-31"):
+        pipeline.run(spark, write(tmp_path / "raw", leads=far), str(tmp_path / "lake"), "far")
+    assert tables.current_schema(spark, "far") is None
+
+
+def test_part_files_of_a_source_are_one_source(spark, tmp_path):
+    root = write(tmp_path)
+    path = spec.SOURCES[0].path(root)
+    with open(path, encoding="utf-8") as f:
+        header, *lines = f.readlines()
+    os.rename(path, path + ".whole")
+    os.makedirs(path)
+    for i, line in enumerate(lines):
+        with open(f"{path}/part-{i}.csv", "w", encoding="utf-8") as f:
+            f.writelines([header, line])
+    got = {r["sistema"]: r for r in raw.inspect(spark, root, spec.SOURCES).collect()}
+    assert got["crm"]["linhas"] == len(LEADS) and got["crm"]["erro"] is None
+    assert raw.inspect(spark, str(tmp_path / "nowhere"), spec.SOURCES).where("erro LIKE 'nao encontrado%'").count() == 3
+
+
+def test_tables_are_replaced_with_rows_schema_and_comments(spark, tmp_path):
+    folder = str(tmp_path)
+    path = f"{folder}/t"
     tables.publish(spark.createDataFrame([(1,)], "a int"), path)
-    again = tables.describe(spark.createDataFrame([("x", 2)], "b string, c int"), {"b": "a label"})
-    assert tables.publish(again, path).columns == ["b", "c"]
-    scanned = tables.scan(spark, path)
-    assert scanned.count() == 1 and scanned.schema["b"].metadata["comment"] == "a label"
-    tables.publish_table(again, "published_t", "it's a table")
-    assert tables.publish_table(again.drop("c"), "published_t").columns == ["b"]
-    spark.sql("DROP TABLE published_t")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.publish(spark.createDataFrame([(2,)], "a int"), path)
+    old = tables.replace_table(spark.createDataFrame([(1,)], "a int"), "published_t", folder, "it's a table")
+    assert [tuple(r) for r in old.collect()] == [(1,)]
+    again = tables.replace_table(
+        spark.createDataFrame([("x", 2)], "b string, c int"), "published_t", folder, "another", {"b": "a label"}
+    )
+    assert again.columns == ["b", "c"] and again.schema["b"].metadata["comment"] == "a label"
+    assert [tuple(r) for r in spark.table("published_t").collect()] == [("x", 2)] and old.columns == ["a"]
+    told = {r["col_name"]: r for r in spark.sql("DESCRIBE TABLE EXTENDED published_t").collect()}
+    assert told["b"]["comment"] == "a label" and told["Comment"]["data_type"] == "another"
+    spark.sql("DROP VIEW published_t")

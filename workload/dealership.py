@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from garimpo.functions import stage_rank
-from garimpo.operators.contracts import check_lineage, check_rows, check_unique
+from garimpo.functions import PROBLEM, min_rank, stage_rank
+from garimpo.operators.contracts import check_lineage, check_rows, check_unique, report
 from garimpo.operators.dimensions import union_all
 from garimpo.operators.measures import all_choices, measure, series_long
 from garimpo.operators.quarantine import held_summary
 from garimpo.operators.versions import SOURCE_ROWS, load_summary
 from garimpo.plans import gold, pipeline, silver, spec
 from garimpo.session import shared_dir
+from garimpo.sources.tables import Release
 from workload import raw
 from workload.base import Query, plain
 from workload.lake import Lake, raw_files
@@ -31,8 +30,8 @@ def _versions(name: str, sql: str, business: list[str], key: str, truth: list[st
     columns = ", ".join(business)
     json = "{" + ", ".join(f"'{c}': {c}" for c in business) + "}"
     return f"""
-{name}_raw AS ({raw.plain_sql(sql)}),
-{name}_once AS (
+{name}_raw AS MATERIALIZED ({raw.plain_sql(sql)}),
+{name}_once AS MATERIALIZED (
   SELECT {columns}, count(*) AS n, {', '.join(f'any_value({t}) AS {t}' for t in truth)}
   FROM {name}_raw GROUP BY {columns}),
 {name}_numbered AS (
@@ -40,68 +39,72 @@ def _versions(name: str, sql: str, business: list[str], key: str, truth: list[st
   FROM {name}_once)"""
 
 
-SALES_CTE = (
-    _versions(
+def _sales_cte(sql: str) -> str:
+    return _versions(
         "s",
-        raw.SALES,
+        sql,
         spec.SALE_COLUMNS,
         "t_id_cliente",
         "t_id_cliente t_nome t_nascimento t_vendedor price off billed cost t_pagamento t_banco t_produto t_cor t_ano "
-        "t_modelo t_entrega t_condicao split".split(),
-    )
-    + """,
-sales AS (
+        "t_modelo t_entrega t_condicao split t_problema".split(),
+    ) + """,
+sales AS MATERIALIZED (
   SELECT t_id_cliente || '-' || v AS ID_REGISTRO, t_id_cliente AS ID_CLIENTE, t_nome AS NOME_CLIENTE,
          t_nascimento AS DATA_NASCIMENTO, t_vendedor AS VENDEDOR,
          cast(price AS decimal(18,0)) AS price, cast(off AS decimal(18,0)) AS off,
          cast(billed AS decimal(18,0)) AS billed, cast(cost AS decimal(18,0)) AS cost,
          t_pagamento AS FORMA_PAGAMENTO, t_banco AS BANCO, t_produto AS PRODUTO, t_cor AS COR_PRODUTO,
          cast(t_ano AS bigint) AS ANO, t_modelo AS MODELO, t_entrega AS DATA_ENTREGA,
-         t_condicao AS ZERO_KM_OU_SEMINOVO, n AS _linhas_origem
+         t_condicao AS ZERO_KM_OU_SEMINOVO, n AS _linhas_origem, t_problema AS _problema
   FROM s_numbered)"""
-)
-LEADS_CTE = (
-    _versions(
+
+
+def _leads_cte(sql: str) -> str:
+    return _versions(
         "l",
-        raw.LEADS,
+        sql,
         spec.LEAD_COLUMNS,
         "t_id_cliente",
         "t_id_cliente t_nome t_genero t_idade t_contato t_fonte t_produto t_pagamento t_entrada t_drive t_data t_etapa "
-        "t_motivo t_temperatura".split(),
-    )
-    + """,
-leads AS (
+        "t_motivo t_temperatura t_problema".split(),
+    ) + """,
+leads AS MATERIALIZED (
   SELECT t_id_cliente || '-' || v AS ID_REGISTRO, t_id_cliente AS ID_CLIENTE, t_nome AS CLIENTE, t_genero AS GENERO,
          cast(t_idade AS bigint) AS IDADE, t_contato AS CONTATO, t_fonte AS FONTE, t_produto AS PRODUTO_INTERESSE,
          t_pagamento AS FORMA_PAGAMENTO, t_entrada / 100.0 AS ENTRADA_PCT, t_drive AS FEZ_TEST_DRIVE,
          t_data AS DATA_INTERESSE, t_etapa AS ETAPA, t_motivo AS MOTIVO_INSUCESSO, t_temperatura AS TEMPERATURA,
-         t_data AS DATA_ULTIMO_CONTATO, n AS _linhas_origem
+         t_data AS DATA_ULTIMO_CONTATO, n AS _linhas_origem, t_problema AS _problema
   FROM l_numbered)"""
-)
-POSITIONS_CTE = (
-    _versions(
-        "p", raw.POSITIONS, spec.POSITION_COLUMNS, "t_mes, t_codigo", "t_mes t_codigo t_produto t_estoque t_campanha".split()
-    )
-    + """,
-positions AS (
+
+
+def _positions_cte(sql: str) -> str:
+    truth = "t_mes t_codigo t_produto t_estoque t_campanha t_problema".split()
+    return _versions("p", sql, spec.POSITION_COLUMNS, "t_mes, t_codigo", truth) + """,
+positions AS MATERIALIZED (
   SELECT substr(t_mes, 1, 7) || '-' || t_codigo || '-' || v AS ID_REGISTRO, t_mes AS MES_REFERENCIA,
          t_codigo AS COD_PRODUTO, t_produto AS PRODUTO, cast(t_estoque AS bigint) AS ESTOQUE_ATUAL,
-         t_campanha AS CAMPANHA_ATUAL, n AS _linhas_origem
+         t_campanha AS CAMPANHA_ATUAL, n AS _linhas_origem, t_problema AS _problema
   FROM p_numbered)"""
-)
+
+
+SALES_CTE, LEADS_CTE, POSITIONS_CTE = _sales_cte(raw.SALES), _leads_cte(raw.LEADS), _positions_cte(raw.POSITIONS)
+# The same over the files that also hold rows the cleaning refuses.
+BAD_SALES_CTE = _sales_cte(raw.SALES_REFUSED)
+BAD_LEADS_CTE = _leads_cte(raw.LEADS_REFUSED)
+BAD_POSITIONS_CTE = _positions_cte(raw.POSITIONS_REFUSED)
 ATTRIBUTES_CTE = """
-attributes AS (
+attributes AS MATERIALIZED (
   SELECT ID_CLIENTE, CLIENTE AS NOME, GENERO, CONTATO, NULL AS DATA_NASCIMENTO FROM leads
   UNION ALL
   SELECT ID_CLIENTE, NOME_CLIENTE, NULL, NULL, DATA_NASCIMENTO FROM sales),
-held AS (
+held AS MATERIALIZED (
   SELECT ID_CLIENTE FROM attributes GROUP BY ID_CLIENTE
   HAVING count(DISTINCT NOME) > 1 OR count(DISTINCT DATA_NASCIMENTO) > 1
       OR count(DISTINCT GENERO) > 1 OR count(DISTINCT CONTATO) > 1),
-clients AS (
+clients AS MATERIALIZED (
   SELECT ID_CLIENTE, max(NOME) AS NOME, max(DATA_NASCIMENTO) AS DATA_NASCIMENTO, max(GENERO) AS GENERO,
          max(CONTATO) AS CONTATO
-  FROM attributes WHERE ID_CLIENTE NOT IN (SELECT ID_CLIENTE FROM held) GROUP BY ID_CLIENTE)"""
+  FROM attributes ANTI JOIN held USING (ID_CLIENTE) GROUP BY ID_CLIENTE)"""
 STOCK_CTE = """
 held_grains AS (
   SELECT COD_PRODUTO, MES_REFERENCIA FROM positions GROUP BY ALL HAVING count(*) > 1),
@@ -127,30 +130,70 @@ PRODUCTS_CTE = f"\nproducts AS (SELECT * FROM ({_pairs_sql()}) AS p(COD_PRODUTO,
 # --- silver ----------------------------------------------------------------------------------------------------------
 
 
+def _told(df: DataFrame) -> DataFrame:
+    """Refused rows with their record, their source rows and the reason; what else they hold is no value."""
+    kept = ("ID_REGISTRO", SOURCE_ROWS, PROBLEM)
+    accepted = F.col(PROBLEM).isNull()
+    return df.select(*[F.col(c) if c in kept else F.when(accepted, F.col(c)).alias(c) for c in df.columns if c != silver.PROCESSED_AT])
+
+
+def _told_sql(values: dict[str, str], table: str) -> str:
+    shown = ", ".join(f"CASE WHEN {PROBLEM} IS NULL THEN {v} END AS {n}" for n, v in values.items())
+    return f"SELECT ID_REGISTRO, {shown}, {SOURCE_ROWS}, {PROBLEM} FROM {table}"
+
+
 def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(silver.clean_sales(Lake(spark, sf_dir)["bronze_erp"]).drop(silver.PROCESSED_AT))
+    return plain(_told(silver.clean_sales(Lake(spark, sf_dir)["defeitos_erp"])))
 
 
 def silver_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(silver.clean_leads(Lake(spark, sf_dir)["bronze_crm"]).drop(silver.PROCESSED_AT))
+    return plain(_told(silver.clean_leads(Lake(spark, sf_dir)["defeitos_crm"])))
 
 
 def silver_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(silver.clean_positions(Lake(spark, sf_dir)["bronze_estoque"]).drop(silver.PROCESSED_AT))
-
-
-SILVER_SALES = _with(SALES_CTE) + f"""
-SELECT ID_REGISTRO, ID_CLIENTE, NOME_CLIENTE, DATA_NASCIMENTO, VENDEDOR, {_money('price')} AS VALOR_PADRAO,
-       {_money('off')} AS DESCONTO, {_money('billed')} AS VALOR_FATURAMENTO, FORMA_PAGAMENTO, BANCO,
-       {_money('cost')} AS CUSTO, PRODUTO, COR_PRODUTO, ANO, MODELO, cast(DATA_ENTREGA AS varchar) AS DATA_ENTREGA,
-       ZERO_KM_OU_SEMINOVO, _linhas_origem, cast(NULL AS varchar) AS _problema
-FROM sales"""
-SILVER_LEADS = _with(LEADS_CTE) + """
-SELECT * REPLACE (cast(DATA_INTERESSE AS varchar) AS DATA_INTERESSE, cast(ENTRADA_PCT AS double) AS ENTRADA_PCT,
-                  cast(DATA_ULTIMO_CONTATO AS varchar) AS DATA_ULTIMO_CONTATO),
-       cast(NULL AS varchar) AS _problema
-FROM leads"""
-SILVER_POSITIONS = _with(POSITIONS_CTE) + "SELECT *, cast(NULL AS varchar) AS _problema FROM positions"
+    return plain(_told(silver.clean_positions(Lake(spark, sf_dir)["defeitos_estoque"])))
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+SILVER_SALES = _with(BAD_SALES_CTE) + _told_sql(
+    _same("ID_CLIENTE", "NOME_CLIENTE", "DATA_NASCIMENTO", "VENDEDOR", "FORMA_PAGAMENTO", "BANCO", "PRODUTO", "COR_PRODUTO", "ANO", "MODELO")
+    | {"VALOR_PADRAO": _money("price"), "DESCONTO": _money("off"), "VALOR_FATURAMENTO": _money("billed"), "CUSTO": _money("cost")}
+    | {"DATA_ENTREGA": "cast(DATA_ENTREGA AS varchar)"}
+    | _same("ZERO_KM_OU_SEMINOVO"),
+    "sales",
+)
+SILVER_LEADS = _with(BAD_LEADS_CTE) + _told_sql(
+    _same("ID_CLIENTE", "CLIENTE", "GENERO", "IDADE", "CONTATO", "FONTE", "PRODUTO_INTERESSE", "FORMA_PAGAMENTO", "FEZ_TEST_DRIVE")
+    | {"ENTRADA_PCT": "cast(ENTRADA_PCT AS double)"}
+    | {n: f"cast({n} AS varchar)" for n in ("DATA_INTERESSE", "DATA_ULTIMO_CONTATO")}
+    | _same("ETAPA", "MOTIVO_INSUCESSO", "TEMPERATURA"),
+    "leads",
+)
+SILVER_POSITIONS = _with(BAD_POSITIONS_CTE) + _told_sql(
+    _same("MES_REFERENCIA", "COD_PRODUTO", "PRODUTO", "ESTOQUE_ATUAL", "CAMPANHA_ATUAL"), "positions"
+)
+
+
+def silver_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cleaned table written once, accepted rows apart from refused ones: rows and source rows of both, by reason."""
+    release = Release(spark, "partes", shared_dir(spark))
+    lake, out = Lake(spark, sf_dir), []
+    for name, (clean, _) in pipeline.CLEANERS.items():
+        accepted = pipeline.write_silver(release, name, clean(lake[f"defeitos_{name}"])).table
+        refused = spark.table(f"{release.schema}.recusadas_{name}")
+        both = union_all(accepted.select(SOURCE_ROWS), refused.select(SOURCE_ROWS, F.col(PROBLEM).alias("motivo")))
+        counted = both.groupBy("motivo").agg(F.count(F.lit(1)).alias("linhas"), F.sum(SOURCE_ROWS).alias("origem"))
+        out.append(counted.select(F.lit(name).alias("tabela"), "motivo", "linhas", "origem"))
+    return union_all(*out)
+
+
+SILVER_PARTS = _with(BAD_SALES_CTE, BAD_LEADS_CTE, BAD_POSITIONS_CTE) + "\nUNION ALL ".join(
+    f"SELECT '{n}' AS tabela, {PROBLEM} AS motivo, count(*) AS linhas, cast(sum({SOURCE_ROWS}) AS bigint) AS origem FROM {t} GROUP BY 2"
+    for n, t in (("crm", "leads"), ("erp", "sales"), ("estoque", "positions"))
+)
 
 
 def silver_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +274,7 @@ def stock_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STOCK_QUARANTINE = _with(POSITIONS_CTE, STOCK_CTE) + f"""
-SELECT * EXCLUDE (_linhas_origem), '{spec.GRAIN_REASON}' AS MOTIVO_QUARENTENA FROM held_stock"""
+SELECT * EXCLUDE (_linhas_origem, _problema), '{spec.GRAIN_REASON}' AS MOTIVO_QUARENTENA FROM held_stock"""
 
 
 def quarantine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,8 +532,7 @@ def _proofs_sql() -> str:
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole load from raw CSV files, through every contract, to the nine proofs it publishes."""
-    out = f"{shared_dir(spark)}/load-{uuid.uuid4().hex}"
-    return plain(pipeline.run(spark, raw_files(spark, sf_dir), out, prefix="dealership_")["_gold_testes"])
+    return plain(pipeline.run(spark, raw_files(spark, sf_dir), shared_dir(spark), "concessionaria")["_gold_testes"])
 
 
 def product_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -620,6 +662,50 @@ SELECT ETAPA AS etapa, count(DISTINCT ID_CLIENTE) AS "{gold.CLIENTS}", cast({_RA
 FROM leads GROUP BY ETAPA"""
 
 
+def dashboard_trend_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months' places in the order of the trend."""
+    data, month = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False), "mes_entrega"
+    return plain(measure(data, [month], [gold.REVENUE], gold.sales_measures(), order=[(F.col(month), False)], position="lugar"))
+
+
+DASHBOARD_TREND_ORDER = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + _SALES_DATASET + f"""
+SELECT strftime(mes_entrega, '%Y-%m-%d 00:00:00') AS mes_entrega, {_money('sum(billed)')} AS "{gold.REVENUE}",
+       row_number() OVER (ORDER BY mes_entrega) AS lugar
+FROM dataset GROUP BY mes_entrega"""
+
+
+def dashboard_sellers_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sellers' places, largest revenue first."""
+    data, revenue = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False), gold.sales_measures()[gold.REVENUE]
+    return plain(measure(data, ["vendedor"], [gold.REVENUE], gold.sales_measures(), order=[(revenue, True)], position="lugar"))
+
+
+DASHBOARD_SELLERS_ORDER = _with(SALES_CTE, LEADS_CTE, ATTRIBUTES_CTE) + _SALES_DATASET + f"""
+SELECT vendedor, {_money('sum(billed)')} AS "{gold.REVENUE}", row_number() OVER (ORDER BY sum(billed) DESC, vendedor) AS lugar
+FROM dataset GROUP BY 1"""
+
+
+def dashboard_stages_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages' places by an aggregate that is not shown."""
+    data = gold.leads_dataset(Lake(spark, sf_dir, *LEADS_STAR))
+    order = [(min_rank("etapa_ordem"), False)]
+    return plain(measure(data, ["etapa"], [gold.CLIENTS], gold.leads_measures(), order=order, position="lugar"))
+
+
+DASHBOARD_STAGES_ORDER = _with(LEADS_CTE) + f"""
+SELECT ETAPA AS etapa, count(DISTINCT ID_CLIENTE) AS "{gold.CLIENTS}", row_number() OVER (ORDER BY min({_RANK}), ETAPA) AS lugar
+FROM leads GROUP BY ETAPA"""
+
+
+def proofs_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine proofs with their place in the report."""
+    t = Lake(spark, sf_dir, *FACTS, *MARTS, *gold.DIM_KEYS)
+    return plain(report(gold.proofs(t, t), "lugar"))
+
+
+PROOFS_REPORT = f"SELECT * EXCLUDE (ORDEM), ORDEM AS lugar FROM ({_proofs_sql()})"
+
+
 def dashboard_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The years, products and sellers the filters offer."""
     data = gold.sales_dataset(Lake(spark, sf_dir, *SALES_STAR), clients=False)
@@ -634,6 +720,7 @@ QUERIES = [
     Query("silver_sales", silver_sales, SILVER_SALES),
     Query("silver_leads", silver_leads, SILVER_LEADS),
     Query("silver_positions", silver_positions, SILVER_POSITIONS),
+    Query("silver_parts", silver_parts, SILVER_PARTS),
     Query("silver_contracts", silver_contracts, _contracts_sql()),
     Query("silver_summary", silver_summary, SILVER_SUMMARY),
     Query("identity_quarantine", identity_quarantine, IDENTITY_QUARANTINE),
@@ -661,5 +748,9 @@ QUERIES = [
     Query("dashboard_sellers", dashboard_sellers, DASHBOARD_SELLERS),
     Query("dashboard_channels", dashboard_channels, DASHBOARD_CHANNELS),
     Query("dashboard_stages", dashboard_stages, DASHBOARD_STAGES),
+    Query("dashboard_trend_order", dashboard_trend_order, DASHBOARD_TREND_ORDER),
+    Query("dashboard_sellers_order", dashboard_sellers_order, DASHBOARD_SELLERS_ORDER),
+    Query("dashboard_stages_order", dashboard_stages_order, DASHBOARD_STAGES_ORDER),
+    Query("proofs_report", proofs_report, PROOFS_REPORT),
     Query("dashboard_choices", dashboard_choices, DASHBOARD_CHOICES),
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.functions import (
+    PROBLEM,
     blank_to_null,
     canonical,
     code_name,
@@ -31,6 +32,7 @@ from garimpo.functions import (
     tri_bool,
 )
 from garimpo.operators.contracts import (
+    ROWS,
     Contract,
     HeldReference,
     Reference,
@@ -39,12 +41,16 @@ from garimpo.operators.contracts import (
     check_lineage,
     check_rows,
     check_unique,
+    checked_lineage,
+    checked_rows,
     compare_groups,
     duplicates,
-    orphans,
+    failure_message,
+    orphan_marks,
     overlap,
     preview,
     reconcile_totals,
+    row_counts,
     totals,
     trace,
     trace_with_held,
@@ -63,15 +69,16 @@ from garimpo.operators.dimensions import (
 from garimpo.operators.facts import lookup, lookup_unless_held
 from garimpo.operators.marts import abc_curve, funnel, monthly_rollup, outer_position_join
 from garimpo.operators.measures import Measure, catalogue, measure, series_long
+from garimpo.operators.positions import with_position
 from garimpo.operators.quarantine import attribute_conflicts, evidence, evidence_arrays, exclude, grain_conflicts
 from garimpo.operators.running import running_total
 from garimpo.operators.shift import SPLIT, detect_shift, realign
 from garimpo.operators.versions import consolidate, load_summary, number_versions
 from garimpo.plans import spec
-from garimpo.session import shared_dir
+from garimpo.session import scratch, shared_dir
 from garimpo.sources.control import expected_counts, reconcile_counts, table_counts
 from garimpo.sources.raw import SourceSpec, inspect, land
-from garimpo.sources.tables import publish
+from garimpo.sources.tables import Release, current, publish, retire
 from workload import raw
 from workload.base import Query, plain
 from workload.lake import Lake, raw_files
@@ -256,33 +263,39 @@ FROM (SELECT *, regexp_replace(trim(phone), '[^0-9]', '', 'g') AS d FROM ({raw.p
 
 
 def repair_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every raw sale with its moved columns put back, before any typing."""
-    rows = Lake(spark, sf_dir)["bronze_erp"]
+    """Every raw sale with its moved columns put back, before any typing; those whose split cannot be placed with the reason alone."""
+    rows = Lake(spark, sf_dir)["defeitos_erp"]
     found = detect_shift(spec.SALE_SHIFT)
-    fixed = realign(rows.withColumns({SPLIT: found.value, "_problema": found.problem}), spec.SALE_SHIFT)
-    amounts = [lenient_cast(a, "decimal(15,2)").alias(a) for a in spec.SALE_SHIFT.amounts]
-    return plain(
-        fixed.select(
-            F.upper(F.trim("id_cliente")).alias("id_cliente"),
-            F.col(SPLIT),
-            "_problema",
-            *amounts,
-            F.trim("ano").alias("ano"),
-            "modelo",
-            parse_date("data_entrega").alias("data_entrega"),
-            canonical("cor_produto", spec.labels(spec.COLOURS, spec.COLOUR_SPELLINGS)).alias("cor_produto"),
-            canonical("zero_km_ou_seminovo", spec.labels(spec.CONDITIONS)).alias("zero_km_ou_seminovo"),
-        )
-    )
-
-
+    fixed = realign(rows.withColumns({SPLIT: found.value, PROBLEM: found.problem}), spec.SALE_SHIFT)
+    values = {
+        **{a: lenient_cast(a, "decimal(15,2)") for a in spec.SALE_SHIFT.amounts},
+        "ano": F.trim("ano"),
+        "modelo": F.col("modelo"),
+        "data_entrega": parse_date("data_entrega"),
+        "cor_produto": canonical("cor_produto", spec.labels(spec.COLOURS, spec.COLOUR_SPELLINGS)),
+        "zero_km_ou_seminovo": canonical("zero_km_ou_seminovo", spec.labels(spec.CONDITIONS)),
+    }
+    placed = F.col(PROBLEM).isNull()
+    shown = [F.when(placed, v).alias(n) for n, v in values.items()]
+    return plain(fixed.select(F.upper(F.trim("id_cliente")).alias("id_cliente"), SPLIT, PROBLEM, *shown))
+
+
+_REPAIRED = {
+    SPLIT: "cast(split AS bigint)",
+    "valor_padrao": "cast(price AS double) / 100",
+    "desconto": "cast(off AS double) / 100",
+    "valor_faturamento": "cast(billed AS double) / 100",
+    "custo": "cast(cost AS double) / 100",
+    "ano": "cast(t_ano AS varchar)",
+    "modelo": "lower(t_modelo)",
+    "data_entrega": "cast(t_entrega AS varchar)",
+    "cor_produto": "t_cor",
+    "zero_km_ou_seminovo": "t_condicao",
+}
 REPAIR_SHIFTED = f"""
-SELECT t_id_cliente AS id_cliente, cast(split AS bigint) AS {SPLIT}, cast(NULL AS varchar) AS _problema,
-       cast(price AS double) / 100 AS valor_padrao, cast(off AS double) / 100 AS desconto,
-       cast(billed AS double) / 100 AS valor_faturamento, cast(cost AS double) / 100 AS custo,
-       cast(t_ano AS varchar) AS ano, lower(t_modelo) AS modelo, cast(t_entrega AS varchar) AS data_entrega,
-       t_cor AS cor_produto, t_condicao AS zero_km_ou_seminovo
-FROM ({raw.plain_sql(raw.SALES)})"""
+SELECT t_id_cliente AS id_cliente, t_problema AS {PROBLEM},
+       {', '.join(f'CASE WHEN t_problema IS NULL THEN {v} END AS {n}' for n, v in _REPAIRED.items())}
+FROM ({raw.plain_sql(raw.SALES_REFUSED)})"""
 
 # --- quarantine and dimensions ---------------------------------------------------------------------------------------
 
@@ -827,12 +840,12 @@ def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = orders.withColumn("key", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")))
     customers = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sk"))
     statuses = value_dim(load(spark, sf_dir, "lineitem"), "l_linestatus", "k", "status")
-    found = orphans(
+    found = orphan_marks(
         fact,
         [Reference("o_orderstatus", statuses, "l_linestatus")],
         HeldReference("key", customers, "sk", "o_custkey", held, "party"),
     )
-    return found.groupBy("o_orderstatus").agg(F.sum("linhas").alias("linhas"))
+    return found.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("linhas"))
 
 
 ORPHANS = _PARTIES + """
@@ -910,9 +923,9 @@ def raw_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_RECONCILE = """
 SELECT 'orders' AS tabela, count(*) AS linhas_tabela, count(*) AS linhas_esperadas, 'OK' AS status, NULL AS erro FROM orders
 UNION ALL SELECT 'lineitem', count(*), count(*) + 1, 'DIVERGENTE', NULL FROM lineitem
-UNION ALL SELECT 'customer', count(*), NULL, 'DIVERGENTE', 'registros duplicados para sistema=sf, arquivo=customer.parquet'
+UNION ALL SELECT 'customer', count(*), NULL, 'DIVERGENTE', 'o controle traz sf/customer.parquet 2 vezes'
 FROM customer
-UNION ALL SELECT 'region', count(*), NULL, 'DIVERGENTE', 'registro ausente para sistema=sf, arquivo=region.parquet' FROM region"""
+UNION ALL SELECT 'region', count(*), NULL, 'DIVERGENTE', 'o controle nao traz sf/region.parquet' FROM region"""
 
 # --- measures --------------------------------------------------------------------------------------------------------
 
@@ -992,6 +1005,94 @@ def top_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOP_SELLERS = """
 SELECT l_suppkey, count(*) AS records FROM lineitem GROUP BY 1 ORDER BY records DESC, l_suppkey LIMIT 10"""
 
+def order_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's place by price, dearest first."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", _money("o_totalprice").alias("price"))
+    return plain(with_position(orders, [(F.col("price"), True), (F.col("o_orderkey"), False)], "place"))
+
+
+ORDER_POSITIONS = """
+SELECT o_orderkey, o_orderstatus, cast(cents AS double) / 100 AS price,
+       row_number() OVER (ORDER BY cents DESC, o_orderkey) AS place
+FROM (SELECT *, cast(round(o_totalprice * 100) AS bigint) AS cents FROM orders)"""
+
+
+def offenders_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many brands are outside the mapping, and the first of them in one line."""
+    offenders = mapped_dimension_check(spark, sf_dir)
+    return failure_message(offenders, F.concat_ws("/", "system", F.coalesce("code", F.lit("-")), "name"), 5)
+
+
+OFFENDERS_MESSAGE = f"""
+WITH offenders AS ({MAPPED}),
+texts AS (SELECT system || '/' || coalesce(code, '-') || '/' || name AS t FROM offenders)
+SELECT (SELECT count(*) FROM texts) AS total, (SELECT string_agg(t, '; ' ORDER BY t) FROM (SELECT t FROM texts ORDER BY t LIMIT 5)) AS mensagem"""
+
+
+def release_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers find while orders are replaced by a table of other columns: before, while the new load is written and only
+    some of its tables are there, and after it became the current one."""
+    orders, name = load(spark, sf_dir, "orders"), f"pedidos_{uuid.uuid4().hex}"
+
+    def seen(moment: str) -> DataFrame:
+        table = current(spark, name)["pedidos"]
+        price = "preco" if "preco" in table.columns else "centavos"
+        row = table.agg(F.count(F.lit(1)).alias("linhas"), F.sum(price).cast("double").alias("soma")).first()
+        told = [(moment, ",".join(table.columns), len(current(spark, name)), row["linhas"], row["soma"])]
+        return spark.createDataFrame(told, "momento string, colunas string, tabelas bigint, linhas bigint, soma double")
+
+    first = Release(spark, name, shared_dir(spark))
+    first.write("pedidos", orders.select(F.col("o_orderkey").alias("pedido"), _money("o_totalprice").alias("preco")))
+    first.commit()
+    before = seen("antes")
+    second = Release(spark, name, shared_dir(spark))
+    cents = (_money("o_totalprice") * 100).cast("bigint").alias("centavos")
+    finished = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("pedido"), "o_orderstatus", cents)
+    second.write("pedidos", finished)
+    during = seen("durante")
+    second.write("clientes", orders.select("o_custkey").distinct())
+    second.commit()
+    after = seen("depois")
+    retire(spark, name)
+    return union_all(before, during, after)
+
+
+RELEASE_SWITCH = """
+WITH o AS (SELECT o_orderstatus, cast(round(o_totalprice * 100) AS bigint) AS cents FROM orders)
+SELECT 'antes' AS momento, 'pedido,preco' AS colunas, 1::bigint AS tabelas, count(*) AS linhas, cast(sum(cents) AS double) / 100 AS soma FROM o
+UNION ALL SELECT 'durante', 'pedido,preco', 1, count(*), cast(sum(cents) AS double) / 100 FROM o
+UNION ALL SELECT 'depois', 'pedido,o_orderstatus,centavos', 2, count(*), cast(sum(cents) AS double) FROM o WHERE o_orderstatus = 'F'"""
+
+
+def counted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row contracts and the consolidation's summary, taken while the tables are written."""
+    lines = load(spark, sf_dir, "lineitem")
+    contracts = [
+        Contract("quantidade", F.col("l_quantity").between(1, 45)),
+        Contract("desconto", F.col("l_discount") < F.col("l_tax") + 0.09),
+    ]
+    written = publish(lines, scratch(spark, "lines"), row_counts(contracts))
+    folded = publish(
+        consolidate_duplicates(spark, sf_dir), scratch(spark, "folded"), {ROWS: F.count(F.lit(1)), "behind": F.sum("_linhas_origem")}
+    )
+    landed = load(spark, sf_dir, "documents").count()
+    lineage = checked_lineage(spark, "documents", folded.counts["behind"], landed)
+    kept = F.lit(folded.counts[ROWS]).cast("bigint")
+    return union_all(
+        checked_rows(spark, written.counts, contracts),
+        lineage.select("contrato", kept.alias("linhas"), (F.col("linhas") - F.col("chaves")).alias("violacoes"), "passou"),
+    )
+
+
+COUNTED_WRITE = """
+SELECT 'quantidade' AS contrato, count(*) AS linhas, count(*) FILTER (NOT coalesce(l_quantity BETWEEN 1 AND 45, false)) AS violacoes,
+       count(*) FILTER (NOT coalesce(l_quantity BETWEEN 1 AND 45, false)) = 0 AS passou FROM lineitem
+UNION ALL
+SELECT 'desconto', count(*), count(*) FILTER (NOT coalesce(l_discount < l_tax + 0.09::double, false)),
+       count(*) FILTER (NOT coalesce(l_discount < l_tax + 0.09::double, false)) = 0 FROM lineitem
+UNION ALL
+SELECT 'documents', count(*), 0, true FROM (SELECT DISTINCT text, lang, source FROM documents)"""
+
 QUERIES = [
     Query("seller_month_mart", seller_month_mart, SELLER_MONTH),
     Query("consolidate_duplicates", consolidate_duplicates, CONSOLIDATE),
@@ -1039,4 +1140,8 @@ QUERIES = [
     Query("filtered_measures", filtered_measures, FILTERED),
     Query("product_series_long", product_series, PRODUCT_SERIES),
     Query("top_sellers", top_sellers, TOP_SELLERS),
+    Query("order_positions", order_positions, ORDER_POSITIONS),
+    Query("offenders_message", offenders_message, OFFENDERS_MESSAGE),
+    Query("release_switch", release_switch, RELEASE_SWITCH),
+    Query("counted_write", counted_write, COUNTED_WRITE),
 ]

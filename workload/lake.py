@@ -6,11 +6,13 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from garimpo.operators.contracts import require_clean
+from garimpo.functions import PROBLEM
+from garimpo.operators.contracts import fail_on_contracts, require_clean
 from garimpo.plans import gold, silver, spec
-from garimpo.session import settle, shared_dir
-from garimpo.sources.tables import publish, publish_all, scan
+from garimpo.session import shared_dir
+from garimpo.sources.tables import publish, publish_all, scan, together
 from workload import raw
 
 SILVER = ("crm", "erp", "estoque")
@@ -32,7 +34,8 @@ NEEDS = {
     "dim_vendedor": ("erp",),
     "dim_pagamento": ("crm", "erp"),
     "dim_canal": ("crm",),
-    "dim_calendario": SILVER,
+    "limites_calendario": SILVER,
+    "dim_calendario": ("limites_calendario",),
     "fato_vendas": ("erp", *SALE_DIMS),
     "fato_oportunidade": ("crm", *LEAD_DIMS),
     "fato_estoque_mensal": ("estoque", *STOCK_DIMS),
@@ -43,7 +46,7 @@ NEEDS = {
 }
 
 
-_RAW = {"bronze_crm": raw.raw_leads, "bronze_erp": raw.raw_sales, "bronze_estoque": raw.raw_positions}
+_RAW = raw.RAW
 # Where this session's raw tables lie. They stand in for the files a dealership would be given, so they are rendered
 # once per session and folder; everything after them is worked out anew by every query.
 _landed: dict[tuple[str, str, str], str] = {}
@@ -53,7 +56,7 @@ def land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         path = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}/{name}"
-        publish(_RAW[name](spark, sf_dir), path)
+        publish(raw.derive(spark, sf_dir, *_RAW[name]), path)
         _landed[key] = path
     return scan(spark, _landed[key])
 
@@ -75,9 +78,9 @@ class Lake(Mapping):
         self.tables: dict[str, DataFrame] = {}
         crm, erp, stock = (lambda: self["crm"]), (lambda: self["erp"]), (lambda: self["estoque"])
         self.rules: dict[str, Callable[[], DataFrame]] = {
-            "crm": lambda: self.accepted("crm", silver.clean_leads),
-            "erp": lambda: self.accepted("erp", silver.clean_sales),
-            "estoque": lambda: self.accepted("estoque", silver.clean_positions),
+            "crm": lambda: silver.clean_leads(self["bronze_crm"]),
+            "erp": lambda: silver.clean_sales(self["bronze_erp"]),
+            "estoque": lambda: silver.clean_positions(self["bronze_estoque"]),
             gold.PROFILE: lambda: gold.client_profile(crm(), erp()),
             gold.HELD_IDS: lambda: gold.client_split(self[gold.PROFILE]).held,
             "quarentena_cliente_evidencia": lambda: gold.client_evidence(crm(), erp(), self[gold.HELD_IDS]),
@@ -88,7 +91,8 @@ class Lake(Mapping):
             "dim_vendedor": lambda: gold.seller_dim(erp()),
             "dim_pagamento": lambda: gold.payment_dim(crm(), erp()),
             "dim_canal": lambda: gold.channel_dim(crm()),
-            "dim_calendario": lambda: gold.calendar(crm(), erp(), stock()),
+            "limites_calendario": lambda: gold.calendar_bounds(crm(), erp(), stock()),
+            "dim_calendario": lambda: self.calendar(),
             "fato_vendas": lambda: gold.sales_fact(erp(), self),
             "fato_oportunidade": lambda: gold.lead_fact(crm(), self),
             "fato_estoque_mensal": lambda: gold.position_fact(stock(), self),
@@ -100,9 +104,16 @@ class Lake(Mapping):
         self.spark, self.sf_dir = spark, sf_dir
         self.need(wanted)
 
-    def accepted(self, name: str, clean: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """The cleaned rows, none of which may have been refused."""
-        return require_clean(settle(clean(self[f"bronze_{name}"]), name), name)
+    def cleaned(self, name: str) -> DataFrame:
+        """The cleaned rows, none of which may have been refused: counted while they are written, once."""
+        refused = F.count_if(F.col(PROBLEM).isNotNull())
+        written = publish(self.rules[name](), f"{self.out}/{name}", {"recusadas": refused})
+        return require_clean(written.table, name) if written.counts["recusadas"] else written.table.drop(PROBLEM)
+
+    def calendar(self) -> DataFrame:
+        bounds = self["limites_calendario"]
+        fail_on_contracts(gold.span_contract(bounds), "dim_calendario: intervalo")
+        return gold.calendar(bounds)
 
     def need(self, names) -> None:
         """Write the tables, what they are built from first, tables of one level a few at a time."""
@@ -113,7 +124,9 @@ class Lake(Mapping):
             for n in _RAW.keys() & set(missing):
                 self.tables[n] = land(self.spark, self.sf_dir, n)
             # A table of this list may be built from another of it, which is then written by now.
-            self.tables |= publish_all({n: self.rules[n] for n in left}, self.out)
+            clean = [n for n in left if n in SILVER]
+            self.tables |= together({n: lambda n=n: self.cleaned(n) for n in clean})
+            self.tables |= publish_all({n: self.rules[n] for n in left if n not in SILVER}, self.out)
 
     def __getitem__(self, name: str) -> DataFrame:
         self.need([name])

@@ -2,7 +2,7 @@
 
 Every row of the tables becomes a raw text row, with the defects the cleaning is there for: padding, casing,
 misspellings, three date formats, amounts split by a decimal comma, rows told twice (the returned and settled ones),
-clients told in two ways and stock told twice. Beside the text stand the true values (`t_..`), which only the checking SQL reads.
+clients told in two ways and stock told twice. A second set of the files also holds rows that the cleaning refuses. Beside the text stand the true values (`t_..`), which only the checking SQL reads.
 """
 
 from __future__ import annotations
@@ -115,7 +115,12 @@ def _by_segment(values: dict[str, str]) -> str:
     return f"CASE c_mktsegment {arms} END"
 
 
-def _sales_sql() -> str:
+#: Which rows of the files with defects hold something the cleaning refuses.
+_NO_GROUPS = "l_partkey % 7 = 4"
+
+
+def _sales_sql(refused: bool = False) -> str:
+    """With `refused`, some split amounts lost the dots of their whole part, so the split cannot be placed."""
     tokens = {
         "valor_padrao": amount("price"),
         "desconto": amount("off"),
@@ -141,12 +146,22 @@ def _sales_sql() -> str:
         here = f"k_{names[i]}"
         arms = [f"WHEN split IS NULL OR split > {i} THEN {here}"]
         if i in at:
+            if refused:
+                arms.append(f"WHEN split = {i} AND {_NO_GROUPS} THEN {sign(at[i])} || {text(whole(f'abs({at[i]})', 100))}")
             arms.append(f"WHEN split = {i} THEN {dotted(at[i])}")
         if i - 1 in at:
             arms.append(f"WHEN split = {i - 1} THEN {pad(f'abs({at[i - 1]}) % 100', 2)}")
         before = f"ELSE k_{names[i - 1]}" if i else f"ELSE {here}"
         return f"CASE {' '.join(arms)} {before} END AS {names[i]}"
 
+    before, after = ("'antes'", "'depois'")
+    home = names.index("forma_pagamento")
+    reason = (
+        f"'ERP: linha de ' || {client('o_custkey', 'l_linenumber')} || ' deslocada, sem valor partido ' || "
+        f"CASE WHEN split < {home} THEN {before} ELSE {after} END || ' do pagamento'"
+    )
+    problem = f"CASE WHEN split IS NOT NULL AND {_NO_GROUPS} THEN {reason} END" if refused else "cast(NULL AS string)"
+
     # A client out of nineteen has two names, one out of twenty-three two birth dates.
     true_name = "CASE WHEN o_custkey % 19 = 0 AND l_linenumber = 1 THEN c_name || 'b' ELSE c_name END"
     true_birth_day = "1 + (o_custkey + CASE WHEN o_custkey % 23 = 0 AND l_linenumber = 2 THEN 1 ELSE 0 END) % 28"
@@ -192,11 +207,13 @@ SELECT {client('o_custkey', 'l_linenumber')} AS id_cliente,
        year(shipped) AS t_ano,
        {pick('l_partkey % 8', [f'{p} Comfortline' for p in spec.PRODUCT_NAMES])} AS t_modelo,
        shipped AS t_entrega,
-       CASE WHEN split IS NULL THEN CASE l_suppkey % 2 WHEN 0 THEN '0 KM' ELSE 'Semi Novo' END END AS t_condicao
+       CASE WHEN split IS NULL THEN CASE l_suppkey % 2 WHEN 0 THEN '0 KM' ELSE 'Semi Novo' END END AS t_condicao,
+       {problem} AS t_problema
 FROM tokens"""
 
 
 SALES = _sales_sql()
+SALES_REFUSED = _sales_sql(refused=True)
 
 # --- leads -----------------------------------------------------------------------------------------------------------
 
@@ -209,7 +226,8 @@ def _by_type(values: dict[str, str]) -> str:
     return f"CASE event_type {arms} END"
 
 
-def _leads_sql() -> str:
+def _leads_sql(refused: bool = False) -> str:
+    """With `refused`, some ages are words, some shares are too large and some test drives have no known answer."""
     def number(width: int) -> str:
         return f"lpad({text(f'(user_id * 7919) % {10**width}')}, {width}, '1')"
 
@@ -229,6 +247,20 @@ def _leads_sql() -> str:
     drive_raw = pick("event_id % 6", [" Sim", "S", "1", "NÃO", None, " "])
     drive = "CASE WHEN event_id % 6 < 3 THEN true WHEN event_id % 6 = 3 THEN false END"
     reasons = spec.LOSS_REASONS
+    age = f"CASE user_id % 4 WHEN 0 THEN '-1' WHEN 1 THEN ' ' ELSE ' ' || {text('18 + user_id % 60')} END"
+    share = f"CASE WHEN event_id % 5 = 0 THEN NULL ELSE {amount(cents)} END"
+    problem = "cast(NULL AS string)"
+    if refused:
+        word, large, unknown = "event_id % 11 = 2", "event_id % 13 = 3", "event_id % 17 = 4"
+        age = f"CASE WHEN {word} THEN ' quarenta' ELSE {age} END"
+        share = f"CASE WHEN {large} THEN '1234.50' ELSE {share} END"
+        drive_raw = f"CASE WHEN {unknown} THEN 'Talvez' ELSE {drive_raw} END"
+        told = [
+            f"CASE WHEN {word} THEN 'crm: IDADE invalido' END",
+            f"CASE WHEN {large} THEN 'crm: ENTRADA_PCT invalido' END",
+            f"CASE WHEN {unknown} THEN 'CRM: FEZ_TEST_DRIVE desconhecido' END",
+        ]
+        problem = f"nullif(concat_ws('; ', {', '.join(told)}), '')"
     return f"""
 WITH typed AS (
   SELECT event_id, user_id, event_type, cast(ts AS date) AS seen,
@@ -238,12 +270,12 @@ WITH typed AS (
 SELECT {client('user_id', 'event_id')} AS id_cliente,
        CASE event_id % 2 WHEN 0 THEN upper({true_name}) ELSE ' ' || lower({true_name}) END AS cliente,
        {pick('user_id % 5', ['M', 'Feminno', ' masculino', 'FEM', None])} AS genero,
-       CASE user_id % 4 WHEN 0 THEN '-1' WHEN 1 THEN ' ' ELSE ' ' || {text('18 + user_id % 60')} END AS idade,
+       {age} AS idade,
        {phone_raw} AS contato,
        {pick('event_id % 8', mixed(spec.CHANNELS))} AS fonte,
        {pick('(event_id + user_id) % 8', mixed(spec.PRODUCT_NAMES))} AS produto_interesse,
        CASE event_id % 2 WHEN 0 THEN 'financiamento ' ELSE 'À VISTA' END AS forma_pagamento,
-       CASE WHEN event_id % 5 = 0 THEN NULL ELSE {amount(cents)} END AS entrada_pct,
+       {share} AS entrada_pct,
        {drive_raw} AS fez_test_drive,
        {three_dates('seen', 'event_id')} AS data_interesse,
        {_by_type(_STAGE_RAW)} AS etapa,
@@ -263,17 +295,33 @@ SELECT {client('user_id', 'event_id')} AS id_cliente,
        seen AS t_data,
        {_by_type(_STAGE_OF)} AS t_etapa,
        CASE WHEN event_type = 'error' THEN {pick('event_id % 6', reasons)} END AS t_motivo,
-       {pick('user_id % 3', spec.TEMPERATURES)} AS t_temperatura
+       {pick('user_id % 3', spec.TEMPERATURES)} AS t_temperatura,
+       {problem} AS t_problema
 FROM typed"""
 
 
 LEADS = _leads_sql()
+LEADS_REFUSED = _leads_sql(refused=True)
 
 # --- stock positions -------------------------------------------------------------------------------------------------
 
 
-def _positions_sql() -> str:
+def _positions_sql(refused: bool = False) -> str:
+    """With `refused`, some positions have a code outside the list and some stocks are not whole numbers."""
     codes = [code for code, _ in spec.PRODUCTS]
+    code_raw = pick("code", [c.lower() if i % 2 else f" {c}" for i, c in enumerate(codes)])
+    stock_raw = f"CASE WHEN m = 6 AND code = 3 THEN ' ' ELSE {text('stock')} END"
+    code_true, problem = pick("code", codes), "cast(NULL AS string)"
+    if refused:
+        other, broken = "code = 5 AND m % 4 = 1", "code = 2 AND m % 3 = 2"
+        code_raw = f"CASE WHEN {other} THEN ' vw-xyz' ELSE {code_raw} END"
+        code_true = f"CASE WHEN {other} THEN 'VW-XYZ' ELSE {code_true} END"
+        stock_raw = f"CASE WHEN {broken} THEN {text('stock')} || ',5' ELSE {stock_raw} END"
+        told = [
+            f"CASE WHEN {other} THEN 'Estoque: codigo de produto desconhecido:  vw-xyz' END",
+            f"CASE WHEN {broken} THEN 'estoque: ESTOQUE_ATUAL invalido' END",
+        ]
+        problem = f"nullif(concat_ws('; ', {', '.join(told)}), '')"
     month = f"({text('y')} || '-' || {pad('m', 2)})"
     month_raw = (
         f"CASE m % 3 WHEN 0 THEN {month} WHEN 1 THEN ' ' || {text('y')} || '/' || {pad('m', 2)} "
@@ -291,28 +339,29 @@ WITH counted AS (
   SELECT y, m, code, told, moved % 997 - 40 AS stock FROM counted
 )
 SELECT {month_raw} AS mes_referencia,
-       {pick('code', [c.lower() if i % 2 else f' {c}' for i, c in enumerate(codes)])} AS cod_produto,
+       {code_raw} AS cod_produto,
        CASE WHEN told = 'F' THEN 'Polo' ELSE {pick('code', mixed(spec.PRODUCT_NAMES))} END AS produto,
-       CASE WHEN m = 6 AND code = 3 THEN ' ' ELSE {text('stock')} END AS estoque_atual,
+       {stock_raw} AS estoque_atual,
        {pick('(y + m) % 6', mixed(spec.CAMPAIGNS))} AS campanha_atual,
        {month} || '-01' AS t_mes,
-       {pick('code', codes)} AS t_codigo,
+       {code_true} AS t_codigo,
        {pick('code', spec.PRODUCT_NAMES)} AS t_produto,
        CASE WHEN m = 6 AND code = 3 THEN NULL ELSE stock END AS t_estoque,
-       {pick('(y + m) % 6', spec.CAMPAIGNS)} AS t_campanha
+       {pick('(y + m) % 6', spec.CAMPAIGNS)} AS t_campanha,
+       {problem} AS t_problema
 FROM balance"""
 
 
 POSITIONS = _positions_sql()
-
-
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, SALES, spec.SALE_COLUMNS)
-
-
-def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, LEADS, spec.LEAD_COLUMNS)
-
-
-def raw_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, POSITIONS, spec.POSITION_COLUMNS)
+POSITIONS_REFUSED = _positions_sql(refused=True)
+
+
+#: The raw tables: as a load takes them, and with rows that the cleaning refuses.
+RAW = {
+    "bronze_crm": (LEADS, spec.LEAD_COLUMNS),
+    "bronze_erp": (SALES, spec.SALE_COLUMNS),
+    "bronze_estoque": (POSITIONS, spec.POSITION_COLUMNS),
+    "defeitos_crm": (LEADS_REFUSED, spec.LEAD_COLUMNS),
+    "defeitos_erp": (SALES_REFUSED, spec.SALE_COLUMNS),
+    "defeitos_estoque": (POSITIONS_REFUSED, spec.POSITION_COLUMNS),
+}
