@@ -16,8 +16,12 @@ from garimpo.llm.common import map_batches
 #: Ranks in one word of the lower bitmap; the upper bitmap has a bit for each such word, so two find-first-sets give the
 #: lowest rank that has a bucket.
 SPAN, SHIFT = 256, 8
-#: Pre-tokens whose ids a task keeps; when full it starts anew. The bound is on memory and changes no result.
-KEPT = 500_000
+#: Bytes of the pre-tokens, and ids of them, that a task keeps; when full it starts anew. Longer pre-tokens than `KEPT_LENGTH`
+#: hardly ever come again and are not kept. The bounds are on memory and change no result.
+KEPT_BYTES = 48 << 20
+KEPT_LENGTH = 64
+#: What an entry takes besides its pre-token and ids.
+ENTRY_BYTES = 190
 
 
 def load_ranks(spark, path: str) -> dict[bytes, int]:
@@ -124,19 +128,24 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder(dict):
-    """Encodes texts; remembers the ids of pre-tokens it has met."""
+    """Encodes texts; remembers the ids of pre-tokens it has met, within a bound that holds inside a text too."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.held = 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = array("I", merge(piece.encode(), self.ranks)).tobytes()
+        ids = array("I", merge(piece.encode(), self.ranks)).tobytes()
+        if len(piece) <= KEPT_LENGTH:
+            self.held += ENTRY_BYTES + 2 * len(piece) + len(ids)
+            if self.held > KEPT_BYTES:
+                self.clear()
+                self.held = 0
+            self[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if len(self) > KEPT:
-            self.clear()
         return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 
 

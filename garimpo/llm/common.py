@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from garimpo.session import settle, shuffle_partitions
 
 # White space as the contracts define it: space and the five controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes that Spark passes to Python at once, besides its bound on rows.
+BATCH_BYTES = 4 << 20
 # Lower-cases A-Z in bytes and nothing else.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -101,6 +104,7 @@ def map_batches(df: DataFrame, run: Callable[..., Iterable[dict]], schema: str,
     With `begin`, what it makes at the start of a task is the first argument of each `run` of that task.
     """
     out = pa_schema(df, schema)
+    bound_batches(df.sparkSession)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [begin()] if begin else []
@@ -108,7 +112,31 @@ def map_batches(df: DataFrame, run: Callable[..., Iterable[dict]], schema: str,
             for rows in run(*kept, *columns(part)):
                 yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in out], schema=out)
 
-    return df.mapInArrow(batches, schema)
+    return df.mapInArrow(lean(batches), schema)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Pass at most `BATCH_BYTES` at once to Python and back from now on, however long the rows, unless the session was started with its own bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(name) is None:
+        spark.conf.set(name, BATCH_BYTES)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` for mapInArrow; when its task ends, the worker gives back what it no longer uses.
+
+    Workers go on to serve other stages, and memory that their allocators keep for later would add up over a pipeline.
+    """
+
+    def task(parts: Iterator) -> Iterator:
+        try:
+            yield from run(parts)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
 
 
 def small(parts: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import lowest, map_batches, small
+from garimpo.llm.common import bound_batches, lean, lowest, map_batches, small
 
 #: Bytes of a window; a text is cut into such windows and the last one is filled with zero bytes.
 WINDOW = 256
@@ -205,4 +205,5 @@ def known_language(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id",
             yield part.filter(pa.array(run(texts), pa.bool_()))
 
     place = docs.columns.index(text_col)
-    return docs.mapInArrow(batches, docs.schema)
+    bound_batches(docs.sparkSession)
+    return docs.mapInArrow(lean(batches), docs.schema)

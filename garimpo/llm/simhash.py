@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from garimpo.llm.common import LOWER, components, map_batches
+from garimpo.llm.common import LOWER, components, lean, map_batches
 from garimpo.session import settle
 
 #: The 64 bits fall into six blocks. Four differing bits touch at most four of them, so any two fingerprints within the radius
@@ -167,7 +167,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
                 found = []
         yield _edges(found)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import batches_of, columns, small, starts, whole_keys
+from garimpo.llm.common import batches_of, bound_batches, columns, lean, small, starts, whole_keys
 from garimpo.session import settle
 
 #: Bytes of a string that counts as repeated, and of the anchors that lead to it.
@@ -121,7 +121,7 @@ def repeated_anchors(texts: DataFrame) -> DataFrame:
 
     One shuffle by anchor serves the counts of contexts and of anchors.
     """
-    counts = texts.mapInArrow(_grams, "anchor long, around long, n long").repartition("anchor")
+    counts = texts.mapInArrow(lean(_grams), "anchor long, around long, n long").repartition("anchor")
     counts = counts.groupBy("anchor", "around").agg(F.sum("n").alias("n"))
     group = Window.partitionBy("anchor")
     told = counts.withColumn("_all", F.sum("n").over(group)).withColumn("_kinds", F.count(F.lit(1)).over(group))
@@ -147,7 +147,7 @@ def _filter(repeated: DataFrame) -> np.ndarray:
     bit = F.pmod("anchor", F.lit(FILTER_BITS))
     bits = repeated.select(bit.alias("bit")).distinct().repartition(F.floor(F.col("bit") / FILTER_BLOCK))
     out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in bits.mapInArrow(fill, "block long, bits binary").toLocalIterator():
+    for row in bits.mapInArrow(lean(fill), "block long, bits binary").toLocalIterator():
         at = row["block"] * FILTER_BLOCK // 8
         out[at : at + FILTER_BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
     return out
@@ -310,8 +310,8 @@ def _shared_spans(contexts: DataFrame) -> DataFrame:
     large = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > WIDE).select("anchor", F.lit(True).alias("_large"))
     sized = contexts.join(large, "anchor", "left")
     small = sized.where("_large is null").select("anchor", "key", "low", "off", "n", "body")
-    merged = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_merged, _FOUND)
-    windows = sized.where("_large").select("key", "body", "low", "n").mapInArrow(_windows, "one long, two long, key binary, at int, n long")
+    merged = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(lean(_merged), _FOUND)
+    windows = sized.where("_large").select("key", "body", "low", "n").mapInArrow(lean(_windows), "one long, two long, key binary, at int, n long")
     # A window repeats if its two hashes have two places.
     same = Window.partitionBy("one", "two")
     places = windows.withColumn("_place", F.xxhash64("key", "at"))
@@ -394,6 +394,7 @@ def _closed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """See `_repeats`; all its jobs run here, with texts passed to Python a thousand at a time."""
+    bound_batches(docs.sparkSession)
     with batches_of(docs.sparkSession, 1000):
         return _repeats(docs, text_col)
 
@@ -426,14 +427,14 @@ def _repeats(docs: DataFrame, text_col: str) -> DataFrame:
                 at, anchor, around = (np.concatenate([x[i] for x in out]) for i in (1, 2, 3))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(at, pa.int32()), _signed(anchor), _signed(around)], names=["key", "at", "anchor", "around"])
 
-    found = rows.mapInArrow(candidates, "key binary, at int, anchor long, around long").join(repeated, ["anchor", "around"])
+    found = rows.mapInArrow(lean(candidates), "key binary, at int, anchor long, around long").join(repeated, ["anchor", "around"])
     found = settle(found.dropDuplicates(["key", "at"]), "found")
     # Of a context that occurs more than once, one place is sent to meet those that share its anchor.
     place = F.struct("key", "at")
     sent = found.where("n > 1 and others").groupBy("anchor", "around").agg(F.min(place).alias("_p")).select("_p.key", "_p.at", F.lit(True).alias("_sent"))
     marked = found.join(sent, ["key", "at"], "left").withColumn("send", (F.col("n") == 1) | F.coalesce("_sent", F.lit(False)))
     listed = marked.groupBy("key").agg(F.collect_list(F.struct("at", "anchor", "n", "send")).alias("found"))
-    stage = rows.join(listed, "key").select("key", "text", "found").mapInArrow(_gathered, _STAGE_SCHEMA)
+    stage = rows.join(listed, "key").select("key", "text", "found").mapInArrow(lean(_gathered), _STAGE_SCHEMA)
     stage = settle(stage, "stage")
     contexts = stage.where(F.col("kind") == _CONTEXT).select("anchor", "key", "low", "off", "n", "body")
     spans = _shared_spans(contexts)
@@ -444,9 +445,9 @@ def _repeats(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part["key"], pa.array([p.tobytes() for p in pairs], pa.binary())], names=["key", "spans"])
 
     opened = stage.where(F.col("kind") == _OPEN).select("key", "body", "spans")
-    both = opened.unionByName(spans.mapInArrow(pack, "key binary, spans binary"), allowMissingColumns=True)
+    both = opened.unionByName(spans.mapInArrow(lean(pack), "key binary, spans binary"), allowMissingColumns=True)
     both = both.repartition("key").sortWithinPartitions("key", F.col("body").isNull())
-    closed = both.mapInArrow(_closed, "key binary, result binary")
+    closed = both.mapInArrow(lean(_closed), "key binary, result binary")
     done = stage.where(F.col("kind") == _DONE).select("key", F.col("spans").alias("result"))
     return settle(closed.unionByName(done).dropDuplicates(["key"]), "repeats")
 
@@ -488,7 +489,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     kind = joined.dtypes[0][1]
     return joined.mapInArrow(
-        measure,
+        lean(measure),
         f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<from:int,to:int>>",
     )
 
@@ -520,4 +521,4 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
             arrays = [pa.array(kept, pa.string()) if i == place else part.column(i) for i in range(part.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return flat.mapInArrow(run, docs.schema)
+    return flat.mapInArrow(lean(run), docs.schema)

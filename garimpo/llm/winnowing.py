@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import columns, map_batches, pa_schema, small
+from garimpo.llm.common import bound_batches, columns, lean, map_batches, pa_schema, small
 from garimpo.session import settle, shuffle_partitions
 
 #: Bytes of a gram and grams of a window: whatever GRAM + WINDOW - 1 bytes two texts share leaves a common fingerprint, and
@@ -148,8 +148,8 @@ def successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text is an empty one. A single row is its own successor. Rows with equal or null ids are kept. An empty table gives an
     empty result. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = shuffle_partitions(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     kind = rows.dtypes[0][1]
@@ -216,8 +216,8 @@ def successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed_schema = pa_schema(docs, placed)
     # Of a block's rows the one it begins after comes first, wherever it lies in the order; then those that need none.
     lead = F.when(F.col("what") == AHEAD, 0).when(F.col("what") == ALONE, 1).otherwise(2)
-    blocks = rows.mapInArrow(place, placed).repartition(parts, "block").sortWithinPartitions("block", lead, *order)
-    return blocks.mapInArrow(compare, result)
+    blocks = rows.mapInArrow(lean(place), placed).repartition(parts, "block").sortWithinPartitions("block", lead, *order)
+    return blocks.mapInArrow(lean(compare), result)
 
 
 def _key(doc_id: object, text_hash: int) -> tuple:
