@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from garimpo.operators import contracts, dimensions, facts, marts, measures, quarantine, running, versions
+from garimpo.operators import contracts, dimensions, facts, marts, measures, positions, quarantine, running, versions
 from garimpo.plans import spec
 
 
@@ -187,6 +187,62 @@ def test_trace_counts_rows_both_ways(spark):
     assert row == {"aceitas": 4, "quarentena": 2, "total_silver": 4, "ids": 2, "ausentes": 1, "extras": 2, "sobreposicoes": 2}
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_positions_in_the_order_of_the_whole_frame(spark, parts):
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, 1, 2, 2, 2, 9]), rng.choice("ab")) for i in range(700)]
+    df = spark.createDataFrame(rows, "i int, n int, s string").repartition(5)
+    got = positions.with_position(df, [(F.col("n"), True), (F.col("s"), False), (F.col("i"), False)], "place", parts)
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2], r[0]))
+    assert [tuple(r) for r in got.orderBy("place").collect()] == [(*r, k) for k, r in enumerate(order, 1)]
+
+
+def test_positions_of_rows_that_tie_and_of_none(spark):
+    df = spark.createDataFrame([(1, "x")] * 400 + [(0, "y")], "n int, s string").repartition(4)
+    got = positions.with_position(df, [(F.col("n"), False)]).collect()
+    assert sorted(r["posicao"] for r in got) == list(range(1, 402)) and {r["posicao"] for r in got if r["n"] == 0} == {1}
+    assert positions.with_position(df.where("n > 5"), [(F.col("n"), False)]).collect() == []
+
+
+def test_measures_and_reports_give_out_their_order(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 5), ("c", 5), ("d", 2)], "g string, v int")
+    named = measures.catalogue([measures.Measure("total", F.sum("v"))])
+    got = measures.measure(df, ["g"], ["total"], named, order=[(F.sum("v"), True)], position="place")
+    assert sorted(map(tuple, got.collect())) == [("a", 1, 4), ("b", 5, 1), ("c", 5, 2), ("d", 2, 3)]
+    results = spark.createDataFrame([(3, "z"), (1, "x"), (2, "y")], "ORDEM int, TESTE string")
+    assert sorted(map(tuple, contracts.report(results, "lugar").collect())) == [("x", 1), ("y", 2), ("z", 3)]
+    assert [r["TESTE"] for r in contracts.report(results).collect()] == ["x", "y", "z"]
+
+
+def test_span_of_a_calendar(spark):
+    bounds = spark.sql("SELECT DATE'2024-01-01' AS first, DATE'9999-12-31' AS last")
+    broken = dimensions.check_span(bounds, "1900-01-01", "2100-12-31", "span").first()
+    assert not broken["passou"] and broken["ultima"] == "9999-12-31"
+    assert dimensions.check_span(bounds, "1900-01-01", "9999-12-31", "span").first()["passou"]
+    none = spark.sql("SELECT cast(NULL AS date) AS first, cast(NULL AS date) AS last")
+    assert not dimensions.check_span(none, "1900-01-01", "2100-12-31", "span").first()["passou"]
+
+
+def test_one_presence_answers_uniqueness_and_traces(spark):
+    rng = random.Random(4)
+    frames = {n: [(rng.choice([None, *range(30)]),) for _ in range(40)] for n in ("fact", "held", "source")}
+    dfs = {n: spark.createDataFrame(r, "id int") for n, r in frames.items()}
+    ids = contracts.presence("id", **dfs)
+    for name, df in dfs.items():
+        assert contracts.unique_in(ids, name, "c").first() == contracts.check_unique(df, "id", "c").first()
+    assert contracts.traced_with_held(ids).first() == contracts.trace_with_held(dfs["fact"], dfs["held"], dfs["source"], "id").first()
+
+
+def test_a_row_with_several_broken_keys_is_one_orphan(spark):
+    fact = spark.createDataFrame([(1, 1), (9, 9), (None, 1), (1, 9), (1, 1)], "a int, b int")
+    dim = spark.createDataFrame([(1,), (2,)], "k int")
+    refs = [contracts.Reference("a", dim, "k"), contracts.Reference("b", dim, "k")]
+    assert contracts.orphan_rows(fact, refs).first()["linhas"] == 3
+    assert {tuple(r) for r in contracts.orphans(fact, refs).collect()} == {(9, 9, 1), (None, 1, 1), (1, 9, 1)}
+    plan = contracts.orphan_rows(fact, refs)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(a" not in plan
+
+
 def test_orphans_agree_with_the_quarantine(spark):
     fact = spark.createDataFrame(
         [("ok", 1, 5), ("held", None, 5), ("lost", None, 5), ("held", 2, 5), ("gone", 9, 5), ("ok", 1, 6), ("ok", 1, None)],

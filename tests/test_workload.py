@@ -1,6 +1,8 @@
 """Registered queries against their SQL on the smallest tables, and the shape of their plans."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -10,7 +12,15 @@ from workload.check import compare, connect, normal
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver tables are not here")
-SLOW = ("dealership_", "dashboard_", "silver_", "identity_", "dimension_keys", "client_dimension", "product_mapping")
+SLOW = (
+    "dealership_", "dashboard_", "silver_", "identity_", "dimension_keys", "client_dimension", "product_mapping",
+    "broken_", "proof_failures", "proofs_report",
+)
+LAYERS = [
+    "silver_sales", "silver_leads", "silver_positions", "silver_parts", "identity_quarantine", "dealership_sales_fact",
+    "dealership_proofs", "dashboard_sales_dataset", "dashboard_sellers", "dashboard_sellers_order", "dashboard_stages_order",
+    "proofs_report", "broken_fact_contracts", "broken_proofs", "broken_dimension_keys", "broken_silver_contracts",
+]
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +33,13 @@ def check(spark, sql, query):
     res = sql.execute(query.sql)
     problem = compare(normal(df.columns, df.collect()), normal([d[0] for d in res.description], res.fetchall()))
     assert problem is None, problem
+    return df
+
+
+def assert_joins_by_key(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonMapInArrow"):
+        assert bad not in plan, bad
 
 
 @pytest.mark.parametrize("query", [q for q in ALL if not q.name.startswith(SLOW)], ids=lambda q: q.name)
@@ -30,13 +47,11 @@ def test_operator_query(spark, sql, query):
     check(spark, sql, query)
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["silver_sales", "silver_leads", "silver_positions", "identity_quarantine", "dealership_sales_fact", "dealership_proofs",
-     "dashboard_sales_dataset", "dashboard_sellers"],
-)
+@pytest.mark.parametrize("name", LAYERS)
 def test_dealership_query(spark, sql, name):
-    check(spark, sql, next(q for q in ALL if q.name == name))
+    query = next(q for q in ALL if q.name == name)
+    df = check(spark, sql, query)
+    assert_joins_by_key(df)
 
 
 def test_contract_is_complete(spark):
@@ -48,11 +63,32 @@ def test_contract_is_complete(spark):
 
 @pytest.mark.parametrize("query", [q for q in ALL if not q.name.startswith(SLOW)], ids=lambda q: q.name)
 def test_plans_have_no_cartesian_product_and_no_python(spark, query):
-    plan = contract.queries()[query.name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    for bad in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "PythonMapInArrow"):
-        assert bad not in plan, bad
-    # Not even a nested loop.
-    assert "BroadcastNestedLoopJoin" not in plan
+    assert_joins_by_key(contract.queries()[query.name](spark, SF))
+
+
+def test_broken_contracts_are_all_found(spark):
+    """What the damage must break is broken, whatever the counts."""
+    names = ("broken_fact_contracts", "broken_proofs")
+    for name, passed in zip(names, ("passou", "PASSOU"), strict=True):
+        rows = contract.queries()[name](spark, SF).collect()
+        assert rows and not any(r[passed] for r in rows)
+
+
+def test_entry_stands_without_the_other_operators(tmp_path):
+    """With an empty folder in place of the subpackage, or without what it imports, the other queries load."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys\n"
+        "class Missing:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name.startswith('garimpo.llm.') or name == 'public_tokenizers':\n"
+        "            raise ModuleNotFoundError(name)\n"
+        "sys.meta_path.insert(0, Missing())\n"
+        "import __spark_entry__ as e\n"
+        "print(len(e.queries()), any(n.startswith('op1_') for n in e.queries()))"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == [str(len(ALL)), "False"], done.stderr[-800:]
 
 
 @pytest.mark.parametrize("name", ["dashboard_kpis", "dashboard_choices"])

@@ -57,6 +57,7 @@ from garimpo.operators.contracts import (
 )
 from garimpo.operators.dimensions import (
     calendar_dim,
+    check_span,
     conformed_dim,
     date_bounds,
     mapped_dim,
@@ -503,6 +504,20 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_calendar(spark, sf_dir))
 
 
+def calendar_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar's bounds against two spans, one of which they leave."""
+    bounds = date_bounds([(load(spark, sf_dir, "orders"), ["o_orderdate"]), (load(spark, sf_dir, "lineitem"), ["l_shipdate"])])
+    return plain(
+        union_all(check_span(bounds, "1990-01-01", "2005-12-31", "wide"), check_span(bounds, "1990-01-01", "1996-06-30", "narrow"))
+    )
+
+
+CALENDAR_SPAN = """
+WITH dates AS (SELECT cast(o_orderdate AS date) AS d FROM orders UNION ALL SELECT cast(l_shipdate AS date) FROM lineitem),
+bounds AS (SELECT min(d) AS a, max(d) AS b FROM dates)
+SELECT c.contrato, cast(a AS varchar) AS primeira, cast(b AS varchar) AS ultima, a >= DATE '1990-01-01' AND b <= c.upto AS passou
+FROM bounds, (VALUES ('wide', DATE '2005-12-31'), ('narrow', DATE '1996-06-30')) c(contrato, upto)"""
+
 CALENDAR = f"""
 WITH dates AS (SELECT cast(o_orderdate AS date) AS d FROM orders UNION ALL SELECT cast(l_shipdate AS date) FROM lineitem),
 days AS (SELECT cast(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS date) AS d FROM dates)
@@ -1118,6 +1133,7 @@ QUERIES = [
     Query("value_dimensions", value_dimensions, VALUE_DIMENSIONS),
     Query("union_of_ids", union_of_ids, UNION_OF_IDS),
     Query("calendar", calendar, CALENDAR),
+    Query("calendar_span", calendar_span, CALENDAR_SPAN),
     Query("star_fact", star_fact, STAR_FACT),
     Query("fact_contract", fact_contract, FACT_CONTRACT),
     Query("financial_mart", financial_mart, FINANCIAL),
