@@ -18,7 +18,7 @@ from garimpo.llm.common import map_batches
 SPAN, SHIFT = 256, 8
 #: Bytes of the pre-tokens, and ids of them, that a task keeps; when full it starts anew. Longer pre-tokens than `KEPT_LENGTH`
 #: hardly ever come again and are not kept. The bounds are on memory and change no result.
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 100 << 20
 KEPT_LENGTH = 64
 #: What an entry takes besides its pre-token and ids.
 ENTRY_BYTES = 190
