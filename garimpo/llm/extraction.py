@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,7 +37,9 @@ _ASIDE_NAME = re.compile(
     r"(?:$|[-_\s\d])",
     re.I,
 )
-# Those of them that can hold most of a page's text without being its article.
+# An article whose own class or id says that it is a reader's response.
+_RESPONSE_ARTICLE = re.compile(r"(?:^|\s)(?:comment|comments|reply|replies|respond|disqus)(?:$|[-_\s\d])", re.I)
+# Those names that can stand on an element with most of a page's text without it being the article.
 _RESPONSE = re.compile(r"(?:^|[-_\s])(?:comment|comments|reply|replies|respond|disqus)(?:$|[-_\s\d])", re.I)
 _ARTICLE = {"article", "main"}
 _BLOCK_TAG = {
@@ -70,31 +73,65 @@ def _set_apart(name: str, rest: str) -> str | None:
         if key.lower() == "role":
             if value.lower() in _ASIDE_ROLE:
                 return "kind"
-        elif name not in {"html", "body", "article", "main"} and _ASIDE_NAME.search(value):
+        elif name == "article":
+            if _RESPONSE_ARTICLE.search(value):
+                return "kind"
+        elif name not in {"html", "body", "main"} and _ASIDE_NAME.search(value):
             by_name = f"{by_name or ''} {value}"
     return by_name
 
 
-def _wrappers(named: list[Named], own: list[int], free: int) -> list[bool]:
+def _wrappers(named: list[Named], own: list[int], free: int, around: set[int]) -> list[bool]:
     """Which elements set apart by name hold most of the page's text, and so wrap it: `own` is the text in each of them, in none
-    of those inside it, and `free` that in none at all. Responses wrap it only if there is no text beside them."""
+    of those inside it, and `free` that in none at all. Responses wrap it only if there is no text beside them, and where the page
+    marks an article, only the elements `around` one do."""
     held, total = list(own), free + sum(own)
     for i in range(len(named) - 1, -1, -1):
         if named[i].within >= 0:
             held[named[i].within] += held[i]
-    return [2 * n > total and (n == total or not x.response) for n, x in zip(held, named, strict=True)]
+    return [
+        2 * n > total and (n == total or not x.response) and (not around or i in around)
+        for i, (n, x) in enumerate(zip(held, named, strict=True))
+    ]
+
+
+class Endings:
+    """Where a page closes its elements."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.known: dict[str, tuple[list[int], list[int], list[int]]] = {}
+
+    def after(self, name: str, at: int) -> int:
+        """How many elements of that name, open at `at`, are closed behind it."""
+        if name not in self.known:
+            places, level, levels = [], 0, []
+            for tag in re.finditer(rf"<(/?){re.escape(name)}(?![^\s/>])", self.page, re.I):
+                level += 1 if tag[1] else -1
+                places.append(tag.start())
+                levels.append(level)
+            highest, most = [0] * len(levels), -(10**9)
+            for i in range(len(levels) - 1, -1, -1):
+                highest[i] = most = max(most, levels[i])
+            self.known[name] = places, levels, highest
+        places, levels, highest = self.known[name]
+        i = bisect_left(places, at)
+        return max(0, highest[i] - (levels[i - 1] if i else 0)) if i < len(places) else 0
 
 
 def lines(page: str) -> list[Line]:
     """The page without markup, one line for each run of text between block tags.
 
-    A name sets an element apart unless the element holds most of the page's text: then the name tells of the layout.
+    A name sets an element apart unless the element holds most of the page's text: then the name tells of the layout. An article
+    inside an element that is set apart is part of it, unless that element is never closed: then it ends where the article starts.
     """
+    endings = Endings(page)
     out: list[tuple[Line, int]] = []  # set apart by kind, and by which innermost element by name
     text: list[str] = []
     linked = at = 0
     stack: list[tuple[str, bool, int]] = []  # open elements, whether each is set apart, and its number if by name, else -1
     named: list[Named] = []
+    around: set[int] = set()  # the numbers of elements set apart by name that hold an article, and -1 if there is an article
     aside = kinds = article = links = 0
     inner = -1
 
@@ -152,8 +189,12 @@ def lines(page: str) -> list[Line]:
         if name in _VOID or found["rest"].endswith("/"):
             continue
         if name in _ARTICLE and aside and not article:
-            # An article that starts inside an element nobody closed is not part of it.
-            close(next(i for i, (_, apart, _) in enumerate(stack) if apart))
+            # An element set apart that its page never closes ends here at the latest.
+            names = [x[0] for x in stack]
+            for i, (open_name, apart, _) in enumerate(stack):
+                if apart and endings.after(open_name, found.start()) < names.count(open_name):
+                    close(i)
+                    break
         if name in _BLOCK_TAG:
             # Inline elements that nobody closed go with the element around them.
             i = len(stack) - 1
@@ -169,6 +210,9 @@ def lines(page: str) -> list[Line]:
             number = len(named)
             named.append(Named(inner, bool(_RESPONSE.search(what))))
             inner = number
+        if name in _ARTICLE and not kinds:
+            around.update(x[2] for x in stack)
+            around.add(-1)
         stack.append((name, apart, number))
         aside += apart
         article += name in _ARTICLE
@@ -183,45 +227,56 @@ def lines(page: str) -> list[Line]:
             else:
                 free += weight
     shut: list[bool] = []
-    for x, wraps in zip(named, _wrappers(named, own, free), strict=True):
+    for x, wraps in zip(named, _wrappers(named, own, free, around), strict=True):
         shut.append(not wraps or (x.within >= 0 and shut[x.within]))
     return [line._replace(aside=line.aside or (number >= 0 and shut[number])) for line, number in out]
 
 
+def stretches(length: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, end, highest sum) of each stretch of lines between a surge and a dive.
+
+    The sum of the text lengths over a window of `BLOCK` lines from each line on rises from nothing at a surge and falls to nothing at a
+    dive.
+    """
+    total = np.cumsum(np.concatenate([[0], length, np.zeros(BLOCK - 1, np.int64)]))
+    sums = total[BLOCK:] - total[:-BLOCK]
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], (sums > 0).astype(np.int8), [0]])))
+    return [(int(a), int(b), int(sums[a:b].max())) for a, b in edges.reshape(-1, 2)]
+
+
+def surging(length: np.ndarray) -> list[tuple[int, int, int]]:
+    """The stretches that reach a share of a window of median text lines, or of the highest sum if that is less, so one very long
+    line outweighs no other."""
+    found = stretches(length)
+    if not found:
+        return []
+    text = np.sort(length[length >= TEXT_LINE])
+    middling = BLOCK * text[(len(text) - 1) // 2] if len(text) else np.inf
+    least = SURGE * min(max(top for _, _, top in found), middling)
+    return [x for x in found if x[2] >= least]
+
+
 def main_text(page: str | None) -> str:
     """The text between surges and dives of the line-block distribution.
 
-    Every line counts with its length, lines that are set apart or mostly links with none. Where the page marks its article,
-    only the lines inside it count. The sums over windows of three lines rise at a surge and fall to nothing at a dive; the lines
-    with text between them are the main text. Without a marked article a stretch must reach a share of a window of median text
-    lines, or of the highest sum if that is less, so one very long line outweighs no other.
+    Every line counts with its length, lines that are set apart with none, and outside a marked article mostly linked ones too. Lines
+    are kept in the stretches between a surge and a dive that rise high enough, see `surging`.
+
+    Where the page marks an article, the distribution of its lines is held against that of the lines beside it. If its own
+    surging stretches hold no less text, the article is the main text, and every stretch of it is kept, however low; if
+    they hold less, the mark is on a part of the page, such as a card, and the page is taken as if it had none.
     """
     found = lines(page or "")
-    marked = any(x.article and not x.aside for x in found)
-    length = np.array(
-        [0 if x.aside or (marked and not x.article) or (not marked and 2 * x.linked > len(x.text)) else len(x.text) for x in found],
-        np.int64,
-    )
-    if not length.any():
-        return ""
-    total = np.cumsum(np.concatenate([[0], length, np.zeros(BLOCK - 1, np.int64)]))
-    sums = total[BLOCK:] - total[:-BLOCK]  # of the window that starts at each line
-    surge = 1
-    if not marked:
-        text = np.sort(length[length >= TEXT_LINE])
-        surge = SURGE * min(sums.max(), BLOCK * text[(len(text) - 1) // 2] if len(text) else np.inf)
-    kept, i = [], 0
-    while i < len(found):
-        if not sums[i]:
-            i += 1
-            continue
-        dive = i
-        while dive < len(found) and sums[dive]:
-            dive += 1
-        if sums[i:dive].max() >= surge:
-            kept += [k for k in range(i, dive) if length[k]]
-        i = dive
-    return " ".join(found[k].text for k in kept)
+    own = np.array([0 if x.aside or not x.article else len(x.text) for x in found], np.int64)
+    plain = np.array([0 if x.aside or 2 * x.linked > len(x.text) else len(x.text) for x in found], np.int64)
+    beside = np.where([x.article for x in found], 0, plain) if found else plain
+
+    def held(length: np.ndarray) -> int:
+        return sum(int(length[a:b].sum()) for a, b, _ in surging(length))
+
+    marked = own.any() and held(own) >= held(beside)
+    length = own if marked else plain
+    return " ".join(found[k].text for a, b, _ in (stretches if marked else surging)(length) for k in range(a, b) if length[k])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -55,7 +55,27 @@ WHOLE = {
     ),
     "open inline": (f'<div><p class="notice"><b>Note<p>{BODY}<p>Its end.</div>', BODY + "Its end."),
     "responses": (f'<main><p>Short text.</p><div id="comments"><p>{BODY}</p></div></main>', "Short text."),
-}
+    "comment articles": (
+        f'<article><p>{BODY}</p></article><div id="comments"><article class="comment-body"><p>First!</p></article></div>'
+        '<section id="comments"><article><p>Second!</p></article></section><article class="comment odd"><p>Third!</p></article>',
+        BODY,
+    ),
+    "comments in the article": (f'<article><p>{BODY}</p><article class="comment"><p>{BODY * 2}</p></article></article>', BODY),
+    "cards set apart": (
+        f'<main><p>{BODY}</p></main><aside><article><h2>Card</h2><p>{BODY}</p></article></aside>'
+        f'<footer><article><p>{BODY}</p></article></footer>',
+        BODY,
+    ),
+    "body beside a card": (
+        f'<div class="content"><p>{BODY}</p><p>{BODY}</p></div><section><article><a href="/x">Read this</a></article></section>',
+        BODY * 2,
+    ),
+    "unclosed menu": (f'<div id="menu">Home<div>News</div><article><p>{BODY}</p></article>', BODY),
+    "closed menu with a card": (
+        f'<div id="menu"><div>Home</div><article><p>Card</p></article></div><div><p>{BODY}</p></div>', BODY,
+    ),
+    "short article beside an advert": (f'<div class="ad">{BODY}</div><article><h1>Title</h1><p>Few words.</p></article>', "Title Few words."),
+}
 
 
 @pytest.mark.parametrize("name", WHOLE)
@@ -64,6 +84,41 @@ def test_whole_text_of_unlike_pages(name):
     assert extraction.main_text(page) == expected.strip()
 
 
+def plain_stretches(lengths):
+    """By definition: the sum of three lines from each line on; where it leaves zero, and where it is zero again."""
+    sums = [sum(lengths[i : i + extraction.BLOCK]) for i in range(len(lengths))]
+    out, start = [], None
+    for i, x in enumerate([*sums, 0]):
+        if x and start is None:
+            start = i
+        if not x and start is not None:
+            out.append((start, i, max(sums[start:i])))
+            start = None
+    return out
+
+
+def test_stretches_are_the_plain_distribution():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        n = int(rng.integers(0, 60))
+        lengths = np.where(rng.random(n) < rng.random(), rng.integers(1, 200, n), 0)
+        found = extraction.stretches(lengths)
+        assert found == plain_stretches(lengths.tolist())
+        text = sorted(x for x in lengths.tolist() if x >= extraction.TEXT_LINE)
+        middling = extraction.BLOCK * text[(len(text) - 1) // 2] if text else float("inf")
+        least = extraction.SURGE * min(max((t for *_, t in found), default=0), middling)
+        assert extraction.surging(lengths) == [x for x in found if x[2] >= least]
+
+
+def test_few_candidates_over_several_lengths(spark):
+    """With fewer candidates than asked for, all of them come, whatever their lengths."""
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=8) * 10.0 ** rng.integers(-6, 6)).astype("f4").tolist()) for i in range(17)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.search(df, df, 20).collect()
+    assert {(r["query_id"], r["vec_id"]) for r in got} == {(i, j) for i in range(17) for j in range(17) if i != j}
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, node long, score double, e string"
 
 
