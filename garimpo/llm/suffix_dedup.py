@@ -159,10 +159,11 @@ def repeated_windows(body: np.ndarray, ends: np.ndarray, shard: int = SHARD) ->
     `body` is contexts laid end to end, `ends` where each ends; no string crosses an end. The transform is taken in steps of
     `STEP` bytes: a suffix's symbol is the `STEP` bytes at it, and its forerunner starts `STEP` bytes earlier. Every shard of contexts has its
     suffixes in the order of their first symbol, and with them, as its transform, the forerunners' symbols. The merge starts with the
-    shards' orders one after the other. Each pass sends the forerunners, in the present order, to the bucket of their
-    symbol, so that after pass t suffixes are in the order of their first t symbols, and puts a border where symbol
-    or block changes: neighbours first parted by pass t share t - 1 symbols. A block of one suffix is finished, and so
-    are all its forerunners; only open blocks go on. What is still together after `LENGTH` bytes is a repeated string.
+    shards' orders one after the other, interleaved by the counts of the symbols. Each pass sends the forerunners, in the present
+    order, to the bucket of their symbol, at the place that counting gives: no suffixes are compared or sorted again. So
+    after pass t suffixes are in the order of their first t symbols, with a border where symbol or block changes: neighbours first parted
+    by pass t share t - 1 symbols. A block of one suffix is finished, and so are all its forerunners; only open blocks go on. What is
+    still together after `LENGTH` bytes is a repeated string.
     """
     size = np.diff(np.append(0, ends))
     place = np.arange(len(body), dtype=np.int32)
@@ -172,24 +173,33 @@ def repeated_windows(body: np.ndarray, ends: np.ndarray, shard: int = SHARD) ->
         return valid, valid
     hashes = np.zeros(len(body), np.uint64)
     hashes[valid] = Hashes(body).of(valid, valid + STEP)
-    # The shards' orders one after the other; merging the sorted runs by symbol is the first interleave.
+    kinds, numbers = np.unique(hashes[valid], return_inverse=True)
+    symbol = np.zeros(len(body), np.uint32)
+    symbol[valid] = numbers
+    # The shards' orders one after the other, and their first interleave.
     runs = np.split(valid, np.searchsorted(valid, ends[shard - 1 : -1 : shard]))
-    order = np.concatenate([run[np.argsort(hashes[run])] for run in runs])
-    order = order[np.argsort(hashes[order], kind="stable")]
-    block = _blocks(hashes[order])
-    symbol = np.zeros(len(body), np.int64)
-    symbol[order] = block
+    order = np.concatenate([run[_counted(symbol[run], len(kinds))] for run in runs])
+    order = order[_counted(symbol[order], len(kinds))]
+    block = _blocks(symbol[order])
     for _ in range(LENGTH // STEP - 1):
         order, block = _open(order, block)
         ahead = offset[order] >= STEP
         order, block = order[ahead] - STEP, block[ahead]
-        # By symbol and, within a symbol, in the present order of blocks.
-        bucket = symbol[order] << 32 | block
-        sent = np.argsort(bucket)
-        order, block = order[sent], _blocks(bucket[sent])
+        # To the buckets of the symbols, in the present order of blocks.
+        sent = _counted(symbol[order], len(kinds))
+        order, block = order[sent], block[sent]
+        block = _blocks(symbol[order].astype(np.int64) << 32 | block)
     return _open(order, block)
 
 
+def _counted(symbol: np.ndarray, kinds: int) -> np.ndarray:
+    """Who comes at each place if all go to the bucket of their symbol, in the order they come: by counting, 16 bits at a time."""
+    sent = np.argsort((symbol & 0xFFFF).astype(np.uint16), kind="stable")
+    if kinds > 1 << 16:
+        sent = sent[np.argsort((symbol[sent] >> 16).astype(np.uint16), kind="stable")]
+    return sent
+
+
 def _blocks(values: np.ndarray) -> np.ndarray:
     """Numbers of the runs of equal values."""
     return np.cumsum(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
