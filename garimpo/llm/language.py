@@ -141,18 +141,19 @@ def held_out(id_col: Column, folds: int = 3, fold: int = 1) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> Network | None:
-    """Fit on the `rows` training documents with the lowest hash of their id, up to 1024 characters of each.
+    """Fit on the `rows` training documents with the lowest hash of id, text and place, up to 1024 characters of each.
 
-    The sample is bounded, so a fixed amount reaches the driver. Texts without letters teach nothing. None if no labelled
-    row is left.
+    The sample is bounded, so a fixed amount reaches the driver. The place, which is a row's in its part of the table, tells rows apart
+    whose ids and texts repeat, so the same share of any table is below the cut. Texts without letters teach nothing. None
+    if no labelled row is left.
     """
     doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    order = F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("sample"))
-    start = F.pmod(order, F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(1))) + 1
+    place = F.monotonically_increasing_id()
+    order = F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), text, place, F.lit("sample"))
     learned = docs.where(~held_out(doc_id) & F.col(f"`{lang_col}`").isNotNull() & text.isNotNull())
-    some = learned.select(
-        order.alias("_id"), F.substring(text, start.cast("int"), SAMPLE_CHARS).alias("_text"), F.col(f"`{lang_col}`").alias("_lang")
-    )
+    named = learned.select(order.alias("_id"), text.alias("_whole"), F.col(f"`{lang_col}`").alias("_lang"))
+    start = F.pmod("_id", F.greatest(F.length("_whole") - SAMPLE_CHARS, F.lit(1))) + 1
+    some = named.select("_id", F.substring("_whole", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("_text"), "_lang")
     sample = lowest(some, F.col("_id"), rows).orderBy("_id", "_text", "_lang").collect()
     known = [(r["_text"].encode(), r["_lang"]) for r in sample]
     known = [(t, lang) for t, lang in known if has_letter(t)]

@@ -276,6 +276,21 @@ def test_language_of_held_out_texts(table):
     assert kept.columns == docs.columns and kept.where("text is null or text = ''").count() == 0
 
 
+@pytest.mark.parametrize("one_id", [None, 7, 9])
+def test_language_where_ids_repeat(spark, one_id):
+    """More rows of one id than the sample holds, and of one row: the same share of them is learned from."""
+    rng = random.Random(12)
+    rows = [(one_id, prose(rng, lang, rng.randrange(20, 60)), lang) for lang in WORDS for _ in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = docs.select(language.held_out(docs["doc_id"]).alias("held")).first()["held"]
+    net = language.fit(docs, rows=150)
+    assert (net is None) == out
+    if net is not None:
+        assert net.languages == sorted(WORDS)
+    same = spark.createDataFrame([(one_id, "the river over the stone", "en")] * 900, docs.schema)
+    assert (language.fit(same, rows=150) is None) == out
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "the river", None), (2, "le fleuve", None)], "doc_id long, text string, lang string")
     assert {(r["lang_pred"], r["score"]) for r in language.identify(docs).collect()} == {("und", 0.0)}
@@ -330,6 +345,99 @@ def test_exchange_separates_what_alternates():
     assert of[0] == of[1] == of[2] != of[3] == of[4] == of[5]
 
 
+def class_table(tokens, of, classes):
+    table = np.zeros((classes, classes))
+    for a, b in zip([0, *tokens], tokens):
+        table[of[a], of[b]] += 1
+    return table
+
+
+def counted_contexts(tokens, units):
+    """What a unit's neighbours are, token by token; a text is preceded by its end, unit 0."""
+
+    def contexts(of, classes):
+        after, ahead, own = np.zeros((units, classes), int), np.zeros((units, classes), int), np.zeros(units, int)
+        for a, b in zip([0, *tokens], tokens):
+            after[a, of[b]] += 1
+            ahead[b, of[a]] += 1
+            own[a] += a == b
+        return after, ahead, own
+
+    return contexts
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_gains_are_those_of_counting_the_text_again(seed):
+    rng = np.random.default_rng(seed)
+    units, classes = 14, 4
+    tokens = [*rng.integers(0, units, 400).tolist(), 3, 3, 3, 0]
+    of = rng.integers(0, classes, units)
+    of[:classes] = range(classes)
+    table = class_table(tokens, of, classes)
+    to, gained = class_lm.best_moves(table, of, *counted_contexts(tokens, units)(of, classes))
+    stays = class_lm.likelihood(table)
+    for u in range(units):
+        tried = []
+        for k in range(classes):
+            moved = of.copy()
+            moved[u] = k
+            tried.append(class_lm.likelihood(class_table(tokens, moved, classes)) - stays)
+        assert gained[u] == pytest.approx(max(tried), abs=1e-6) and tried[to[u]] == pytest.approx(max(tried), abs=1e-6)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_exchange_of_all_units_is_the_plain_one(seed):
+    """Against the same batches with every gain found by counting the whole text again; every unit takes part."""
+    rng = np.random.default_rng(seed)
+    units, classes, batches = 18, 3, 5
+    kinds = rng.integers(0, classes, units)
+    tokens = []
+    for _ in range(250):
+        k = int(rng.integers(classes))
+        tokens += [int(rng.choice(np.flatnonzero(kinds == (k + i) % classes))) if (kinds == (k + i) % classes).any() else 0 for i in range(3)]
+    tokens.append(0)
+    start = np.minimum(np.arange(units), classes - 1)
+    got, table = class_lm.exchange_all(start, classes, counted_contexts(tokens, units), batches)
+
+    of, best, highest = start.copy(), start, -np.inf
+    for batch in range(batches + 1):
+        now = class_lm.likelihood(class_table(tokens, of, classes))
+        if now <= highest:
+            break
+        best, highest = of, now
+        after = of.copy()
+        for u in range(batch % 2, units, 2):
+            gains = []
+            for k in range(classes):
+                moved = of.copy()
+                moved[u] = k
+                gains.append(class_lm.likelihood(class_table(tokens, moved, classes)) - now)
+            if max(gains) > 1e-6:
+                after[u] = int(np.argmax(gains))
+        of = after
+    assert got.tolist() == best.tolist() and np.array_equal(table, class_table(tokens, best, classes))
+    assert class_lm.likelihood(table) > class_lm.likelihood(class_table(tokens, start, classes))
+
+
+def test_every_word_is_exchanged(spark, monkeypatch):
+    """The model's transitions are those of the text under its classes, also for words past the first and past the own ones."""
+    monkeypatch.setattr(class_lm, "OWN", 20)
+    monkeypatch.setattr(class_lm, "FIRST", 6)
+    rows = [r[1] for r in ordinary(50)]
+    texts = spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
+    model = class_lm.fit(texts, class_lm.word_counts(texts))
+    units = class_lm.Units(model.words)
+    number = len(model.step)
+    steps = np.full((number, number), class_lm.ADDED)
+    for text in rows:
+        tokens = [0, *units.of(class_lm.split(text.encode())), 0]
+        for a, b in zip(tokens, tokens[1:]):
+            steps[model.of[a], model.of[b]] += 1
+    assert np.allclose(model.step, np.log10(steps / steps.sum(1, keepdims=True)))
+    late = model.of[6 : len(model.words)]
+    assert len(set(late.tolist())) > 1
+
+
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, tmp_path):
     """Rows that share an id, equal rows, and rows without an id, in groups of their own and beside others."""
     first, second, third = "one river of stone and light", "le lac et la forêt du nord", "der wald und die straße am see"
