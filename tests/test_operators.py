@@ -37,6 +37,21 @@ def test_consolidation_counts_copies_and_groups_nulls(spark):
     assert tuple(summary) == ("t", 3, 6, 3)
 
 
+@pytest.mark.parametrize("piece", [50, 100_000])
+def test_folding_and_numbering_by_key_is_both_steps_in_one(spark, monkeypatch, piece):
+    monkeypatch.setattr(versions, "PIECE_ROWS", piece)
+    rng = random.Random(11)
+    rows = [(rng.choice(["hot", "hot", f"k{rng.randrange(40)}"]), str(rng.randrange(300)), rng.choice(["a", None])) for i in range(3000)]
+    rows += [("copies", "1", "z")] * 400 + [(None, str(i % 7), "z") for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, a string, b string").repartition(5).select("*", F.upper("k").alias("key"))
+    got = versions.consolidate_versions(df, ["key"], ["k", "a", "b"])
+    folded = versions.consolidate(df, ["k", "a", "b"]).withColumn("key", F.upper("k"))
+    both = versions.number_versions(folded, ["key"], ["k", "a", "b"])
+    names = ["k", "a", "b", "key", "_linhas_origem", "_versao"]
+    assert sorted(map(repr, got.select(*names).collect())) == sorted(map(repr, both.select(*names).collect()))
+    assert got.agg(F.sum("_linhas_origem")).first()[0] == len(rows)
+
+
 @pytest.mark.parametrize("slices", [1, 3, 16])
 def test_running_total_of_a_hot_group_with_many_ties(spark, slices):
     rng = random.Random(3)

@@ -77,6 +77,14 @@ def test_ids_and_counts_on_random_rows(frame, kind):
     assert check_rows(cleaner(frame(columns, rows)), contracts()).filter("NOT passou").count() == 0
 
 
+@pytest.mark.parametrize("kind", KINDS)
+def test_rows_are_dealt_once(frame, kind):
+    """Folding copies and numbering versions share one exchange and one sort."""
+    cleaner, columns, make, _ = KINDS[kind]
+    plan = cleaner(frame(columns, [make(), make()]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
 @pytest.mark.parametrize(
     "column,out,told",
     [
