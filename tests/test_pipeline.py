@@ -11,6 +11,7 @@ from garimpo.operators.contracts import ContractBroken
 from garimpo.plans import gold, pipeline, spec
 from garimpo.sources import control, raw, tables
 from tests.test_silver import lead, position, sale, split_amount
+from workload import lake
 
 LEADS = [
     lead(id_cliente="CLI500001", etapa="Negociacao"),
@@ -247,3 +248,16 @@ def test_tables_are_replaced_with_rows_schema_and_comments(spark, tmp_path):
     told = {r["col_name"]: r for r in spark.sql("DESCRIBE TABLE EXTENDED published_t").collect()}
     assert told["b"]["comment"] == "a label" and told["Comment"]["data_type"] == "another"
     spark.sql("DROP VIEW published_t")
+
+
+def test_landing_files_are_compressed_and_kept_once(spark, monkeypatch):
+    """The files of a load are read back whole, take no plain text on disk and leave no second copy as tables."""
+    derived = lambda spark, sf_dir, text, columns: spark.createDataFrame([(f" {c}",) * len(columns) for c in "ab"], ", ".join(f"`{c}` string" for c in columns))
+    monkeypatch.setattr(lake, "_landed", {})
+    monkeypatch.setattr(lake.raw, "derive", derived)
+    root = lake.raw_files(spark, "none")
+    assert not lake._landed
+    for s in spec.SOURCES:
+        back = spark.read.csv(s.path(root), header=True)
+        assert all(name.endswith(".csv.gz") for name in back.inputFiles())
+        assert sorted(r[0] for r in back.collect()) == [" a", " b"]
