@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -16,7 +17,7 @@ from garimpo.llm.common import map_batches
 #: Ranks in one word of the lower bitmap; the upper bitmap has a bit for each such word, so two find-first-sets give the
 #: lowest rank that has a bucket.
 SPAN, SHIFT = 256, 8
-#: Bytes of the pre-tokens, and ids of them, that a task keeps; when full it starts anew. Longer pre-tokens than `KEPT_LENGTH`
+#: Bytes of the pre-tokens, and ids of them, that a worker keeps from task to task; when full it starts anew. Longer pre-tokens than `KEPT_LENGTH`
 #: hardly ever come again and are not kept. The bounds are on memory and change no result.
 KEPT_BYTES = 100 << 20
 KEPT_LENGTH = 64
@@ -42,7 +43,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     A bucket for each rank that occurs holds places in the linked list of pieces. The queue over them is a bitmap of ranks in words of
     `SPAN` bits and one of the words that are not zero, so two find-first-sets give the lowest rank. A place whose pair has
     changed since it was queued is stale and is skipped when its bucket is read; nothing is deleted from a bucket's middle.
-    Work is in proportion to the length: a merge looks at two new pairs, and each queued place is read once.
+    Work is in proportion to the length: a merge looks at two new pairs, and each queued place is read once at most: when no
+    pair is left, what still waits is stale and is not read.
     """
     find = ranks.get
     whole = find(piece)
@@ -51,21 +53,22 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     # Piece i starts at byte i and ends at after[i], where the next one starts; before[i] starts the one ahead.
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    pair = [-1] * n  # rank of the pair that starts at i, -1 if there is none or i starts no piece
+    # Rank of the pair that starts at i, -1 if there is none or i starts no piece.
+    pair = [find(piece[i : i + 2], -1) for i in range(n - 1)]
+    pair.append(-1)
     buckets: dict[int, list[int]] = {}
     lower = [0] * (len(ranks) // SPAN + 2)
-    upper = 0
-    for i in range(n - 1):
-        rank = find(piece[i : i + 2])
-        if rank is not None:
-            pair[i] = rank
+    upper = live = 0  # live: how many pairs have a rank
+    for i, rank in enumerate(pair):
+        if rank >= 0:
+            live += 1
             if rank in buckets:
                 buckets[rank].append(i)
             else:
                 buckets[rank] = [i]
                 lower[rank >> SHIFT] |= _BIT[rank & SPAN - 1]
                 upper |= _BIT[rank >> SHIFT]
-    while upper:
+    while live:
         word = (upper & -upper).bit_length() - 1
         bits = lower[word]
         rank = (word << SHIFT) + (bits & -bits).bit_length() - 1
@@ -80,7 +83,11 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 continue  # stale
             j = after[i]
             end = after[j]
-            pair[i] = pair[j] = -1
+            live -= 1
+            pair[i] = -1
+            if pair[j] >= 0:
+                pair[j] = -1
+                live -= 1
             after[i] = end
             least = rank
             if end < n:
@@ -88,6 +95,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 found = find(piece[i : after[end]])
                 if found is not None:
                     pair[i] = found
+                    live += 1
                     if found < least:
                         least = found
                     if found in buckets:
@@ -100,8 +108,12 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             if i >= 0:
                 found = find(piece[i:end])
                 if found is None:
-                    pair[i] = -1
+                    if pair[i] >= 0:
+                        pair[i] = -1
+                        live -= 1
                 else:
+                    if pair[i] < 0:
+                        live += 1
                     pair[i] = found
                     if found < least:
                         least = found
@@ -164,7 +176,7 @@ def encode(
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(docs.sparkSession, ranks_path))
 
     def begin() -> tuple[Encoder, list[bytes]]:
-        """What a task keeps while it runs."""
+        """What a worker keeps over its tasks of this call."""
         tokens = [b""] * (max(ranks.value.values()) + 1)
         for token, rank in ranks.value.items():
             tokens[rank] = token
@@ -188,7 +200,7 @@ def encode(
 
     kept = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     schema = f"doc_id {kept.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(kept, run, schema + (", ids array<long>, decoded binary" if with_ids else ""), begin)
+    return map_batches(kept, run, schema + (", ids array<long>, decoded binary" if with_ids else ""), begin, f"bpe-{uuid.uuid4().hex}")
 
 
 def decode(ids: Iterable[int], ranks: dict[bytes, int]) -> bytes:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ import xxhash
 
 import corpus_pipeline
 from garimpo.llm import bpe, class_lm, language, mixing, sharding, simhash, suffix_dedup
-from garimpo.llm.common import LOWER, components
+from garimpo.llm.common import LOWER, components, kept
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, _key string, size int, shard string, node long, _row int, _spans int"
@@ -161,6 +162,31 @@ def test_long_pieces_merge_like_the_library(encoding):
         assert bpe.decode(bpe.merge(piece.encode(), ranks), ranks) == piece.encode()
 
 
+def test_short_pieces_merge_like_the_library_and_read_no_stale_pair(encoding):
+    """The merge of "ab" breaks up "bc", whose bucket is then left unread, as no pair is left."""
+    ranks, known = encoding
+    rng = random.Random(2)
+    for _ in range(3000):
+        piece = "".join(rng.choice("aeiorstnl é") for _ in range(rng.randrange(1, 14))).encode()
+        assert bpe.merge(piece, ranks) == known._encode_single_piece(piece)
+
+    popped = []
+    sys.setprofile(lambda frame, event, called: event == "c_call" and called.__name__ == "pop" and popped.append(1))
+    try:
+        assert bpe.merge(b"abc", {b"a": 0, b"b": 1, b"c": 2, b"ab": 3, b"bc": 4}) == [3, 2]
+    finally:
+        sys.setprofile(None)
+    assert len(popped) == 1
+
+
+def test_what_a_worker_keeps_serves_the_tasks_of_its_name_alone():
+    first = kept("one", list)
+    assert kept("one", list) is first and kept("one") is first
+    second = kept("two", list)
+    assert second is not first and kept("one", list) is not first
+    assert kept(None) is None and kept("one") is None
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().translate(LOWER).split()
     shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
