@@ -179,6 +179,52 @@ def test_short_pieces_merge_like_the_library_and_read_no_stale_pair(encoding):
     assert len(popped) == 1
 
 
+def by_the_rule(piece, ranks):
+    """The lowest rank first, the leftmost of its pairs first, one merge at a time."""
+    if piece in ranks:
+        return [ranks[piece]]
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while True:
+        found = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks), default=None)
+        if found is None:
+            return [ranks[p] for p in parts]
+        parts[found[1] : found[1] + 2] = [b"".join(parts[found[1] : found[1] + 2])]
+
+
+@pytest.mark.parametrize("many", [1, 3, 10**9])
+def test_pieces_merged_together_are_merged_as_if_alone(monkeypatch, many):
+    """Vocabularies in any order, so pairs of a lower rank come up, and pieces full of pairs that share a token."""
+    monkeypatch.setattr(bpe, "MANY", many)
+    rng = random.Random(4)
+    for _ in range(60):
+        tokens = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 5))) for _ in range(rng.randrange(1, 30))})
+        rng.shuffle(tokens)
+        ranks = {token: rank for rank, token in enumerate([*(bytes([b]) for b in range(256)), *tokens])}
+        pieces = [bytes(rng.choice(rng.choice([b"a", b"ab", b"abcd"])) for _ in range(rng.randrange(0, 15))) for _ in range(60)]
+        got = bpe.merge_all(pieces, ranks, bpe.Pairs(ranks))
+        assert [list(np.frombuffer(ids, "<u4")) for ids in got] == [by_the_rule(p, ranks) for p in pieces]
+
+
+def test_new_pieces_of_texts_share_a_queue_and_bounds_change_no_result(encoding, monkeypatch):
+    ranks, known = encoding
+    rng = random.Random(6)
+    texts = ["", *[" ".join("".join(rng.choice("aeiorstnl7é") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(80))) for _ in range(60)]]
+    texts += ["x" * 300, texts[5], "", " ".join(texts)]
+    wanted = [known.encode_ordinary(t) for t in texts]
+    calls = []
+    merged = bpe.merge_all
+    monkeypatch.setattr(bpe, "merge_all", lambda pieces, *more: calls.append(len(pieces)) or merged(pieces, *more))
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    assert [list(np.frombuffer(ids, "<u4")) for ids in encoder.encode(texts)] == wanted
+    assert len(calls) == 2 and max(calls) > 1000  # the new pieces together, and the one that is too long to keep
+    for met, kept_bytes, merged_bytes in ((50, 20_000, 100), (1, 1, 1), (700, 100_000, 1 << 18)):
+        for name, value in (("MET", met), ("KEPT_BYTES", kept_bytes), ("MERGED_BYTES", merged_bytes)):
+            monkeypatch.setattr(bpe, name, value)
+        encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+        assert [list(np.frombuffer(ids, "<u4")) for ids in encoder.encode(texts)] == wanted
+        assert encoder.held <= kept_bytes // 2 + met * 500
+
+
 def test_what_a_worker_keeps_serves_the_tasks_of_its_name_alone():
     first = kept("one", list)
     assert kept("one", list) is first and kept("one") is first
