@@ -510,6 +510,67 @@ def test_every_word_is_exchanged(spark, monkeypatch):
     assert len(set(late.tolist())) > 1
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_classes_of_few_tokens_are_the_best_moves(seed):
+    rng = np.random.default_rng(seed)
+    units, classes = 40, 5
+    tokens = [*rng.integers(0, units, 300).tolist(), 3, 3, 3, 0]
+    of = rng.integers(0, classes, units)
+    of[:classes] = range(classes)
+    told = class_table(tokens, of, classes), of, *counted_contexts(tokens, units)(of, classes)
+    expected, got = class_lm.best_moves(*told), class_lm.best_classes(*told)
+    assert np.array_equal(got[0], expected[0]) and np.allclose(got[1], expected[1])
+
+
+def test_every_other_word_has_a_class_of_its_own_choice(spark, monkeypatch):
+    """Scores against a plain exchange of all words without a unit, each gain found by counting the whole text again."""
+    monkeypatch.setattr(class_lm, "OWN", 12)
+    monkeypatch.setattr(class_lm, "FIRST", 6)
+    monkeypatch.setattr(class_lm, "OTHERS", 5)
+    monkeypatch.setattr(class_lm, "HELD", 20)
+    rng = random.Random(5)
+    sides = [[f"{w}{i}ing" for i in range(15)] for w in "ab"]  # one ending, so one signature, but neighbours of two kinds
+    rows = []
+    for i in range(90):
+        words = [w for _ in range(12) for w in ("the", rng.choice(sides[0]), "of", rng.choice(sides[1]))]
+        rows.append((i, " ".join([*words, "so", "so", f"only{i}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in class_lm.score(docs).collect()}
+
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
+    training = docs.where(class_lm.in_training(docs["doc_id"])).select("text")
+    model = class_lm.fit(training, class_lm.word_counts(training))
+    classes, units = len(model.table), class_lm.Units(model.words)
+    texts = {d: [*class_lm.split(t.encode()), b""] for d, t in rows}
+    learned = [w for d, ws in texts.items() if not held[d] for w in ws]
+    count = Counter(learned)
+    start = {w: int(model.of[units[w]]) for ws in texts.values() for w in ws}
+
+    def table(of):
+        out = np.zeros((classes, classes))
+        for a, b in zip([b"", *learned], learned):
+            out[of[a], of[b]] += 1
+        return out
+
+    assert np.array_equal(table(start), model.table)
+    of, stays = dict(start), class_lm.likelihood(table(start))
+    for w in count.keys() - set(model.words):
+        gains = [class_lm.likelihood(table(start | {w: k})) - stays for k in range(classes)]
+        if max(gains) > 1e-6:
+            of[w] = int(np.argmax(gains))
+    assert class_lm.likelihood(table(of)) > stays and len({of[w.encode()] for side in sides for w in side}) > 1
+    mass = np.zeros(classes)
+    for w, c in count.items():
+        mass[of[w]] += c + 1
+    for s in range(class_lm.SIGNS):
+        mass[model.of[len(model.words) + s]] += 1
+    steps = np.where(mass > 0, table(of) + class_lm.ADDED, 0)
+    steps /= steps.sum(1, keepdims=True)
+    for d, ws in texts.items():
+        value = sum(np.log10(steps[of[a], of[b]] * (count[b] + 1) / mass[of[b]]) for a, b in zip([b"", *ws], ws))
+        assert got[d] == pytest.approx(value)
+
+
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, tmp_path):
     """Rows that share an id, equal rows, and rows without an id, in groups of their own and beside others."""
     first, second, third = "one river of stone and light", "le lac et la forêt du nord", "der wald und die straße am see"
