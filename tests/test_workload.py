@@ -3,11 +3,14 @@
 import os
 import subprocess
 import sys
+from collections import Counter
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from workload import ALL
+from workload import ALL, failing
 from workload.check import compare, connect, normal
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +90,26 @@ def test_entry_stands_without_the_other_operators(tmp_path):
 def test_figures_without_clients_leave_the_client_dimension_alone(spark, name):
     plan = contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SK_PRODUTO" in plan and "SK_CLIENTE" not in plan
+
+
+def test_damaged_facts_are_written_once(spark, tmp_path):
+    """Every contract and proof reads them again: as files, with a row told twice on one path."""
+    ids = [f"CLI{i}-{1 + i % 3}" for i in range(400)] + [None]
+    fact = spark.createDataFrame([(x, 1, 2, 3, "c", Decimal(10)) for x in ids], "ID_REGISTRO string, SK_PRODUTO long, SK_CLIENTE long, SK_VENDEDOR long, ID_CLIENTE_ORIGEM string, VALOR_FATURAMENTO decimal(18,2)")
+    months = spark.createDataFrame([(f"2024-{1 + i % 12:02}-VW{i}", i) for i in range(60)], "ID_REGISTRO string, SK_PRODUTO long")
+
+    class Small(dict):
+        out = str(tmp_path)
+
+    lake = Small(fato_vendas=fact, fato_oportunidade=fact.withColumn("SK_CANAL", F.lit(4).cast("bigint")), fato_estoque_mensal=months)
+    got = failing.damaged_facts(lake)
+    for name, df in got.items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.startswith("Relation") and "Union" not in plan, plan
+        assert df.columns == lake[name].columns
+    number = {x: int(x[3:].split("-")[0]) + 31 * int(x.split("-")[1]) for x in ids if x}
+    told = Counter()
+    for x, m in number.items():
+        if m % 17 != 3:
+            told["X" + x if m % 23 == 7 else x] += 1 + (m % 19 == 5)
+    assert Counter(r["ID_REGISTRO"] for r in got["fato_vendas"].collect()) == told == Counter(r["ID_REGISTRO"] for r in got["fato_oportunidade"].collect())
