@@ -571,6 +571,25 @@ def test_every_other_word_has_a_class_of_its_own_choice(spark, monkeypatch):
         assert got[d] == pytest.approx(value)
 
 
+def test_sums_leave_no_shuffle_files(spark):
+    """A vector of several blocks is summed as by hand, and what was exchanged for it is gone at once."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    size = 3 * class_lm.BLOCK
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, size, 500).astype("<i4") for _ in range(40)]
+    tokens = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "tokens binary").repartition(4)
+    tracker = spark._jsc.sc().env().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+
+    def add(vector, previous, now):
+        np.add.at(vector, now, 300)
+
+    got = class_lm.summed(tokens, size, add)
+    expected = np.bincount(np.concatenate(texts), minlength=size) * 300
+    assert np.array_equal(got, expected) and spark.conf.get(name, None) is None
+    assert tracker.shuffleStatuses().size() <= before
+
+
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, tmp_path):
     """Rows that share an id, equal rows, and rows without an id, in groups of their own and beside others."""
     first, second, third = "one river of stone and light", "le lac et la forêt du nord", "der wald und die straße am see"
